@@ -1,0 +1,23 @@
+"""Joins to sides that are usually small, with the size checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Largest number of narrow rows (a key and a short name) that is broadcast; about 100 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_enough(rows: int) -> bool:
+    return rows <= BROADCAST_ROWS
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """Mark a written or checkpointed frame for broadcast when its row count allows, else leave it alone.
+
+    The count stops at the limit, so a large side is not counted through.
+    """
+    if small_enough(df.limit(BROADCAST_ROWS + 1).count()):
+        return F.broadcast(df)
+    return df
