@@ -23,6 +23,8 @@ class Dims:
     agent: DataFrame
     status: DataFrame
     date: DataFrame
+    #: Row counts of the three, where known.
+    rows: tuple[int | None, int | None, int | None] = (None, None, None)
 
 
 def distinct_members(df: DataFrame, member: Column, name: str) -> DataFrame:
@@ -30,34 +32,42 @@ def distinct_members(df: DataFrame, member: Column, name: str) -> DataFrame:
     return df.select(member.alias(name)).where(F.col(name) != "").distinct()
 
 
-def dense_keys(members: DataFrame, name: str, key: str, after: Column | None = None) -> DataFrame:
-    """Number distinct members 1..n in sorted order (or on from `after`) without sorting them in one task.
+def rank_members(members: DataFrame, kind: str, name: str) -> DataFrame:
+    """Rank distinct (kind, member) rows 1..n within each kind without sorting a kind in one task.
 
-    Members are range-partitioned and sorted in their partitions; a member's number is its place in the
-    partition plus the sizes of the partitions before. The numbered frame is checkpointed, so a recomputed
-    range boundary can never shift a key. Only the partition sizes, one row each, meet in one task.
+    Rows are range-partitioned and sorted in their partitions. A rank is the row's place in its partition
+    plus the members of its kind in the partitions before. The placed rows are checkpointed, so a range
+    boundary that is drawn anew can never shift a rank. Only sizes, one row per partition and kind, are
+    summed up in order.
     """
     placed = cut_lineage(
-        members.repartitionByRange(name)
-        .sortWithinPartitions(name)
-        .select(name, F.monotonically_increasing_id().alias("_id"))
+        members.repartitionByRange(kind, name)
+        .sortWithinPartitions(kind, name)
+        .select(kind, name, F.monotonically_increasing_id().alias("_id"))
         .select(
+            kind,
             name,
             F.shiftright("_id", _ROW_BITS).alias("_part"),
             F.col("_id").bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
         )
     )
-    earlier = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    sizes = placed.groupBy("_part").agg(rows().alias("_size"))
+    sizes = placed.groupBy(kind, "_part").agg(rows().alias("_size"), F.min("_row").alias("_first"))
+    earlier = W.partitionBy(kind).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(
-        "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+        kind, "_part", (F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    start = F.lit(0) if after is None else F.coalesce(after, F.lit(0))
-    return placed.join(F.broadcast(offsets), "_part").select(
-        (start + F.col("_before") + F.col("_row") + 1).cast("long").alias(key), name
+    return placed.join(F.broadcast(offsets), [kind, "_part"]).select(
+        kind, name, (F.col("_shift") + F.col("_row") + 1).alias("rank")
     )
 
 
+def dense_keys(members: DataFrame, name: str, key: str, after: Column | None = None) -> DataFrame:
+    """Number distinct members 1..n in sorted order, or on from the key `after`."""
+    ranked = rank_members(members.select(F.lit(0).alias("_kind"), name), "_kind", name)
+    start = F.lit(0) if after is None else F.coalesce(after, F.lit(0))
+    return ranked.select((start + F.col("rank")).cast("long").alias(key), name)
+
+
 def extend_keys(existing: DataFrame, members: DataFrame, name: str, key: str) -> DataFrame:
     """Rows (key, name) for members that `existing` lacks, keyed on from its highest key in sorted order."""
     missing = members.join(existing.select(name), name, "left_anti")
@@ -220,7 +230,33 @@ def dim_date_range(dim: DataFrame) -> DataFrame:
 
 
 def build_dims(fct: DataFrame, run_ts: datetime) -> Dims:
-    """Cold-start dimensions that match every fact row the star join can match."""
-    members = distinct_members(fct, norm_status("lead_status"), "lead_status")
-    status = dense_keys(members, "lead_status", "status_key")
-    return Dims(dim_agent(fct, run_ts), status, cut_lineage(dim_date_observed(fct)))
+    """Cold-start dimensions that match every fact row the star join can match, in one pass over the fact.
+
+    Each fact row offers its agent, status and day; map tasks keep the distinct ones before the shuffle.
+    """
+    offered = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), member.alias("member"))
+            for kind, member in (
+                ("agent", norm_agent("agent")),
+                ("status", norm_status("lead_status")),
+                ("date", F.to_date("added_on").cast("string")),
+            )
+        ]
+    )
+    members = fct.select(F.inline(offered)).where("member <> ''").distinct()
+    ranked = rank_members(members, "kind", "member")
+    counts = {r.kind: r.n for r in ranked.groupBy("kind").agg(rows().alias("n")).collect()}
+
+    def keyed(kind: str, key: str, name: str) -> DataFrame:
+        return ranked.where(F.col("kind") == kind).select(
+            F.col("rank").alias(key), F.col("member").alias(name)
+        )
+
+    days = keyed("date", "_", "day").select(F.col("day").cast("date"))
+    return Dims(
+        _new_agents(keyed("agent", "agent_key", "agent_name"), run_ts),
+        keyed("status", "status_key", "lead_status"),
+        dim_date(days),
+        rows=tuple(counts.get(k, 0) for k in ("agent", "status", "date")),
+    )

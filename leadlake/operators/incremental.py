@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,16 @@ def current_watermark(runs: DataFrame, pipeline: str = PIPELINE) -> DataFrame:
     return done.agg(F.max("watermark_end").alias("watermark"))
 
 
+def utc(naive: datetime | None) -> datetime | None:
+    """A wall-clock reading of the UTC session as a moment in time."""
+    return naive and naive.replace(tzinfo=timezone.utc)
+
+
+def moment(mark: DataFrame) -> datetime | None:
+    """The one scalar a run needs on the driver: the value of a one-row watermark frame."""
+    return utc(mark.select(F.col("watermark").cast("timestamp_ntz").alias("w")).first().w)
+
+
 def newest(df: DataFrame) -> DataFrame:
     """One row: the newest `record_updated_at`, or null."""
     return df.agg(F.max("record_updated_at").alias("watermark"))

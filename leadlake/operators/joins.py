@@ -13,11 +13,11 @@ def small_enough(rows: int) -> bool:
     return rows <= BROADCAST_ROWS
 
 
-def sized(df: DataFrame) -> DataFrame:
+def sized(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Mark a written or checkpointed frame for broadcast when its row count allows, else leave it alone.
 
-    The count stops at the limit, so a large side is not counted through.
+    Give `rows` when the count is known. Counting stops at the limit, so a large side is not counted through.
     """
-    if small_enough(df.limit(BROADCAST_ROWS + 1).count()):
-        return F.broadcast(df)
-    return df
+    if rows is None:
+        rows = df.limit(BROADCAST_ROWS + 1).count()
+    return F.broadcast(df) if small_enough(rows) else df

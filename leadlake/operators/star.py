@@ -37,10 +37,11 @@ def star_fact(fct: DataFrame, dims: Dims) -> DataFrame:
             "_added": F.to_date("added_on"),
         }
     )
+    n_agents, n_statuses, n_days = dims.rows
     return (
-        keyed.join(sized(agents), "agent", "left")
-        .join(sized(canonical_status(dims.status)), "lead_status", "left")
-        .join(sized(days), "_added", "left")
+        keyed.join(sized(agents, n_agents), "agent", "left")
+        .join(sized(canonical_status(dims.status), n_statuses), "lead_status", "left")
+        .join(sized(days, n_days), "_added", "left")
         .select(*FCT_LEADS_STAR.names)
     )
 
@@ -94,11 +95,12 @@ VIEW_COLUMNS = [
 def vw_leads_analytics(fact: DataFrame, dims: Dims) -> DataFrame:
     """Narrow fact with its dimension attributes; a key without a dimension row shows as null."""
     keyed = fact
-    for dim, key in zip((dims.agent, dims.status, dims.date), KEY_COLUMNS, strict=True):
+    sides = zip((dims.agent, dims.status, dims.date), KEY_COLUMNS, dims.rows, strict=True)
+    for dim, key, count in sides:
         # the view shows the key of the dimension row, null when there is none
         side = dim.withColumnRenamed(key, f"_{key}")
         keyed = (
-            keyed.join(sized(side), F.col(key) == F.col(f"_{key}"), "left")
+            keyed.join(sized(side, count), F.col(key) == F.col(f"_{key}"), "left")
             .drop(key)
             .withColumnRenamed(f"_{key}", key)
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,20 +30,20 @@ def with_reasons(df: DataFrame, rules: Sequence[tuple[Column, str]] | None = Non
     return df.withColumn("error_reason", F.rtrim(F.concat(*parts)))
 
 
-def valid_records(checked: DataFrame) -> DataFrame:
-    return checked.where("error_reason = ''").drop("error_reason")
-
-
-def invalid_records(checked: DataFrame) -> DataFrame:
-    return checked.where("error_reason <> ''")
+def is_broken(rules: Sequence[tuple[Column, str]] | None = None) -> Column:
+    """True for a record that breaks any rule."""
+    return reduce(Column.__or__, [broken for broken, _ in rules or default_rules()])
 
 
 def validate(
     df: DataFrame, rules: Sequence[tuple[Column, str]] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Split into (valid, dead). Write or checkpoint `with_reasons` first when both sides are used."""
-    checked = with_reasons(df, rules)
-    return valid_records(checked), invalid_records(checked)
+    """Split into (valid, dead); dead records carry `error_reason`.
+
+    Write the staged rows first when both sides are used, else they are staged twice.
+    """
+    broken = is_broken(rules)
+    return df.where(~broken), with_reasons(df.where(broken), rules)
 
 
 def dead_letters(dead: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:

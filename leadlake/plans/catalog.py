@@ -23,10 +23,13 @@ from leadlake.operators import (
     warehouse,
 )
 from leadlake.operators.dedup import keep_last
+from leadlake.plans.daily_run import Settings, run_load
 from leadlake.schemas import DATE_COLUMNS, DIM_LEAD_STATUS, RAW_TO_STAGING
 from leadlake.session import prepare, shared_dir, write_work
 from leadlake.sources.files import read_leads_csv, read_leads_json
+from leadlake.sources.store import Store
 from leadlake.sources.testleads import raw_leads
+from leadlake.streaming.ingest import stream_leads
 
 RUN_TS = datetime(2002, 1, 1, tzinfo=timezone.utc)
 AS_OF = date(2000, 1, 1)
@@ -67,12 +70,8 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stage_leads(raw_leads(spark, sf), RUN_TS, order=["src_ordinal"])
 
 
-def checked(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.with_reasons(staged(spark, sf))
-
-
 def valid(spark: SparkSession, sf: str) -> DataFrame:
-    return validation.valid_records(checked(spark, sf))
+    return validation.validate(staged(spark, sf))[0]
 
 
 def fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -138,9 +137,8 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/leadlake-work/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def export_rows(spark: SparkSession, sf: str) -> DataFrame:
+def as_export(raw: DataFrame) -> DataFrame:
     """Raw leads as text cells, in source order within and across the partitions."""
-    raw = raw_leads(spark, sf)
     cells = [
         (F.date_format(f"`{h}`", "yyyy-MM-dd HH:mm:ss") if c in DATE_COLUMNS else F.col(f"`{h}`").cast("string")).alias(h)
         for h, c in RAW_TO_STAGING.items()
@@ -159,14 +157,14 @@ EXPORT_ORDER = ["src_file", "src_block", "src_row"]
 def csv_scan(spark, sf):
     path = _scratch(spark, "csv")
     keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    export_rows(spark, sf).write.options(header="true", escape='"', **keep_blanks).csv(path)
+    as_export(raw_leads(spark, sf)).write.options(header="true", escape='"', **keep_blanks).csv(path)
     return staging.stage_leads(read_leads_csv(spark, path), RUN_TS, order=EXPORT_ORDER)
 
 
 @query
 def json_updated_after(spark, sf):
     path = _scratch(spark, "json")
-    export_rows(spark, sf).write.json(path)
+    as_export(raw_leads(spark, sf)).write.json(path)
     page = read_leads_json(spark, path, updated_after=BATCH_CUTS[1])
     return staging.stage_leads(page, RUN_TS, order=EXPORT_ORDER)
 
@@ -211,7 +209,8 @@ def fact_lookup(spark, sf):
 
 @query
 def validation_reasons(spark, sf):
-    return checked(spark, sf).groupBy("error_reason").agg(F.count(F.lit(1)).alias("records"))
+    checked = validation.with_reasons(staged(spark, sf))
+    return checked.groupBy("error_reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 @query
@@ -221,15 +220,14 @@ def valid_leads(spark, sf):
 
 @query
 def dead_letters(spark, sf):
-    return validation.dead_letters(validation.invalid_records(checked(spark, sf)), "run-1", RUN_TS)
+    return validation.dead_letters(validation.validate(staged(spark, sf))[1], "run-1", RUN_TS)
 
 
 @query
 def dead_letters_every_row(spark, sf):
     raw = raw_leads(spark, sf)
     every = staging.stage_leads(raw, RUN_TS, order=["src_ordinal"], dedup_nulls=False)
-    dead = validation.invalid_records(validation.with_reasons(every))
-    return validation.dead_letters(dead, "run-1", RUN_TS)
+    return validation.dead_letters(validation.validate(every)[1], "run-1", RUN_TS)
 
 
 # ---------------------------------------------------------------- incremental load
@@ -268,15 +266,58 @@ def incremental_staging(spark, sf):
     first = batches(leads, 1)
     source = leads.unionByName(resent(first)).where("record_updated_at is not null")
     source = keep_last(source, ["staging_id"], ["record_updated_at", "hot_score"])
-    mark = incremental.newest(first).first().watermark.replace(tzinfo=timezone.utc)
+    mark = incremental.moment(incremental.newest(first))
     return incremental.incremental_step(source, first, mark)[0]
 
 
+def _sound_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw leads with an agent and a date of adding; some still lack a URL."""
+    sound = ~text.is_blank("Agent") & F.col("`Added On`").isNotNull()
+    return raw_leads(spark, sf).where(sound)
+
+
+def _loaded_in_batches(spark: SparkSession, sf: str) -> Store:
+    """Published warehouse after three loads, each with the source as it stood after one more batch."""
+    store = Store(spark, _scratch(spark, "store"), buckets=8)
+    raw = write_work(
+        _sound_raw(spark, sf).withColumnsRenamed({h: c for h, c in RAW_TO_STAGING.items()})
+    )
+    arrival = raw.withColumn("record_updated_at", F.greatest(*DATE_COLUMNS))
+    settings = Settings(order=("src_ordinal",), as_of=AS_OF_TS)
+    for n in (1, 2, 3):
+        so_far = batches(arrival, *range(1, n + 1)).drop("record_updated_at")
+        run_load(store, so_far, f"load-{n}", RUN_TS + timedelta(days=n - 1), settings)
+    return store
+
+
+@query
+def load_in_batches(spark, sf):
+    stg = _loaded_in_batches(spark, sf).read("stg_leads")
+    return stg.drop("load_timestamp")
+
+
+@query
+def load_then_risk(spark, sf):
+    return _loaded_in_batches(spark, sf).read("analytics_risk_scores")
+
+
+@query
+def stream_staging(spark, sf):
+    path = _scratch(spark, "landing")
+    as_export(_sound_raw(spark, sf)).coalesce(2).write.json(path)
+    store = Store(spark, _scratch(spark, "store"), buckets=8)
+    settings = Settings(order=tuple(EXPORT_ORDER), use_watermark=False)
+    stream_leads(
+        spark, path, store, fmt="json", files_per_batch=1, settings=settings, run_ts=RUN_TS
+    ).awaitTermination()
+    return store.read("stg_leads")
+
+
 @query
 def watermark_advance(spark, sf):
     leads = write_work(valid(spark, sf))
     known = batches(leads, 1, 2)
-    mark = incremental.newest(known).first().watermark.replace(tzinfo=timezone.utc)
+    mark = incremental.moment(incremental.newest(known))
     rows, advanced = incremental.incremental_step(leads, known, mark)
     return advanced.select(
         F.lit(mark).cast("timestamp").alias("watermark_start"),

@@ -117,6 +117,13 @@ def _with(*parts: str) -> str:
     return "WITH " + ",\n".join([_BASE.strip(), *[c.strip() for c in ctes]]) + "\n" + select.strip()
 
 
+def _sound(*parts: str) -> str:
+    """Like `_with`, from raw leads that have an agent and a date of adding."""
+    return _with(*parts).replace(
+        "FROM raw)", "FROM raw WHERE trim(agent) <> '' AND added_on IS NOT NULL)"
+    )
+
+
 def _on_star(select: str) -> str:
     return _with(_NAMED, _star("named"), select)
 
@@ -354,6 +361,9 @@ ORACLE: dict[str, str] = {
         f"""SELECT * FROM resent
             UNION ALL SELECT {_STAGING} FROM batched WHERE staging_id NOT IN (SELECT staging_id FROM resent)""",
     ),
+    "load_in_batches": _sound("SELECT * EXCLUDE (load_timestamp) FROM leads"),
+    "load_then_risk": _sound(_RISK_BASE, _RATES, _SCORED, "SELECT * FROM risk"),
+    "stream_staging": _sound("SELECT * FROM leads"),
     "watermark_advance": _with(
         _BATCHED,
         """SELECT max(record_updated_at) FILTER (batch < 3) AS watermark_start,

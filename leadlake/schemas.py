@@ -158,6 +158,25 @@ RISK_COLUMNS = [
     "avg_days_to_connection",
 ]
 
+_RISK_TEXT = {"agent", "risk_level", "statistical_confidence", "model_status"}
+_RISK_POINTS = {
+    "ghosting_risk_points",
+    "acceptance_risk_points",
+    "connection_anomaly_points",
+    "risk_score",
+}
+
+
+def _risk_type(name: str) -> T.DataType:
+    if name in _RISK_TEXT:
+        return T.StringType()
+    if name in _RISK_POINTS:
+        return T.IntegerType()
+    return T.LongType() if name.endswith(("_leads", "_capacity")) else T.DoubleType()
+
+
+RISK_SCORES = T.StructType([T.StructField(c, _risk_type(c)) for c in RISK_COLUMNS])
+
 ALERTS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -177,4 +196,5 @@ TABLES = {
     "dim_date": DIM_DATE,
     "pipeline_runs": PIPELINE_RUNS,
     "dq_results": DQ_RESULTS,
+    "analytics_risk_scores": RISK_SCORES,
 }

@@ -20,22 +20,32 @@ MISSING_TEXTS = [
 _CSV = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}
 
 
-def with_source_order(df: DataFrame) -> DataFrame:
-    """Add the columns that order rows as the files hold them.
-
-    One task reads one split from start to end, so (split start, row counter) orders rows within a file.
-    Across files the order is modification time, then name.
-    """
+def with_source_split(df: DataFrame) -> DataFrame:
+    """Add the columns that order the splits of a scan: file time, file name, split start."""
     return df.select(
         "*",
         F.col("_metadata.file_modification_time").alias("src_time"),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_row"),
     )
 
 
-def _missing_to_null(df: DataFrame) -> DataFrame:
+def with_row_counter(df: DataFrame) -> DataFrame:
+    """Add a counter that orders rows within a split."""
+    return df.withColumn("src_row", F.monotonically_increasing_id())
+
+
+def with_source_order(df: DataFrame) -> DataFrame:
+    """Add the columns that order rows as the files hold them.
+
+    One task reads one split from start to end, so (split start, row counter) orders rows within a file.
+    Across files the order is modification time, then name.
+    """
+    return with_row_counter(with_source_split(df))
+
+
+def missing_to_null(df: DataFrame) -> DataFrame:
+    """Null for cells whose text means a missing value."""
     return df.withColumns(
         {h: F.when(~F.col(f"`{h}`").isin(MISSING_TEXTS), F.col(f"`{h}`")) for h in RAW_TO_STAGING}
     )
@@ -57,7 +67,7 @@ def read_leads_csv(spark: SparkSession, path: str, multi_line: bool = True) -> D
         *[F.col(f"`{by_name[h]}`").alias(h) for h in RAW_TO_STAGING],
         "src_time", "src_file", "src_block", "src_row",
     )
-    return _missing_to_null(named)
+    return missing_to_null(named)
 
 
 def read_leads_json(

@@ -20,13 +20,18 @@ from leadlake.operators.checks import table_presence
 from leadlake.operators.dims import Dims
 from leadlake.schemas import TABLES
 
-_PUBLISHED = "seq long, run_id string, table string, bucket int"
+_PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean"
 _WHOLE = -1  # bucket of a table that is not split
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+        self._runs: dict[str, dict[int, str]] | None = None
+
+    def refresh(self) -> None:
+        """Forget what was published when last looked; other writers may have published since."""
+        self._runs = None
 
     # ------------------------------------------------------------ reading
 
@@ -46,15 +51,23 @@ class Store:
         return self._scan(_PUBLISHED, f"{self.root}/_published")
 
     def _current(self, name: str) -> dict[int, str]:
-        """Latest published run per bucket; at most one small row per bucket reaches the driver."""
-        rows = (
-            self.published()
-            .where(F.col("table") == name)
-            .groupBy("bucket")
-            .agg(F.max_by("run_id", "seq").alias("run_id"))
-            .collect()
-        )
-        return {r.bucket: r.run_id for r in rows}
+        """Latest published run per bucket; one small row per bucket and table reaches the driver.
+
+        A complete load voids every bucket of its tables published before it.
+        """
+        if self._runs is None:
+            entries = self.published()
+            since = entries.where("complete").groupBy("table").agg(F.max("seq").alias("_since"))
+            latest = (
+                entries.join(since, "table", "left")
+                .where(F.col("seq") >= F.coalesce("_since", F.lit(0)))
+                .groupBy("table", "bucket")
+                .agg(F.max_by("run_id", "seq").alias("run_id"))
+            )
+            self._runs = {}
+            for r in latest.collect():
+                self._runs.setdefault(r.table, {})[r.bucket] = r.run_id
+        return self._runs.get(name, {})
 
     def _path(self, name: str, run_id: str, bucket: int = _WHOLE) -> str:
         path = f"{self.root}/{name}/load_id={run_id}"
@@ -75,17 +88,19 @@ class Store:
             runs = {b: r for b, r in runs.items() if b in wanted}
         return self._read_runs(name, runs)
 
-    def candidate(self, name: str, run_id: str, buckets: Iterable[int]) -> DataFrame:
+    def candidate(
+        self, name: str, run_id: str, buckets: Iterable[int], complete: bool = False
+    ) -> DataFrame:
         """Content as it will be once `run_id` is published: its buckets, the published ones elsewhere."""
-        return self._read_runs(name, {**self._current(name), **dict.fromkeys(buckets, run_id)})
+        kept = {} if complete else self._current(name)
+        return self._read_runs(name, {**kept, **dict.fromkeys(buckets, run_id)})
 
     def exists(self, name: str) -> bool:
-        return not self.published().where(F.col("table") == name).isEmpty()
+        return bool(self._current(name))
 
     def required_tables(self, names: Iterable[str]) -> DataFrame:
         """Rows (table, exists)."""
-        there = {r.table for r in self.published().select("table").distinct().collect()}
-        return table_presence(self.spark, ((n, n in there) for n in names))
+        return table_presence(self.spark, ((n, self.exists(n)) for n in names))
 
     def dims(self) -> Dims:
         return Dims(self.read("dim_agent"), self.read("dim_lead_status"), self.read("dim_date"))
@@ -117,16 +132,22 @@ class Store:
     def is_published(self, run_id: str) -> bool:
         return not self.published().where(F.col("run_id") == run_id).isEmpty()
 
-    def publish(self, run_id: str, tables: dict[str, Iterable[int] | None]) -> None:
-        """Make the loads of a run visible, all at once. A table maps to its buckets, or to None if whole."""
+    def publish(
+        self, run_id: str, tables: dict[str, Iterable[int] | None], complete: bool = False
+    ) -> None:
+        """Make the loads of a run visible, all at once. A table maps to its buckets, or to None if whole.
+
+        `complete` says that the named buckets are all there is of a split table.
+        """
         last = self.published().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("seq")).first().seq
         rows = [
-            (last + 1, run_id, name, bucket)
+            (last + 1, run_id, name, bucket, complete)
             for name, buckets in tables.items()
             for bucket in ([_WHOLE] if buckets is None else sorted(buckets))
         ]
         entry = self.spark.createDataFrame(rows, _PUBLISHED).coalesce(1)
         entry.write.mode("append").parquet(f"{self.root}/_published")
+        self.refresh()
 
     def replace(self, name: str, df: DataFrame, run_id: str) -> None:
         """Truncate-and-load: write, then publish. A repeated or empty load changes nothing."""
@@ -154,3 +175,9 @@ class Store:
         """All rows of a ledger."""
         schema = TABLES[name]
         return self._scan(schema, f"{self.root}/{name}").select(*schema.names)
+
+    def finished_runs(self) -> DataFrame:
+        """Ledger rows of runs whose tables are visible. A run enters the ledger before it is published, so
+        a crash in between leaves neither tables nor watermark behind."""
+        visible = self.published().select("run_id").distinct()
+        return self.ledger("pipeline_runs").join(visible, "run_id", "left_semi")
