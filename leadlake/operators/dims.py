@@ -229,34 +229,52 @@ def dim_date_range(dim: DataFrame) -> DataFrame:
     )
 
 
-def build_dims(fct: DataFrame, run_ts: datetime) -> Dims:
-    """Cold-start dimensions that match every fact row the star join can match, in one pass over the fact.
+def _offers(fct: DataFrame) -> DataFrame:
+    """Distinct (kind, member) rows: every agent, status and day of the fact, from one pass over it.
 
-    Each fact row offers its agent, status and day; map tasks keep the distinct ones before the shuffle.
+    Map tasks keep the distinct ones before the shuffle, so a hot agent is one row per task.
     """
+    kinds = {
+        "agent": norm_agent("agent"),
+        "status": norm_status("lead_status"),
+        "date": F.to_date("added_on").cast("string"),
+    }
     offered = F.array(
-        *[
-            F.struct(F.lit(kind).alias("kind"), member.alias("member"))
-            for kind, member in (
-                ("agent", norm_agent("agent")),
-                ("status", norm_status("lead_status")),
-                ("date", F.to_date("added_on").cast("string")),
-            )
-        ]
+        *[F.struct(F.lit(k).alias("kind"), c.alias("member")) for k, c in kinds.items()]
     )
-    members = fct.select(F.inline(offered)).where("member <> ''").distinct()
+    return fct.select(F.inline(offered)).where("member <> ''").distinct()
+
+
+def build_dims(fct: DataFrame, run_ts: datetime, known: Dims | None = None) -> Dims:
+    """Dimensions that match every fact row the star join can match.
+
+    A cold start numbers all members; with `known` dimensions their keys stay and only members they lack are
+    ranked and added behind.
+    """
+    members = _offers(fct)
+    if known is not None:
+        status = canonical_status(known.status)
+        had = (
+            known.agent.select(F.lit("agent").alias("kind"), norm_agent("agent_name").alias("member"))
+            .unionByName(status.select(F.lit("status").alias("kind"), F.col("lead_status").alias("member")))
+            .unionByName(known.date.select(F.lit("date").alias("kind"), F.col("full_date").cast("string").alias("member")))
+        )
+        members = members.join(had, ["kind", "member"], "left_anti")
     ranked = rank_members(members, "kind", "member")
-    counts = {r.kind: r.n for r in ranked.groupBy("kind").agg(rows().alias("n")).collect()}
 
-    def keyed(kind: str, key: str, name: str) -> DataFrame:
+    def added(kind: str, key: str, name: str, table: DataFrame | None) -> DataFrame:
+        last = F.lit(0) if table is None else F.coalesce(table.agg(F.max(key)).scalar(), F.lit(0))
         return ranked.where(F.col("kind") == kind).select(
-            F.col("rank").alias(key), F.col("member").alias(name)
+            (last + F.col("rank")).cast("long").alias(key), F.col("member").alias(name)
         )
 
-    days = keyed("date", "_", "day").select(F.col("day").cast("date"))
-    return Dims(
-        _new_agents(keyed("agent", "agent_key", "agent_name"), run_ts),
-        keyed("status", "status_key", "lead_status"),
-        dim_date(days),
-        rows=tuple(counts.get(k, 0) for k in ("agent", "status", "date")),
-    )
+    agents = _new_agents(added("agent", "agent_key", "agent_name", known and known.agent), run_ts)
+    statuses = added("status", "status_key", "lead_status", known and known.status)
+    days = dim_date(added("date", "_", "day", None).select(F.col("day").cast("date")))
+    if known is not None:
+        agents = known.agent.select(*DIM_AGENT.names).unionByName(agents)
+        statuses = status.unionByName(statuses)
+        days = known.date.unionByName(days)
+        return Dims(agents, statuses, days)
+    counts = {r.kind: r.n for r in ranked.groupBy("kind").agg(rows().alias("n")).collect()}
+    return Dims(agents, statuses, days, tuple(counts.get(k, 0) for k in ("agent", "status", "date")))

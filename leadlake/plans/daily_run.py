@@ -176,18 +176,17 @@ def _write_dims(
 
     The calendar covers everything from the first day a lead was added to the newest update.
     """
-    known, fct = store.dims(), fct_leads(changed)
-    agent = dimensions.dim_agent(fct, run_ts, existing=known.agent)
-    status = dimensions.dim_status_incremental(known.status, fct)
+    known = store.dims()
+    built = dimensions.build_dims(fct_leads(changed), run_ts, known)
     ends = dimensions.day_range(F.col("added_on"), F.col("record_updated_at"), changed).unionByName(
         known.date.agg(F.min("full_date").alias("first_day"), F.max("full_date").alias("last_day"))
     )
     span = ends.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
-    date = dimensions.fill_date_gaps(known.date, dimensions.days_between(span))
+    days = dimensions.fill_date_gaps(known.date, dimensions.days_between(span))
     return dimensions.Dims(
-        store.write("dim_agent", agent, out.run_id),
-        store.write("dim_lead_status", status, out.run_id),
-        store.write("dim_date", date, out.run_id),
+        store.write("dim_agent", built.agent, out.run_id),
+        store.write("dim_lead_status", built.status, out.run_id),
+        store.write("dim_date", days, out.run_id),
     )
 
 
