@@ -29,20 +29,21 @@ def identify(raw: DataFrame) -> DataFrame:
     return raw.withColumnsRenamed(RAW_TO_STAGING).withColumn("staging_id", lead_id("linkedin_url"))
 
 
-def type_columns(df: DataFrame, run_ts: datetime) -> DataFrame:
+def type_columns(df: DataFrame, run_ts: datetime, also: list[str] | None = None) -> DataFrame:
     """Parse dates and scores and fix the staging column list. NaN scores become null."""
     typed = df.select(
         *[
             _timestamp(df, c) if c in DATE_COLUMNS else _score(df) if c == "hot_score" else c
             for c in ("staging_id", *RAW_TO_STAGING.values())
-        ]
+        ],
+        *(also or []),
     )
     return typed.withColumns(
         {
             "record_updated_at": F.greatest(*DATE_COLUMNS),
             "load_timestamp": F.lit(run_ts).cast("timestamp"),
         }
-    ).select(*STAGING_COLUMNS)
+    ).select(*STAGING_COLUMNS, *(also or []))
 
 
 def stage_leads(
@@ -50,15 +51,20 @@ def stage_leads(
     run_ts: datetime,
     order: list[str] = SOURCE_ORDER,
     dedup_nulls: bool = True,
+    copies: str | None = None,
 ) -> DataFrame:
     """Raw rows to staging rows, the last row per lead id, in one shuffle.
 
     Rows without a URL share the null id and collapse to one; `dedup_nulls=False` keeps each of them,
-    spread over all tasks, so that every one reaches the dead letters.
+    spread over all tasks, so that every one reaches the dead letters. `copies` names a column to count the
+    raw rows behind each staging row in.
     """
-    leads = identify(raw)
+    leads, also = identify(raw), [copies] if copies else []
     if dedup_nulls:
-        return type_columns(keep_last(leads, ["staging_id"], order), run_ts)
-    named = keep_last(leads.where(F.col("staging_id").isNotNull()), ["staging_id"], order)
-    nameless = leads.where(F.col("staging_id").isNull())
-    return type_columns(named, run_ts).unionByName(type_columns(nameless, run_ts))
+        return type_columns(keep_last(leads, ["staging_id"], order, copies), run_ts, also)
+    is_nameless = F.col("staging_id").isNull()
+    named = keep_last(leads.where(~is_nameless), ["staging_id"], order, copies)
+    nameless = leads.where(is_nameless)
+    if copies:
+        nameless = nameless.withColumn(copies, F.lit(1).cast("long"))
+    return type_columns(named, run_ts, also).unionByName(type_columns(nameless, run_ts, also))

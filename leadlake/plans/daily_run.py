@@ -121,17 +121,19 @@ def _stage(
     store: Store, raw: DataFrame, run_ts: datetime, settings: Settings, out: Outcome
 ) -> DataFrame:
     """Stage and check the source once, written; set invalid rows aside."""
-    seen = Observation()
-    counted = raw.observe(seen, rows().alias("rows_read"))
-    staged = staging.stage_leads(counted, run_ts, list(settings.order), settings.dedup_nulls)
+    staged = staging.stage_leads(
+        raw, run_ts, list(settings.order), settings.dedup_nulls, copies="_copies"
+    )
     checked = store.write("_staged", validation.with_reasons(staged), out.run_id)
-    out.rows_read = seen.get["rows_read"]
-    dead = checked.where("error_reason <> ''")
-    out.dead_letters = dead.count()
+    is_dead = F.col("error_reason") != ""
+    seen = checked.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("read"), F.count_if(is_dead).alias("dead")
+    ).first()
+    out.rows_read, out.dead_letters = seen.read, seen.dead
     if out.dead_letters:
-        letters = validation.dead_letters(dead, out.run_id, run_ts)
+        letters = validation.dead_letters(checked.where(is_dead), out.run_id, run_ts)
         store.append("dead_letter_leads", letters, out.run_id)
-    return checked
+    return checked.drop("_copies")
 
 
 def _measure(store: Store, changed: DataFrame, out: Outcome) -> list[int]:
@@ -153,19 +155,20 @@ def _write_staging(
     """Rewrite the touched buckets: old rows that do not come in again, and the changed rows.
 
     Few changed rows are broadcast, and old rows go from their bucket files straight to the new ones. Many
-    are shuffled with the old rows on the lead id into as many partitions as there are buckets; partition
-    and bucket use the same hash, so each task writes one bucket.
+    are shuffled with the old rows on the lead id, once, so that each task writes one bucket.
     """
     if complete:
-        merged = changed.repartition(store.buckets, "staging_id")
+        merged = store.by_lead(changed, out.rows_changed)
     elif small_enough(out.rows_changed):
-        existing = store.read("stg_leads", touched)
         merged = incremental.upsert(
-            existing, changed.repartition(store.bucket()), small_rows=out.rows_changed
+            store.read("stg_leads", touched),
+            changed.repartition(store.bucket()),
+            small_rows=out.rows_changed,
         )
     else:
-        existing = store.read("stg_leads", touched).repartition(store.buckets, "staging_id")
-        merged = incremental.upsert(existing, changed.repartition(store.buckets, "staging_id"))
+        existing = store.read("stg_leads", touched)
+        n = max(existing.count(), out.rows_changed)
+        merged = incremental.upsert(store.by_lead(existing, n), store.by_lead(changed, n))
     store.write_buckets("stg_leads", merged, out.run_id)
 
 

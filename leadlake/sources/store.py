@@ -11,6 +11,7 @@ the others keep the directories of earlier runs. One writer at a time.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from math import ceil
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -22,10 +23,11 @@ from leadlake.schemas import TABLES
 
 _PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean"
 _WHOLE = -1  # bucket of a table that is not split
+_ROWS_PER_TASK = 1_000_000  # leads a task shuffles and writes, some 300 MB
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 256):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self._runs: dict[str, dict[int, str]] | None = None
 
@@ -108,9 +110,18 @@ class Store:
     # ------------------------------------------------------------ writing
 
     def bucket(self, key: str = "staging_id") -> Column:
-        """Bucket of a lead. The same hash as Spark's shuffle: n shuffle partitions are n buckets."""
+        """Bucket of a lead, by the same hash that Spark shuffles on."""
         return F.pmod(F.hash(key), F.lit(self.buckets))
 
+    def by_lead(self, df: DataFrame, rows: int, key: str = "staging_id") -> DataFrame:
+        """Shuffle on the lead id into a multiple of the buckets, as many tasks as the rows need.
+
+        With a multiple, all rows of a task belong to one bucket, however large the table gets. Frames
+        shuffled for the same `rows` join on the id without another shuffle.
+        """
+        tasks = self.buckets * max(1, ceil(rows / (self.buckets * _ROWS_PER_TASK)))
+        return df.repartition(tasks, key)
+
     def write(
         self, name: str, df: DataFrame, run_id: str, observe: Observation | None = None, *metrics: Column
     ) -> DataFrame:

@@ -83,10 +83,13 @@ def test_upsert_touches_only_buckets_of_changed_leads(spark, store, monkeypatch,
     assert star.count() == 41 and star.where("agent_key is null").isEmpty()
 
 
-def test_buckets_are_shuffle_partitions(spark, store):
+@pytest.mark.parametrize("rows", [1000, 9_500_000])
+def test_each_shuffle_task_holds_one_bucket(spark, store, rows):
     df = spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("staging_id"))
-    placed = df.repartition(store.buckets, "staging_id").select(F.spark_partition_id().alias("p"), store.bucket().alias("b"))
-    assert placed.where("p <> b").isEmpty()
+    tasks = F.spark_partition_id().alias("task")
+    placed = store.by_lead(df, rows).select(tasks, store.bucket().alias("bucket")).distinct()
+    assert placed.groupBy("task").count().where("count > 1").isEmpty()
+    assert placed.select("task").distinct().count() == (4 if rows == 1000 else 12)
 
 
 def test_full_refresh_replaces_staging(spark, store):
