@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest number of narrow rows (a key and a short name) that is broadcast; about 100 MB.
-BROADCAST_ROWS = 1_000_000
+#: Largest number of narrow rows (a key and a short name) that is broadcast; about 50 MB.
+BROADCAST_ROWS = 500_000
 
 
 def small_enough(rows: int) -> bool:

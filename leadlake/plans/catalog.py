@@ -234,7 +234,7 @@ def dead_letters_every_row(spark, sf):
 
 
 @query
-def pipeline_ledger(spark, sf):
+def run_records(spark, sf):
     return run_ledger(valid(spark, sf))
 
 

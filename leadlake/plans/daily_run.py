@@ -16,6 +16,7 @@ from leadlake.functions.stats import rows
 from leadlake.operators import dims as dimensions
 from leadlake.operators import incremental, quality, reports, risk, staging, star, validation
 from leadlake.operators.checks import alert_events, run_record
+from leadlake.operators.dedup import keep_last
 from leadlake.operators.joins import small_enough
 from leadlake.operators.warehouse import fct_leads
 from leadlake.schemas import RISK_SCORES, SOURCE_ORDER
@@ -33,6 +34,7 @@ class Settings:
     dedup_nulls: bool = True
     as_of: datetime | None = None
     dq_threshold: float = 95.0
+    dq_rsd: float | None = None  # relative error allowed in distinct counts; None counts exactly
     pipeline: str = incremental.PIPELINE
 
 
@@ -166,12 +168,17 @@ def _write_staging(
             small_rows=out.rows_changed,
         )
     else:
-        existing = store.read("stg_leads", touched)
-        n = max(existing.count(), out.rows_changed)
-        merged = incremental.upsert(store.by_lead(existing, n), store.by_lead(changed, n))
+        merged = _merge_by_shuffle(store, store.read("stg_leads", touched), changed, out.rows_changed)
     store.write_buckets("stg_leads", merged, out.run_id)
 
 
+def _merge_by_shuffle(store: Store, existing: DataFrame, changed: DataFrame, n: int) -> DataFrame:
+    """Upsert with one shuffle of both sides: per lead, the changed row comes last."""
+    both = existing.withColumn("_new", F.lit(0)).unionByName(changed.withColumn("_new", F.lit(1)))
+    placed = store.by_lead(both, existing.count() + n)
+    return keep_last(placed, ["staging_id"], ["_new"]).drop("_new")
+
+
 def _write_dims(
     store: Store, changed: DataFrame, run_ts: datetime, out: Outcome
 ) -> dimensions.Dims:
@@ -206,7 +213,9 @@ def _check_quality(
     store: Store, fct: DataFrame, run_ts: datetime, settings: Settings, out: Outcome
 ) -> None:
     """One pass for all scores; the one row of results is recorded, then judged."""
-    scores = quality.dq_scores(fct, run_ts, threshold=settings.dq_threshold)
+    scores = quality.dq_scores(
+        fct, run_ts, threshold=settings.dq_threshold, rsd=settings.dq_rsd
+    )
     found = scores.first()
     out.quality = found.asDict()
     row = store.spark.createDataFrame([found], scores.schema)

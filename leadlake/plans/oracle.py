@@ -337,7 +337,7 @@ ORACLE: dict[str, str] = {
                  SELECT {_STAGING}, 'Missing linkedin_url; Missing staging_id;'
                    || CASE WHEN added_on IS NULL THEN ' Missing added_on;' ELSE '' END FROM nameless)""",
     ),
-    "pipeline_ledger": _with(_LEDGER, "SELECT * FROM ledger"),
+    "run_records": _with(_LEDGER, "SELECT * FROM ledger"),
     "current_watermark": _with(
         _LEDGER,
         """SELECT max(watermark_end) AS watermark FROM ledger

@@ -104,6 +104,12 @@ class Store:
         """Rows (table, exists)."""
         return table_presence(self.spark, ((n, self.exists(n)) for n in names))
 
+    def require_tables(self, names: Iterable[str]) -> None:
+        """Raise when a table was never published."""
+        absent = [n for n in names if not self.exists(n)]
+        if absent:
+            raise RuntimeError(f"required tables are missing: {absent}")
+
     def dims(self) -> Dims:
         return Dims(self.read("dim_agent"), self.read("dim_lead_status"), self.read("dim_date"))
 
@@ -116,8 +122,7 @@ class Store:
     def by_lead(self, df: DataFrame, rows: int, key: str = "staging_id") -> DataFrame:
         """Shuffle on the lead id into a multiple of the buckets, as many tasks as the rows need.
 
-        With a multiple, all rows of a task belong to one bucket, however large the table gets. Frames
-        shuffled for the same `rows` join on the id without another shuffle.
+        With a multiple, all rows of a task belong to one bucket, however large the table gets.
         """
         tasks = self.buckets * max(1, ceil(rows / (self.buckets * _ROWS_PER_TASK)))
         return df.repartition(tasks, key)

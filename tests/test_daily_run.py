@@ -13,6 +13,7 @@ from leadlake.operators import checks, dims
 from leadlake.operators import joins
 from leadlake.operators.quality import QualityError
 from leadlake.operators.star import ReferentialError
+from leadlake.plans import daily_run
 from leadlake.plans.daily_run import Settings, register_views, run_load, tables
 from leadlake.schemas import DIM_LEAD_STATUS, DQ_RESULTS, PIPELINE_RUNS, RAW_TO_STAGING
 from leadlake.sources.files import read_leads_csv
@@ -92,6 +93,15 @@ def test_each_shuffle_task_holds_one_bucket(spark, store, rows):
     assert placed.select("task").distinct().count() == (4 if rows == 1000 else 12)
 
 
+def test_large_upsert_shuffles_once(spark, store):
+    run_load(store, raw(spark, *[lead(n) for n in range(40)]), "r1", NOW, S)
+    rows = store.read("stg_leads")
+    merged = daily_run._merge_by_shuffle(store, rows, rows, 40)
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "hashpartitioning(staging_id" in text
+    assert merged.count() == 40
+
+
 def test_full_refresh_replaces_staging(spark, store):
     run_load(store, raw(spark, *[lead(n) for n in range(30)]), "r1", NOW, S)
     out = run_load(store, raw(spark, lead(3, Name="only")), "r2", NOW, Settings(order=S.order, mode="full"))
@@ -181,6 +191,9 @@ def test_replace_ensure_and_presence(spark, store):
     assert [r.status_key for r in store.read("dim_lead_status").collect()] == [1]
     found = {r.table: r.exists for r in store.required_tables(["dim_lead_status", "dim_agent"]).collect()}
     assert found == {"dim_lead_status": 1, "dim_agent": 0}
+    store.require_tables(["dim_lead_status"])
+    with pytest.raises(RuntimeError, match="dim_agent"):
+        store.require_tables(["dim_lead_status", "dim_agent"])
     columns = {(r.name, r.type, r.nullable) for r in checks.schema_of(dim).collect()}
     assert columns == {("status_key", "bigint", False), ("lead_status", "string", False)}
 
