@@ -14,6 +14,7 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw export columns plus `src_ordinal`, with missing, duplicate and odd values planted by key.
 
     The item dates are aggregated per order before the join, so a huge order costs one row per map task.
+    Orders and aggregated items are of one size; the hint keeps Spark from broadcasting either.
     """
     k = F.col("o_orderkey")
     open_item = F.col("l_linestatus") == "O"
@@ -37,7 +38,7 @@ def raw_leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     leads = (
         table(spark, sf_dir, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(items.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     )
     url = F.lit("https://www.linkedin.com/in/u")
     status = (
