@@ -260,7 +260,7 @@ def build_dims(fct: DataFrame, run_ts: datetime, known: Dims | None = None) -> D
             .unionByName(known.date.select(F.lit("date").alias("kind"), F.col("full_date").cast("string").alias("member")))
         )
         members = members.join(had, ["kind", "member"], "left_anti")
-    ranked = rank_members(members, "kind", "member")
+    ranked = cut_lineage(rank_members(members, "kind", "member"))
 
     def added(kind: str, key: str, name: str, table: DataFrame | None) -> DataFrame:
         last = F.lit(0) if table is None else F.coalesce(table.agg(F.max(key)).scalar(), F.lit(0))
