@@ -47,25 +47,34 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-@contextmanager
-def scratch(spark: SparkSession):
-    """Yields a function that writes a frame to the shared folder and returns the scan of it.
+class Scratch:
+    """Writes frames to the shared folder and returns the scans of them.
 
-    The written tables are removed when the block ends; what leaves it must be written or
-    checkpointed before. They outlive lost executors, as no task keeps them on its own disk.
+    The tables outlive lost executors, as no task keeps them on its own disk.
     """
-    made: list[str] = []
 
-    def keep(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-        path = work_path(spark, name)
-        made.append(path)
+    def __init__(self, spark: SparkSession):
+        self.spark, self.made = spark, []
+
+    def folder(self, name: str) -> str:
+        """A new path, removed with the rest."""
+        self.made.append(work_path(self.spark, name))
+        return self.made[-1]
+
+    def __call__(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+        path = self.folder(name)
         df.write.parquet(path, partitionBy=partition_by, compression="zstd")
-        return spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A Scratch whose tables are removed when the block ends; what leaves the block is checkpointed before."""
+    keep = Scratch(spark)
     try:
         yield keep
     finally:
-        for path in made:
+        for path in keep.made:
             remove(spark, path)
 
 
