@@ -2,4 +2,93 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: Base32 of the hex SHA-1 `hex`: five hex digits are four characters.
+BASE32 = """array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
+    lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        ((('0x' || substr(hex, (5 * i + 1)::int, 5))::int >> b) & 31) + 1, 1)), '')), '')"""
+
+OP3 = f"""
+WITH keyed AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS first FROM keyed GROUP BY hex)
+SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, {BASE32} AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> first THEN first END AS refers_to, NULL::VARCHAR AS problem
+FROM keyed JOIN firsts USING (hex)
+"""
+
+
+def _strength(units: str) -> str:
+    """Pooled rate and prior strength of units (good, n), by moments."""
+    return f"""
+    SELECT rate, (1 - rho) / rho AS strength FROM (
+        SELECT rate, least(greatest(coalesce((yy - rate * y - rate * (1 - rate) * (k - 1))
+            / nullif(rate * (1 - rate) * (m - nn / m - k + 1), 0), 0), 0.001), 0.9) AS rho
+        FROM (SELECT *, coalesce(y / nullif(m, 0), 0.5) AS rate FROM (
+            SELECT sum(good)::DOUBLE AS y, sum(n)::DOUBLE AS m, count(*)::DOUBLE AS k, sum(n * n)::DOUBLE AS nn,
+                sum(good::DOUBLE * good::DOUBLE / n::DOUBLE) AS yy
+            FROM {units} WHERE n > 0)))"""
+
+
+OP4 = rf"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+    FROM pages),
+parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+by_host AS (
+    SELECT host, coalesce(sum(quality), 0) AS good, count(quality) AS n,
+        regexp_extract(host, '^(?:[^@]*@)?([^:]*)', 1) AS bare
+    FROM parts LEFT JOIN labels ON doc_id = page_id GROUP BY host),
+named AS (
+    SELECT *, regexp_extract(bare, '([^.]*)$', 1) AS suffix,
+        CASE WHEN regexp_full_match(bare, '[0-9]+(\.[0-9]+){{3}}') THEN bare
+            ELSE regexp_extract(bare, '([^.]*\.)?[^.]*$') END AS domain
+    FROM by_host),
+by_domain AS (SELECT domain, suffix, sum(good) AS good, sum(n) AS n FROM named GROUP BY domain, suffix),
+by_suffix AS (SELECT suffix, sum(good) AS good, sum(n) AS n FROM by_domain GROUP BY suffix),
+s AS ({_strength('by_suffix')}), d AS ({_strength('by_domain')}), h AS ({_strength('named')}),
+suffixes AS (SELECT suffix, (good + s.rate * s.strength) / (n + s.strength) AS m FROM by_suffix, s),
+domains AS (SELECT domain, suffix, (good + m * d.strength) / (n + d.strength) AS m
+    FROM by_domain JOIN suffixes USING (suffix), d),
+hosts AS (SELECT host, (good + m * h.strength) / (n + h.strength) AS mean, n + h.strength AS weight
+    FROM named JOIN domains USING (domain, suffix), h),
+verdicts AS (SELECT host, CASE WHEN mean - 1.645 * sqrt(mean * (1 - mean) / (weight + 1)) >= 0.6
+    THEN 'allow' ELSE 'block' END AS of_host FROM hosts),
+ruled AS (
+    SELECT page_id, host, path, CASE
+        WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+        WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block' ELSE of_host END AS verdict
+FROM ruled JOIN verdicts USING (host)
+"""
+
+_ESCAPED = r"replace(text, '\', '\\')"
+for _mark in ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "<<ROLE>>", "<</ROLE>>", "<<END>>"):
+    _ESCAPED = f"replace({_ESCAPED}, '{_mark}', '{_mark[0]}\\{_mark[1:]}')"
+
+OP5 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'),
+        (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) v(conv_id, turn, role, text)),
+marked AS (
+    SELECT *, length({_ESCAPED}) + CASE role WHEN 'system' THEN 18 WHEN 'user' THEN 15 ELSE 9 END AS chars
+    FROM turns),
+chats AS (
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+        coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '') AS loss,
+        sum(chars)::BIGINT AS formatted_chars,
+        string_agg(role[1], '' ORDER BY turn, role, text) AS roles
+    FROM marked GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars,
+    regexp_full_match(roles, 's?(ua)+') AS valid
+FROM chats
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": OP3, "op4_host_reputation": OP4, "op5_chat_format": OP5}
