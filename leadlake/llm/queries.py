@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe_count, chat_format, host_reputation, warc
+from leadlake.llm import bpe_count, chat_format, host_reputation, suffix_dedup, warc
 from leadlake.llm.common import scratch, table
 from leadlake.session import cut_lineage
 from leadlake.llm.host_reputation import Rule
@@ -21,6 +21,13 @@ URL_RULES = (
 )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    with scratch(spark) as keep:
+        cut = suffix_dedup.remove_repeats(docs, keep)
+        return cut_lineage(cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     with scratch(spark) as keep:
@@ -74,6 +81,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_suffix_dedup,
         op3_warc,
         op4_host_reputation,
         op5_chat_format,
