@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe_count, chat_format, host_reputation, suffix_dedup, warc
+from leadlake.llm import bpe_count, chat_format, host_reputation, minhash_tensor, suffix_dedup, warc
 from leadlake.llm.common import scratch, table
 from leadlake.session import cut_lineage
 from leadlake.llm.host_reputation import Rule
@@ -78,6 +78,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    with scratch(spark) as keep:
+        return cut_lineage(minhash_tensor.near_duplicates(docs, keep))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -86,5 +92,6 @@ QUERIES = {
         op4_host_reputation,
         op5_chat_format,
         op8_token_counts,
+        op10_minhash_tensor,
     )
 }
