@@ -61,10 +61,13 @@ class Scratch:
         self.made.append(work_path(self.spark, name))
         return self.made[-1]
 
-    def __call__(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    def write(self, df: DataFrame, name: str) -> str:
         path = self.folder(name)
-        df.write.parquet(path, partitionBy=partition_by, compression="zstd")
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.parquet(path, compression="zstd")
+        return path
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        return self.spark.read.schema(df.schema).parquet(self.write(df, name))
 
 
 @contextmanager

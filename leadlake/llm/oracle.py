@@ -91,4 +91,27 @@ SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss)
 FROM chats
 """
 
-ORACLE: dict[str, str] = {"op3_warc": OP3, "op4_host_reputation": OP4, "op5_chat_format": OP5}
+OP6 = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win FROM (
+        SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM (
+            SELECT *, least(10, len(w)) AS size FROM items WHERE len(w) > 0))),
+sizes AS (SELECT DISTINCT size FROM windows),
+spots AS (
+    SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win FROM (
+        SELECT *, unnest(range(1, len(w) - size + 2)) AS i FROM docs, sizes)),
+found AS (SELECT doc_id, i, size, item_id FROM spots JOIN windows USING (size, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found)
+    GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {"op3_warc": OP3, "op4_host_reputation": OP4, "op5_chat_format": OP5, "op6_positional_index": OP6}

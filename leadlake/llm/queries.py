@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe_count, chat_format, host_reputation, minhash_tensor, suffix_dedup, warc
+from leadlake.llm import bpe_count, chat_format, host_reputation, minhash_tensor, positional_index, suffix_dedup, warc
 from leadlake.llm.common import scratch, table
 from leadlake.session import cut_lineage
 from leadlake.llm.host_reputation import Rule
@@ -73,6 +73,13 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    with scratch(spark) as keep:
+        judged = positional_index.contamination(docs, items, keep)
+        return cut_lineage(judged.drop("item_ids"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -91,6 +98,7 @@ QUERIES = {
         op3_warc,
         op4_host_reputation,
         op5_chat_format,
+        op6_positional_index,
         op8_token_counts,
         op10_minhash_tensor,
     )
