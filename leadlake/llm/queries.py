@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm import bpe_count, chat_format, host_reputation, minhash_tensor, positional_index, suffix_dedup, warc
+from leadlake.llm import (
+    bpe_count,
+    chat_format,
+    ffd_packing,
+    host_reputation,
+    minhash_tensor,
+    positional_index,
+    suffix_dedup,
+    warc,
+)
 from leadlake.llm.common import scratch, table
 from leadlake.session import cut_lineage
 from leadlake.llm.host_reputation import Rule
@@ -85,6 +94,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_ffd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    with scratch(spark) as keep:
+        return cut_lineage(ffd_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep))
+
+
 def op10_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     with scratch(spark) as keep:
@@ -100,6 +115,7 @@ QUERIES = {
         op5_chat_format,
         op6_positional_index,
         op8_token_counts,
+        op9_ffd_packing,
         op10_minhash_tensor,
     )
 }
