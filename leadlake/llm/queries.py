@@ -13,6 +13,7 @@ from leadlake.llm import (
     host_reputation,
     minhash_tensor,
     positional_index,
+    quality_llr,
     suffix_dedup,
     warc,
 )
@@ -30,6 +31,11 @@ URL_RULES = (
 )
 
 
+def op1_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_llr.judge(docs, labels.where("quality = 1"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     with scratch(spark) as keep:
@@ -109,6 +115,7 @@ def op10_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_quality_llr,
         op2_suffix_dedup,
         op3_warc,
         op4_host_reputation,
