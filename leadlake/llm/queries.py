@@ -15,6 +15,7 @@ from leadlake.llm import (
     positional_index,
     quality_llr,
     suffix_dedup,
+    toxicity,
     warc,
 )
 from leadlake.llm.common import scratch, table
@@ -95,6 +96,13 @@ def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         return cut_lineage(judged.drop("item_ids"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe_count.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -121,6 +129,7 @@ QUERIES = {
         op4_host_reputation,
         op5_chat_format,
         op6_positional_index,
+        op7_toxicity,
         op8_token_counts,
         op9_ffd_packing,
         op10_minhash_tensor,
