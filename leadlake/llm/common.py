@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -70,6 +71,21 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.write(df, name))
 
 
+def lasting(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder for the rest of the session, and return the scan of it: for results of
+    the size of the corpus, which a checkpoint would hold uncompressed. Removed when the process ends."""
+    spark = df.sparkSession
+    path = work_path(spark, name)
+    df.write.parquet(path, compression="zstd")
+    atexit.register(_remove_late, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_late(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove(spark, path)
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """A Scratch whose tables are removed when the block ends; what leaves the block is checkpointed before."""
