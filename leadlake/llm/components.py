@@ -31,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of `links` (a, b): the smallest node that can be reached.
 
     Each step is checkpointed; only a count and a checksum reach the driver. A node with links to a third of all
-    others is a hot join key, which AQE splits. No links: no rows.
+    others is one partial minimum a task, and a join key that AQE splits. Repeated links and links of a node to
+    itself change nothing. No links: no rows.
     """
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     edges, before = cut_lineage(edges), None

@@ -5,14 +5,16 @@ them, so 12 collections of 2 give 66 tables of 4 hashes from 24 minhashes instea
 s meet in a table unless fewer than two collections agree: at s = 0.85 that is 7 in a million. More rows a
 collection (with more collections) suit larger corpora.
 
-Texts with equal sets are one node from the start. A bucket never emits all its pairs: its members are compared
-with one pivot, pairs that are already connected are left out, and when pivots have joined what belongs together
-the few pairs left between different components are compared, so no link that decides a component is missed.
+Texts with equal sets are one node from the start. A bucket never emits all its pairs. First its members meet the
+smallest of them, and what is linked becomes one component. Then only members outside the component of their
+bucket's smallest one meet the rest: each pair in the first table that holds both, and only if sketches of up to
+1,024 further minhashes do not rule the link out, so no link that decides a component is missed.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,9 +36,21 @@ class Settings:
     percent: int = 85
     collections: int = 12
     rows: int = 2
-    #: Pivot rounds go on while more pairs than these per open member are left between components.
-    pairs_per_member: int = 4
-    most_rounds: int = 6
+
+
+#: Minhashes of a sketch, of which four bits each are kept; and of the finer one that only documents get whose
+#: buckets hold more than one component.
+SKETCHED, FINE = 128, 1024
+#: Deviations from the mean of a sketch's distance at the least similarity that are let through: one pair in
+#: some millions at that similarity lies beyond.
+DEVIATIONS = 5.5
+
+
+def most_distance(percent: int, hashed: int) -> int:
+    """Greatest number of bits in which sketches may differ: an unequal minhash differs in two of four on average."""
+    unequal = 1 - percent / 100
+    deviation = math.sqrt(hashed * (5 * unequal - 4 * unequal**2))
+    return math.ceil(2 * hashed * unequal + DEVIATIONS * deviation)
 
 
 def _seeds(n: int) -> np.ndarray:
@@ -46,8 +60,9 @@ def _seeds(n: int) -> np.ndarray:
 def minhashes(shingles: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     """Least value under each of the hash functions."""
     least = np.full(len(seeds), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1 << 14):
-        some = shingles[at : at + (1 << 14)]
+    step = max(1, (1 << 18) // len(seeds))
+    for at in range(0, len(shingles), step):
+        some = shingles[at : at + step]
         np.minimum(least, ((some[:, None] ^ seeds) * (seeds | np.uint64(1))).min(axis=0), out=least)
     return least
 
@@ -61,9 +76,16 @@ def collection_hashes(least: np.ndarray, rows: int) -> np.ndarray:
 
 
 def table_keys(hashes: np.ndarray) -> np.ndarray:
-    """Keys for all pairs of collections; a key tells its table, as each collection's hash holds its number."""
+    """Keys for all pairs of collections; the last eight bits are the table's number."""
     first, second = np.triu_indices(hashes.shape[-1], 1)
-    return mixed(hashes[..., first] * np.uint64(0x9E3779B97F4A7C15) + hashes[..., second])
+    keys = mixed(hashes[..., first] * np.uint64(0x9E3779B97F4A7C15) + hashes[..., second])
+    return (keys << np.uint64(8)) | np.arange(len(first), dtype=np.uint64)
+
+
+def sketch_of(least: np.ndarray) -> np.ndarray:
+    """Four bits of each minhash, sixteen to a long."""
+    bits = (least >> np.uint64(40)) & np.uint64(15)
+    return (bits.reshape(-1, 16) << np.arange(0, 64, 4, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
 def set_digest(shingles: np.ndarray) -> bytes:
@@ -71,24 +93,32 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n_shingles, digest, hashes) of `docs` (doc_id, text); digest and hashes are null for an empty set."""
-    seeds = _seeds(settings.collections * settings.rows)
+    """(doc_id, n_shingles, digest, hashes, sketch) of `docs` (doc_id, text); the last three are null for an empty
+    set."""
+    hashed = settings.collections * settings.rows
+    seeds = _seeds(hashed + SKETCHED)
 
     def sign(batches):
         for batch in batches:
             sets = text_shingles(*text_bytes(arrow_column(batch, "text")), settings.words)
-            hashes = [collection_hashes(minhashes(s, seeds), settings.rows).tobytes() if len(s) else None for s in sets]
+            hashes, sketches = [], []
+            for shingles in sets:
+                least = minhashes(shingles, seeds) if len(shingles) else None
+                hashes.append(None if least is None else collection_hashes(least[:hashed], settings.rows).view(np.int64))
+                sketches.append(None if least is None else sketch_of(least[hashed:]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     arrow_column(batch, "doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array(hashes, pa.binary()),
+                    pa.array(hashes, pa.list_(pa.int64())),
+                    pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "digest", "hashes"],
+                ["doc_id", "n_shingles", "digest", "hashes", "sketch"],
             )
 
-    return docs.mapInArrow(sign, "doc_id long, n_shingles long, digest binary, hashes binary")
+    kinds = "doc_id long, n_shingles long, digest binary, hashes array<long>, sketch array<long>"
+    return docs.mapInArrow(sign, kinds)
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -96,10 +126,9 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
 
     def explode(batches):
         for batch in batches:
-            packed = arrow_column(batch, "hashes").to_pylist()
-            if not packed:
+            if not len(batch):
                 continue
-            hashes = np.frombuffer(b"".join(packed), np.uint64).reshape(len(packed), -1)
+            hashes = arrow_column(batch, "hashes").flatten().to_numpy().view(np.uint64).reshape(len(batch), -1)
             keys = table_keys(hashes)
             node = np.repeat(arrow_column(batch, "node").to_numpy(zero_copy_only=False), keys.shape[1])
             yield pa.RecordBatch.from_arrays(
@@ -135,33 +164,59 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def _pivot_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Each member of an open bucket with the bucket's pivot, unless they are connected."""
-    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    pivots = members.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.struct(order, "node")).alias("pivot"))
-    pairs = members.join(pivots, "key").where(F.col("component") != F.col("pivot.component"))
-    return pairs.select(F.col("node").alias("a"), F.col("pivot.node").alias("b")).distinct()
+def fine_sketches(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(node, fine) of `texts` (node, text)."""
+    seeds = _seeds(settings.collections * settings.rows + SKETCHED + FINE)[-FINE:]
+
+    def sign(batches):
+        for batch in batches:
+            sets = text_shingles(*text_bytes(arrow_column(batch, "text")), settings.words)
+            fine = [sketch_of(minhashes(s, seeds)).view(np.int64) for s in sets]
+            yield pa.RecordBatch.from_arrays([arrow_column(batch, "node"), pa.array(fine, pa.list_(pa.int64()))], ["node", "fine"])
+
+    return texts.select("node", "text").mapInArrow(sign, "node long, fine array<long>")
+
 
+def _close(a: str, b: str, hashed: int, settings: Settings) -> str:
+    """SQL: the sketches a and b do not rule a link out."""
+    bits = " + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(hashed // 16))
+    return f"{bits} <= {most_distance(settings.percent, hashed)}"
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """The pairs of an open bucket whose members lie in different components."""
-    other = members.select("key", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    pairs = members.join(other, "key").where("component < of_b")
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+
+def _pivot_pairs(members: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): each member of a bucket with the smallest one."""
+    pivots = members.groupBy("key").agg(F.min("node").alias("b"))
+    pairs = members.join(pivots, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    sketched = nodes.select("node", "sketch")
+    x, y = sketched.alias("x"), sketched.alias("y")
+    near = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+    return near.where(_close("x.sketch", "y.sketch", SKETCHED, settings)).select("a", "b")
 
 
 def _open_members(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold several components."""
+    """Members (key, node, component) of buckets that hold several components, with the smallest one as `low`."""
     several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(several.where("low < high").select("key"), "key")
+    return members.join(several.where("low < high").select("key", "low"), "key")
+
 
+def _rest_pairs(opened: DataFrame, nodes: DataFrame, fine: DataFrame, settings: Settings) -> DataFrame:
+    """(a, b): what may still be linked in open buckets.
 
-def _pairs_left(members: DataFrame) -> tuple[int, int]:
-    """Open members, and pairs of different components in their buckets."""
-    sizes = members.groupBy("key", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    buckets = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-    found = buckets.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()
-    return int(found[0] or 0), int(found[1] or 0)
+    a lies outside the component of its bucket's smallest component, b in any other than a's. A pair is formed in
+    the first table that holds both, which their collection hashes tell.
+    """
+    opened = opened.join(nodes.select("node", "hashes", "sketch"), "node").join(fine, "node")
+    n = settings.collections
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
+    earlier = [sum(1 << c for c in range(j) if c != i) for i, j in pairs]
+    masks = f"array({', '.join(map(str, earlier))})"
+    agreeing = " + ".join(f"IF(x.hashes[{c}] = y.hashes[{c}], {1 << c}, 0)" for c in range(n))
+    condition = f"""x.key = y.key AND x.component <> y.component AND (y.component = x.low OR x.node < y.node)
+        AND ({agreeing}) & x.earlier = 0 AND {_close("x.sketch", "y.sketch", SKETCHED, settings)}
+        AND {_close("x.fine", "y.fine", FINE, settings)}"""
+    x = opened.where("component <> low").withColumn("earlier", F.expr(f"{masks}[int(key & 255)]"))
+    found = x.alias("x").join(opened.alias("y"), F.expr(condition))
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def near_duplicates(
@@ -178,15 +233,16 @@ def near_duplicates(
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = keep(signatures(docs, settings), "signatures")
     named = signed.where("digest is not null and doc_id is not null")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("hashes").alias("hashes"))
-    nodes = keep(
-        classes.groupBy("node").agg(F.min_by(F.struct("digest", "hashes"), "digest").alias("x")).select("node", "x.*"),
-        "nodes",
+    classes = keep(
+        named.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first(F.struct("hashes", "sketch")).alias("of")),
+        "classes",
     )
+    one = F.min_by(F.struct("digest", "of.hashes", "of.sketch"), "digest").alias("x")
+    nodes = keep(classes.groupBy("node").agg(one).select("node", "x.*"), "nodes")
 
     rows = bucket_rows(nodes)
     shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = keep(rows.join(shared.select("key"), "key").withColumn("component", F.col("node")), "members")
+    members = keep(rows.join(shared.select("key"), "key"), "members")
 
     # one text for each node of an open bucket; rows of a repeated id that hold another set fall away
     wanted = members.select("node").distinct().join(nodes.select("node", "digest"), "node")
@@ -201,39 +257,22 @@ def near_duplicates(
 
     texts = keep(found.mapInArrow(same_set, "node long, text string").dropDuplicates(["node"]), "texts")
 
-    links, labels, tried = None, None, None
-    for turn in range(settings.most_rounds + 1):
-        n, left = _pairs_left(members)
-        if not left:
-            break
-        last = turn == settings.most_rounds or (turn > 0 and left <= settings.pairs_per_member * n)
-        pairs = _cross_pairs(members) if last else _pivot_pairs(members, turn)
-        pairs = pairs.select(F.col("a"), F.col("b"))
-        if tried is not None and last:
-            pairs = pairs.join(tried, F.sort_array(F.array("a", "b")) == F.col("pair"), "left_anti")
-        pairs = keep(pairs, f"pairs-{turn}")
-        new = keep(confirmed(pairs, texts, settings), f"links-{turn}")
-        links = new if links is None else links.unionByName(new)
-        labels = components(links)
-        done = pairs.select(F.sort_array(F.array("a", "b")).alias("pair"))
-        tried = done if tried is None else tried.unionByName(done)
-        if last:
-            break
-        known = labels.select("node", F.col("component").alias("new"))
-        members = members.join(known, "node", "left").select(
-            "key", "node", F.coalesce("new", "component").alias("component")
-        )
-        members = keep(_open_members(members), f"members-{turn}")
+    first = keep(confirmed(keep(_pivot_pairs(members, nodes, settings), "first-pairs"), texts, settings), "first-links")
+    labels = components(first)
+    known = labels.select("node", "component")
+    labelled = members.join(known, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component")
+    )
+    opened = keep(_open_members(labelled), "open-members")
+    fine = keep(fine_sketches(texts.join(opened.select("node").distinct(), "node"), settings), "fine-sketches")
+    rest = keep(_rest_pairs(opened, nodes, fine, settings), "rest-pairs")
+    more = keep(confirmed(rest, texts, settings), "rest-links")
+    labels = components(first.unionByName(more))
 
     by_digest = classes.select("digest", "node")
-    result = signed.join(by_digest, "digest", "left")
-    if labels is None:
-        component = F.col("node")
-    else:
-        result = result.join(cut_lineage(labels), "node", "left")
-        component = F.coalesce("component", "node")
-    # a row whose own id is smaller than its class's node can't be: the node is the smallest id of the class
-    component = F.coalesce(component, "doc_id")
+    result = signed.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
+    result = result.join(cut_lineage(labels), "node", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return result.select(
         F.col("doc_id").alias(id_col),
         "n_shingles",
