@@ -133,11 +133,10 @@ class Members:
             yield got
 
     def rest(self) -> bytes:
-        """What the member still holds; more than a chunk of it is only noted, not kept."""
-        while len(self.out) <= CHUNK and self.more():
+        """What the member still holds; of more than the empty lines that should be there, the beginning."""
+        while len(self.out) <= len(RECORD_END) and self.more():
             pass
-        kept = self.out
-        self.out = b""
+        kept, self.out = self.out[: len(RECORD_END) + 1], b""
         while self.more():
             self.out = b""
         return kept
