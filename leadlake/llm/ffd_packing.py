@@ -7,7 +7,9 @@ A tournament tree over the room of each sequence finds that one in logarithmic t
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,14 +19,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadlake.llm.bpe_count import byte_names
 from leadlake.llm.common import Scratch, arrow_column
 
 #: Words that a task remembers with their ids, and their greatest length.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+REMEMBERED, REMEMBERED_CHARS = 500_000, 64
 #: Characters of a text that are tokenised at once.
 SLICE = 1 << 20
 
 
+#: Words of ASCII and Latin-1 letters only.
+LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "deal", "ids"]
 
 
@@ -41,20 +46,47 @@ class Ids(dict):
     """Ids of words as little-endian 32-bit numbers, for a tokenizer that drops white space.
 
     Such a tokenizer takes each stretch between blanks by itself, so the ids of a text are those of its stretches.
+    Words met lately are remembered: when the memory is full it becomes the old one, of which words that come
+    again are taken over.
     """
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
+        self.old: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model, self.names = self.tokenizer.model, byte_names()
+        #: Whether words of Latin letters may go to the model straight away: tried on some.
+        self.direct = False
+        self.direct = all(self.letters(w) == self.whole(w) for w in ("The", "ZEBRAS", "élan", "Straße", "qxzjÿÀþ"))
+
+    def whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def letters(self, word: str) -> bytes:
+        """Of a word of Latin letters: no normalisation but case, and no cut inside."""
+        low = word.lower()
+        if low != word and self.direct:
+            return self[low]
+        mapped = low if low.isascii() else "".join([self.names[b] for b in low.encode("utf-8")])
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            # between an ASCII letter and a full stop or comma every word pattern of this kind cuts
+            if word[-1] in ".," and len(word) > 1 and word[-2].isascii() and word[-2].isalpha():
+                ids = self[word[:-1]] + self[word[-1]]
+            elif self.direct and LATIN(word):
+                ids = self.letters(word)
+            else:
+                ids = self.whole(word)
         if len(word) <= REMEMBERED_CHARS:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
                 self[""] = b""
             self[word] = ids
