@@ -7,7 +7,6 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.operators.joins import small_enough
 
 PIPELINE = "leads_ingestion"
 
@@ -46,18 +45,10 @@ def incremental_rows(
     return src.where(F.col("record_updated_at") > F.lit(watermark - (overlap or timedelta(0))))
 
 
-def upsert(
-    existing: DataFrame, incoming: DataFrame, key: str = "staging_id", small_rows: int | None = None
-) -> DataFrame:
-    """Existing rows whose key does not come in again, plus all incoming rows.
-
-    Give `small_rows`, the known number of incoming rows, to broadcast their keys when few enough; existing
-    rows then stay where they are. Otherwise both sides shuffle on the key.
-    """
-    keys = incoming.select(key)
-    if small_rows is not None and small_enough(small_rows):
-        keys = F.broadcast(keys)
-    return existing.join(keys, key, "left_anti").select(incoming.columns).unionByName(incoming)
+def upsert(existing: DataFrame, incoming: DataFrame, key: str = "staging_id") -> DataFrame:
+    """Existing rows whose key does not come in again, plus all incoming rows."""
+    kept = existing.join(incoming.select(key), key, "left_anti")
+    return kept.select(incoming.columns).unionByName(incoming)
 
 
 def incremental_step(

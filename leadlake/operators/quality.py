@@ -51,16 +51,17 @@ def _completeness_score() -> Column:
     return _score(found + F.col("valid_agent"), F.col("total_rows") * 4)
 
 
-def _distinct(column: str, rsd: float | None) -> Column:
-    """Exact distinct count, or an estimate with the given relative error when asked for."""
-    return F.count_distinct(column) if rsd is None else F.approx_count_distinct(column, rsd)
+def _with_counts(fct: DataFrame, rsd: float | None, *counts: Column) -> DataFrame:
+    """One row: the counts, and the distinct ids and URLs, exact or estimated with a relative error.
 
-
-def _uniqueness_counts(rsd: float | None) -> list[Column]:
-    return [
-        _distinct("staging_id", rsd).alias("unique_staging_ids"),
-        _distinct("linkedin_url", rsd).alias("unique_linkedin_urls"),
-    ]
+    Each exact distinct count is an aggregate of its own over its one column: beside others it would
+    multiply every row.
+    """
+    names = {"unique_staging_ids": "staging_id", "unique_linkedin_urls": "linkedin_url"}
+    if rsd is not None:
+        return fct.agg(*counts, *[F.approx_count_distinct(c, rsd).alias(n) for n, c in names.items()])
+    found = {n: fct.select(c).where(F.col(c).isNotNull()).distinct() for n, c in names.items()}
+    return fct.agg(*counts).withColumns({n: d.agg(rows().alias("n")).scalar() for n, d in found.items()})
 
 
 def _uniqueness_score() -> Column:
@@ -106,7 +107,7 @@ def dq_completeness(fct: DataFrame) -> DataFrame:
 
 def dq_uniqueness(fct: DataFrame, rsd: float | None = None) -> DataFrame:
     """Mean share of distinct ids and distinct URLs. Nulls are not counted as values."""
-    counts = fct.agg(rows().alias("total_rows"), *_uniqueness_counts(rsd))
+    counts = _with_counts(fct, rsd, rows().alias("total_rows"))
     return counts.withColumn("uniqueness_score", _uniqueness_score())
 
 
@@ -141,9 +142,10 @@ def dq_scores(
     The fact holds each staging row once, so timeliness comes from the same pass; give `stg` when staging
     differs from the fact.
     """
-    counts = fct.agg(
+    counts = _with_counts(
+        fct,
+        rsd,
         *_completeness_counts(),
-        *_uniqueness_counts(rsd),
         *_validity_counts(statuses),
         *(_timeliness_counts(as_of) if stg is None else []),
     )

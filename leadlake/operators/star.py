@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from leadlake.functions.stats import rows
 from leadlake.functions.text import norm_agent, norm_status
 from leadlake.operators.dims import Dims, canonical_status
-from leadlake.operators.joins import sized
 from leadlake.schemas import FCT_LEADS_STAR, KEY_COLUMNS
 
 
@@ -19,8 +18,8 @@ class ReferentialError(RuntimeError):
 def star_fact(fct: DataFrame, dims: Dims) -> DataFrame:
     """Fact rows with agent, status and date keys; agent and status come out normalised.
 
-    Each dimension is reduced to one key per join value first (the highest), so no row can multiply. Small
-    dimensions are broadcast: the fact is not shuffled, whatever its skew.
+    Each dimension is reduced to one key per join value first (the highest), so no row can multiply. Spark
+    chooses by bytes whether a dimension is broadcast or both sides are shuffled, where AQE splits hot values.
     """
     agents = (
         dims.agent.where("is_current")
@@ -37,11 +36,10 @@ def star_fact(fct: DataFrame, dims: Dims) -> DataFrame:
             "_added": F.to_date("added_on"),
         }
     )
-    n_agents, n_statuses, n_days = dims.rows
     return (
-        keyed.join(sized(agents, n_agents), "agent", "left")
-        .join(sized(canonical_status(dims.status), n_statuses), "lead_status", "left")
-        .join(sized(days, n_days), "_added", "left")
+        keyed.join(agents, "agent", "left")
+        .join(canonical_status(dims.status), "lead_status", "left")
+        .join(days, "_added", "left")
         .select(*FCT_LEADS_STAR.names)
     )
 
@@ -95,12 +93,11 @@ VIEW_COLUMNS = [
 def vw_leads_analytics(fact: DataFrame, dims: Dims) -> DataFrame:
     """Narrow fact with its dimension attributes; a key without a dimension row shows as null."""
     keyed = fact
-    sides = zip((dims.agent, dims.status, dims.date), KEY_COLUMNS, dims.rows, strict=True)
-    for dim, key, count in sides:
+    for dim, key in zip((dims.agent, dims.status, dims.date), KEY_COLUMNS, strict=True):
         # the view shows the key of the dimension row, null when there is none
         side = dim.withColumnRenamed(key, f"_{key}")
         keyed = (
-            keyed.join(sized(side, count), F.col(key) == F.col(f"_{key}"), "left")
+            keyed.join(side, F.col(key) == F.col(f"_{key}"), "left")
             .drop(key)
             .withColumnRenamed(f"_{key}", key)
         )

@@ -17,7 +17,6 @@ from leadlake.operators import dims as dimensions
 from leadlake.operators import incremental, quality, reports, risk, staging, star, validation
 from leadlake.operators.checks import alert_events, run_record
 from leadlake.operators.dedup import keep_last
-from leadlake.operators.joins import small_enough
 from leadlake.operators.warehouse import fct_leads
 from leadlake.schemas import RISK_SCORES, SOURCE_ORDER
 from leadlake.sources.store import Store
@@ -89,9 +88,7 @@ def _load(
     out.watermark_start = incremental.moment(
         incremental.current_watermark(store.finished_runs(), settings.pipeline)
     )
-    complete = settings.mode == "full" or (
-        settings.use_watermark and out.watermark_start is None
-    )
+    complete = settings.mode == "full" or not store.exists("stg_leads")
     changed = valid
     if settings.use_watermark and not complete:
         changed = incremental.incremental_rows(valid, out.watermark_start, settings.overlap)
@@ -156,29 +153,19 @@ def _write_staging(
 ) -> None:
     """Rewrite the touched buckets: old rows that do not come in again, and the changed rows.
 
-    Few changed rows are broadcast, and old rows go from their bucket files straight to the new ones. Many
-    are shuffled with the old rows on the lead id, once, so that each task writes one bucket.
+    Both are shuffled on the lead id, once, so that each task writes one bucket; per lead, the changed row
+    comes last.
     """
     if complete:
         merged = store.by_lead(changed, out.rows_changed)
-    elif small_enough(out.rows_changed):
-        merged = incremental.upsert(
-            store.read("stg_leads", touched),
-            changed.repartition(store.bucket()),
-            small_rows=out.rows_changed,
-        )
     else:
-        merged = _merge_by_shuffle(store, store.read("stg_leads", touched), changed, out.rows_changed)
+        existing = store.read("stg_leads", touched)
+        both = existing.withColumn("_new", F.lit(0)).unionByName(changed.withColumn("_new", F.lit(1)))
+        placed = store.by_lead(both, existing.count() + out.rows_changed)
+        merged = keep_last(placed, ["staging_id"], ["_new"]).drop("_new")
     store.write_buckets("stg_leads", merged, out.run_id)
 
 
-def _merge_by_shuffle(store: Store, existing: DataFrame, changed: DataFrame, n: int) -> DataFrame:
-    """Upsert with one shuffle of both sides: per lead, the changed row comes last."""
-    both = existing.withColumn("_new", F.lit(0)).unionByName(changed.withColumn("_new", F.lit(1)))
-    placed = store.by_lead(both, existing.count() + n)
-    return keep_last(placed, ["staging_id"], ["_new"]).drop("_new")
-
-
 def _write_dims(
     store: Store, changed: DataFrame, run_ts: datetime, out: Outcome
 ) -> dimensions.Dims:

@@ -110,6 +110,15 @@ star AS (
 
 
 _NAMED = "named AS (SELECT * FROM fct WHERE trim(agent) <> '')"
+#: Leads of two loads: the newer batches first, then the first batch, which wins where both hold a lead.
+_TWO_LOADS = f"""
+arrived AS (SELECT *, CASE WHEN {_NEWEST} < TIMESTAMP '1997-01-01' THEN 2 ELSE 1 END AS load_no
+  FROM identified WHERE trim(agent) <> ''),
+each_load AS (SELECT * FROM arrived
+  QUALIFY row_number() OVER (PARTITION BY load_no, staging_id ORDER BY src_ordinal DESC) = 1),
+loaded AS (SELECT *, {_NEWEST} AS record_updated_at, TIMESTAMP '2002-01-01 00:00:00' AS load_timestamp
+  FROM each_load WHERE staging_id IS NOT NULL AND added_on IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY staging_id ORDER BY load_no DESC) = 1)"""
 
 
 def _with(*parts: str) -> str:
@@ -118,14 +127,12 @@ def _with(*parts: str) -> str:
 
 
 def _sound(*parts: str) -> str:
-    """Like `_with`, from raw leads that have an agent and a date of adding."""
-    return _with(*parts).replace(
-        "FROM raw)", "FROM raw WHERE trim(agent) <> '' AND added_on IS NOT NULL)"
-    )
+    """Like `_with`, from raw leads that have an agent."""
+    return _with(*parts).replace("FROM raw)", "FROM raw WHERE trim(agent) <> '')")
 
 
 def _on_star(select: str) -> str:
-    return _with(_NAMED, _star("named"), select)
+    return _with(_star("fct"), select)
 
 
 _COUNTS = """count(*) AS total_leads, count_if(is_contacted = 1) AS contacted_leads,
@@ -352,9 +359,7 @@ ORACLE: dict[str, str] = {
     "upsert_leads": _with(
         _RESENT,
         f"""SELECT * FROM resent
-            UNION ALL SELECT {_STAGING} FROM batched WHERE batch = 2
-            UNION ALL SELECT {_STAGING} FROM batched
-              WHERE batch = 1 AND staging_id NOT IN (SELECT staging_id FROM resent)""",
+            UNION ALL SELECT {_STAGING} FROM batched WHERE staging_id NOT IN (SELECT staging_id FROM resent)""",
     ),
     "incremental_staging": _with(
         _RESENT,
@@ -364,6 +369,8 @@ ORACLE: dict[str, str] = {
     "load_in_batches": _sound("SELECT * EXCLUDE (load_timestamp) FROM leads"),
     "load_then_risk": _sound(_RISK_BASE, _RATES, _SCORED, "SELECT * FROM risk"),
     "stream_staging": _sound("SELECT * FROM leads"),
+    "load_two_pipelines": _with(_TWO_LOADS, f"SELECT {_STAGING} FROM loaded"),
+    "load_stream_then_batch": _with(_TWO_LOADS, f"SELECT {_STAGING} FROM loaded"),
     "watermark_advance": _with(
         _BATCHED,
         """SELECT max(record_updated_at) FILTER (batch < 3) AS watermark_start,
@@ -569,7 +576,10 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT 'orphan_statuses', count_if(status_key IS NULL), CAST(count_if(status_key IS NULL) = 0 AS INT) FROM star
            UNION ALL SELECT 'orphan_dates', count_if(date_key IS NULL), CAST(count_if(date_key IS NULL) = 0 AS INT) FROM star
            UNION ALL SELECT 'scd_structure', count(*), CAST(count(*) > 0 AS INT) FROM dim_agent
-           UNION ALL SELECT 'verdict', 0, 1"""
+           UNION ALL SELECT 'verdict', failed, CAST(failed = 0 AS INT) FROM (
+             SELECT CAST(count(*) = 0 AS INT) + CAST(count(*) > count(DISTINCT staging_id) AS INT)
+               + CAST(count_if(agent_key IS NULL) > 0 AS INT) + CAST(count_if(status_key IS NULL) > 0 AS INT)
+               + CAST(count_if(date_key IS NULL) > 0 AS INT) AS failed FROM star)"""
     ),
     "alert_events": _with(
         _LEDGER,

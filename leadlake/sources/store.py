@@ -5,7 +5,8 @@ that names all its tables at once. Repeating a load rewrites its own directory o
 being read is ever overwritten. Where a table format with MERGE is installed, use that instead.
 
 `stg_leads` and the star fact are split into buckets by lead id; a run rewrites the buckets it touches and
-the others keep the directories of earlier runs. One writer at a time.
+the others keep the directories of earlier runs. The number of buckets is kept with them: opening a store
+with another one is an error, as leads would land in other buckets than before. One writer at a time.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from leadlake.operators.checks import table_presence
 from leadlake.operators.dims import Dims
 from leadlake.schemas import TABLES
 
-_PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean"
+_PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean, buckets int"
 _WHOLE = -1  # bucket of a table that is not split
 _ROWS_PER_TASK = 1_000_000  # leads a task shuffles and writes, some 300 MB
 
@@ -64,11 +65,14 @@ class Store:
                 entries.join(since, "table", "left")
                 .where(F.col("seq") >= F.coalesce("_since", F.lit(0)))
                 .groupBy("table", "bucket")
-                .agg(F.max_by("run_id", "seq").alias("run_id"))
+                .agg(F.max_by("run_id", "seq").alias("run_id"), F.max("buckets").alias("buckets"))
             )
-            self._runs = {}
+            runs: dict[str, dict[int, str]] = {}
             for r in latest.collect():
-                self._runs.setdefault(r.table, {})[r.bucket] = r.run_id
+                if r.bucket != _WHOLE and r.buckets not in (None, self.buckets):
+                    raise ValueError(f"{r.table} is kept in {r.buckets} buckets, not in {self.buckets}")
+                runs.setdefault(r.table, {})[r.bucket] = r.run_id
+            self._runs = runs
         return self._runs.get(name, {})
 
     def _path(self, name: str, run_id: str, bucket: int = _WHOLE) -> str:
@@ -157,7 +161,7 @@ class Store:
         """
         last = self.published().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("seq")).first().seq
         rows = [
-            (last + 1, run_id, name, bucket, complete)
+            (last + 1, run_id, name, bucket, complete, self.buckets)
             for name, buckets in tables.items()
             for bucket in ([_WHOLE] if buckets is None else sorted(buckets))
         ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +39,10 @@ def stream_leads(
     """Start loading all files that have landed and stop when they are done; the next start takes new files.
 
     The stream's own checkpoint knows which files are done, so rows are not filtered by the watermark. Each
-    micro-batch is one run with an id of its own: a batch that is replayed after a failure loads once.
+    micro-batch is one run with an id of its own: a batch that is replayed after a failure loads once. Runs
+    enter the ledger under the stream's name, so its newest date is no watermark of the daily load.
     """
+    settings = replace(settings, pipeline=name)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         here = Store(batch.sparkSession, store.root, store.buckets)

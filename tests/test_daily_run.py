@@ -10,10 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlake.operators import checks, dims
-from leadlake.operators import joins
 from leadlake.operators.quality import QualityError
 from leadlake.operators.star import ReferentialError
-from leadlake.plans import daily_run
 from leadlake.plans.daily_run import Settings, register_views, run_load, tables
 from leadlake.schemas import DIM_LEAD_STATUS, DQ_RESULTS, PIPELINE_RUNS, RAW_TO_STAGING
 from leadlake.sources.files import read_leads_csv
@@ -67,9 +65,7 @@ def test_repeat_run_adds_nothing(spark, store):
     assert store.ledger("pipeline_runs").count() == 2
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 0])
-def test_upsert_touches_only_buckets_of_changed_leads(spark, store, monkeypatch, limit):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", limit)
+def test_upsert_touches_only_buckets_of_changed_leads(spark, store):
     run_load(store, raw(spark, *[lead(n) for n in range(40)]), "r1", NOW, S)
     keys = {r.agent_name: r.agent_key for r in store.read("dim_agent").collect()}
     change = [lead(7, 2, Name="changed", Agent="newcomer"), lead(99, 2, Name="new")]
@@ -93,13 +89,18 @@ def test_each_shuffle_task_holds_one_bucket(spark, store, rows):
     assert placed.select("task").distinct().count() == (4 if rows == 1000 else 12)
 
 
-def test_large_upsert_shuffles_once(spark, store):
+def test_another_bucket_count_is_refused(spark, store):
     run_load(store, raw(spark, *[lead(n) for n in range(40)]), "r1", NOW, S)
-    rows = store.read("stg_leads")
-    merged = daily_run._merge_by_shuffle(store, rows, rows, 40)
-    text = merged._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange") == 1 and "hashpartitioning(staging_id" in text
-    assert merged.count() == 40
+    other = Store(spark, store.root, buckets=16)
+    with pytest.raises(ValueError, match="4 buckets, not in 16"):
+        run_load(other, raw(spark, *[lead(n, 2) for n in range(3)]), "r2", NOW, S)
+    assert store.read("stg_leads").count() == 40
+
+
+def test_a_second_pipeline_adds_to_staging(spark, store):
+    run_load(store, raw(spark, *[lead(n, 20) for n in range(40)]), "r1", NOW, Settings(order=S.order, pipeline="one"))
+    out = run_load(store, raw(spark, *[lead(n, 10) for n in range(50, 60)]), "r2", NOW, Settings(order=S.order, pipeline="two"))
+    assert out.rows_loaded == 50 and store.read("stg_leads").count() == 50
 
 
 def test_full_refresh_replaces_staging(spark, store):

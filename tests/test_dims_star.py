@@ -9,7 +9,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadlake.operators import checks, dims, star
-from leadlake.operators import joins
 from leadlake.operators.warehouse import fct_leads
 from leadlake.schemas import DIM_AGENT, DIM_DATE, DIM_LEAD_STATUS
 from tests.leads import T0, stg
@@ -146,11 +145,10 @@ def test_only_current_agents_match(spark, run_ts):
         star.require_keys(counts)
 
 
-def test_large_dimensions_are_not_broadcast_and_give_the_same_rows(spark, run_ts, monkeypatch):
+def test_star_without_broadcasting_gives_the_same_rows(spark, run_ts):
     rows = fact(spark, *[{"agent": f"a{i % 7}", "sdr_status": f"s{i % 3}"} for i in range(50)], {"agent": None})
     built = dims.build_dims(rows, run_ts)
     small = star.star_fact(rows, built).orderBy("staging_id").collect()
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = star.star_fact(rows, built)

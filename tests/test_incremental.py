@@ -53,14 +53,13 @@ def test_late_row_is_lost_by_default_and_found_with_overlap(spark):
     assert len(content(kept)) == 2
 
 
-@pytest.mark.parametrize("small_rows", [None, 2, 10**9])
-def test_upsert_new_rows_win(spark, small_rows):
+def test_upsert_new_rows_win(spark):
     known = stg(spark, *[lead(n, 0) for n in range(10)])
     new = stg(spark, lead(3, 1, 5.0), lead(99, 1, 5.0))
-    once = inc.upsert(known, new, small_rows=small_rows)
+    once = inc.upsert(known, new)
     want = {(f"id{n}", 1.0) for n in range(10) if n != 3} | {("id3", 5.0), ("id99", 5.0)}
     assert content(once) == want
-    assert content(inc.upsert(once, new, small_rows=small_rows)) == want
+    assert content(inc.upsert(once, new)) == want
 
 
 def test_modes(spark):

@@ -22,7 +22,7 @@ def plan(df) -> str:
 
 @pytest.fixture(scope="module")
 def facts(spark, sf):
-    return catalog.named_fact(spark, sf)
+    return catalog.written_fact(spark, sf)
 
 
 @pytest.fixture(scope="module")
@@ -68,8 +68,10 @@ def test_star_reports_aggregate_before_the_join(facts, built):
     assert text.count("FileScan") == 2
 
 
-def test_all_quality_scores_take_one_scan(facts):
-    assert plan(quality.dq_scores(facts, catalog.AS_OF_TS)).count("FileScan") == 1
+def test_quality_scores_take_one_scan_and_one_for_each_exact_distinct_count(facts):
+    columns = re.findall(r"ReadSchema: struct<(.*?)>", plan(quality.dq_scores(facts, catalog.AS_OF_TS)))
+    assert {"staging_id:string", "linkedin_url:string"} <= set(columns)
+    assert plan(quality.dq_scores(facts, catalog.AS_OF_TS, rsd=0.01)).count("FileScan") == 1
 
 
 def test_pooled_rate_takes_no_second_pass_over_leads(facts):
@@ -131,3 +133,8 @@ def hot_leads(spark):
         "added_on": F.timestamp_seconds(F.lit(1_000_000_000) + F.col("id") * 1000),
     }
     return base.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STG_LEADS])
+
+
+def test_quality_multiplies_no_rows(facts):
+    for scores in (quality.dq_uniqueness(facts), quality.dq_scores(facts, catalog.AS_OF_TS)):
+        assert "Expand" not in plan(scores)
