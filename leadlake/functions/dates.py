@@ -22,15 +22,21 @@ def parse_mixed_ts(col: Column | str) -> Column:
     """Parse text dates of mixed formats to UTC timestamps; unreadable text becomes null.
 
     ISO forms go first. In `a/b/yyyy` the month leads; the day leads only when `a` exceeds 12. Each value
-    meets only the formats of its own shape, as every failed format costs an exception in the parser.
+    meets only the formats of its own shape, as every failed format costs an exception in the parser. What none
+    of them reads is taken apart into date, time and offset, whatever the order and the marks between.
     """
     text = strip(col)
+    return F.coalesce(_by_format(text), _taken_apart(text))
+
+
+def _by_format(text: Column) -> Column:
+    """The common spellings, by format."""
     return (
         F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
         .when(text.rlike(r"^\d{14}$"), F.try_to_timestamp(text, F.lit("yyyyMMddHHmmss")))
         .when(text.rlike(r"^\d{4}(-|$)"), F.try_to_timestamp(text))
         .when(text.rlike(r"^\d{4}/"), _first(text, "yyyy/M/d"))
-        .when(text.rlike(r"^\d{1,2}/"), _first(text, "M/d/yyyy", "d/M/yyyy", "M/d/yy", "d/M/yy"))
+        .when(text.rlike(r"^\d{1,2}/"), _first(text, "M/d/yyyy", "d/M/yyyy"))
         .when(text.rlike(r"^\d{1,2}-\d"), _first(text, "M-d-yyyy", "d-M-yyyy"))
         .when(text.rlike(r"^\d{1,2}\.\d"), _first(text, "M.d.yyyy", "d.M.yyyy"))
         .when(
@@ -44,6 +50,73 @@ def parse_mixed_ts(col: Column | str) -> Column:
     )
 
 
+#: Names of months and weekdays: three letters, or the whole name.
+_MONTHS = (
+    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?"
+    "|nov(?:ember)?|dec(?:ember)?"
+)
+_WEEKDAY = r"\b(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\b\.?"
+_CLOCK = r"\b(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?(?: ?([ap])\.?m\b\.?)?"
+_OFFSET = r"(?:^|[\d:m ])(?:z|utc|gmt)?([+-])(\d{2}):?(\d{2})$"
+#: Years of two digits from this one on belong to the 1900s.
+_PIVOT = 69
+
+
+def _taken_apart(text: Column) -> Column:
+    """A timestamp from a date in any common order, an optional clock time and an optional offset."""
+    low = F.lower(text)
+    low = F.regexp_replace(low, r"^(\d{8})[t ]?(\d{2})(\d{2})(\d{2})$", "$1 $2:$3:$4")
+    low = F.regexp_replace(low, r"^(\d{8})[t ]?(\d{2})(\d{2})$", "$1 $2:$3")
+    low = F.regexp_replace(low, r"(\d)t(?=\d)", "$1 ")
+    low = F.regexp_replace(low, _WEEKDAY + "|,", " ")
+    low = F.regexp_replace(low, r"(\d)(?:st|nd|rd|th)\b", "$1")
+    low = F.regexp_replace(low, r"([a-z]{3})\.", "$1")
+    low = F.trim(F.regexp_replace(low, r"\s+", " "))
+    has_clock = low.rlike(_CLOCK)
+    part = lambda pattern, n: F.nullif(F.regexp_extract(low, pattern, n), F.lit(""))
+    offset = F.when(
+        has_clock & low.rlike(_OFFSET),
+        F.concat(part(_OFFSET, 1), F.lit("1")).cast("int")
+        * (part(_OFFSET, 2).cast("int") * 60 + part(_OFFSET, 3).cast("int")),
+    ).otherwise(0)
+    low = F.when(has_clock, F.regexp_replace(low, r"(?:z|utc|gmt)?[+-]\d{2}:?\d{2}$|(?<=[ \d])(?:z|utc|gmt)$", "")).otherwise(low)
+    low = F.trim(low)
+    hour, half = part(_CLOCK, 1).cast("int"), part(_CLOCK, 5)
+    hour = (
+        F.when(half.isNull(), hour)
+        .when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+        .otherwise(-1)
+    )
+    fraction = F.rpad(F.substring(F.coalesce(part(_CLOCK, 4), F.lit("0")), 1, 6), 6, "0")
+    second = F.concat(F.coalesce(part(_CLOCK, 3), F.lit("0")), F.lit("."), fraction).cast("decimal(8,6)")
+
+    day_text = F.trim(F.regexp_replace(F.regexp_replace(low, _CLOCK, " "), r"\s+", " "))
+    shapes = {
+        r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})$": "ymd",
+        r"^(\d{4})(\d{2})(\d{2})$": "ymd",
+        r"^(1[3-9]|2\d|3[01])[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})$": "dmy",
+        r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})$": "mdy",
+        rf"^(\d{{1,2}})[-/. ]?({_MONTHS})[-/. ]?(\d{{4}}|\d{{2}})$": "dmy",
+        rf"^({_MONTHS})[-/. ](\d{{1,2}})[-/. ](\d{{4}}|\d{{2}})$": "mdy",
+        rf"^(\d{{4}})[-/. ]({_MONTHS})[-/. ](\d{{1,2}})$": "ymd",
+        rf"^({_MONTHS})[-/. ](\d{{4}})$": "my",
+        r"^(\d{4})[-/.](\d{1,2})$": "ym",
+    }
+    found = F.lit(None).cast("timestamp")
+    for pattern, order in reversed(shapes.items()):
+        piece = {p: F.regexp_extract(day_text, pattern, i + 1) for i, p in enumerate(order)}
+        year = piece["y"].try_cast("int")
+        year = F.when(F.length(piece["y"]) > 2, year).otherwise(year + F.when(year >= _PIVOT, 1900).otherwise(2000))
+        place = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.substring(piece["m"], 1, 3))
+        month = F.coalesce(piece["m"].try_cast("int"), ((place + 2) / 3).cast("int"))
+        day = piece["d"].try_cast("int") if "d" in piece else F.lit(1)
+        clock = [F.when(has_clock, c).otherwise(0) for c in (hour, part(_CLOCK, 2).cast("int"))]
+        seconds = F.when(has_clock, second).otherwise(F.lit(0).cast("decimal(8,6)"))
+        made = F.try_make_timestamp(year, month, day, *clock, seconds)
+        found = F.when(day_text.rlike(pattern), made).otherwise(found)
+    return F.timestamp_add("MINUTE", -offset, found)
+
+
 def date_key(day: Column) -> Column:
     """yyyyMMdd as a number."""
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("long")
