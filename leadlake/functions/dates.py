@@ -62,6 +62,11 @@ _OFFSET = r"(?:^|[\d:m ])(?:z|utc|gmt)?([+-])(\d{2}):?(\d{2})$"
 _PIVOT = 69
 
 
+def _once(value: Column, use) -> Column:
+    """`use(value)` with the value computed once; the expression stays small however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _taken_apart(text: Column) -> Column:
     """A timestamp from a date in any common order, an optional clock time and an optional offset."""
     low = F.lower(text)
@@ -72,49 +77,60 @@ def _taken_apart(text: Column) -> Column:
     low = F.regexp_replace(low, r"(\d)(?:st|nd|rd|th)\b", "$1")
     low = F.regexp_replace(low, r"([a-z]{3})\.", "$1")
     low = F.trim(F.regexp_replace(low, r"\s+", " "))
+    return _once(low, lambda plain: _once(_pieces(plain), _assembled))
+
+
+def _pieces(low: Column) -> Column:
+    """Struct of offset in minutes, hour, minute, second, and the text of the date."""
     has_clock = low.rlike(_CLOCK)
     part = lambda pattern, n: F.nullif(F.regexp_extract(low, pattern, n), F.lit(""))
-    offset = F.when(
-        has_clock & low.rlike(_OFFSET),
-        F.concat(part(_OFFSET, 1), F.lit("1")).cast("int")
-        * (part(_OFFSET, 2).cast("int") * 60 + part(_OFFSET, 3).cast("int")),
-    ).otherwise(0)
-    low = F.when(has_clock, F.regexp_replace(low, r"(?:z|utc|gmt)?[+-]\d{2}:?\d{2}$|(?<=[ \d])(?:z|utc|gmt)$", "")).otherwise(low)
-    low = F.trim(low)
+    sign = F.when(part(_OFFSET, 1) == "-", -1).otherwise(1)
+    offset = sign * (part(_OFFSET, 2).cast("int") * 60 + part(_OFFSET, 3).cast("int"))
     hour, half = part(_CLOCK, 1).cast("int"), part(_CLOCK, 5)
-    hour = (
-        F.when(half.isNull(), hour)
-        .when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
-        .otherwise(-1)
-    )
+    on_dial = F.when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0)).otherwise(-1)
     fraction = F.rpad(F.substring(F.coalesce(part(_CLOCK, 4), F.lit("0")), 1, 6), 6, "0")
     second = F.concat(F.coalesce(part(_CLOCK, 3), F.lit("0")), F.lit("."), fraction).cast("decimal(8,6)")
+    no_offset = F.regexp_replace(low, r"(?:z|utc|gmt)?[+-]\d{2}:?\d{2}$|(?<=[ \d])(?:z|utc|gmt)$", "")
+    day = F.when(has_clock, F.regexp_replace(no_offset, _CLOCK, " ")).otherwise(low)
+    return F.struct(
+        F.when(has_clock & low.rlike(_OFFSET), offset).otherwise(0).alias("offset"),
+        F.when(~has_clock, 0).when(half.isNull(), hour).otherwise(on_dial).alias("hour"),
+        F.when(has_clock, part(_CLOCK, 2).cast("int")).otherwise(0).alias("minute"),
+        F.when(has_clock, second).otherwise(F.lit(0).cast("decimal(8,6)")).alias("second"),
+        F.trim(F.regexp_replace(day, r"\s+", " ")).alias("day"),
+    )
 
-    day_text = F.trim(F.regexp_replace(F.regexp_replace(low, _CLOCK, " "), r"\s+", " "))
-    shapes = {
-        r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})$": "ymd",
-        r"^(\d{4})(\d{2})(\d{2})$": "ymd",
-        r"^(1[3-9]|2\d|3[01])[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})$": "dmy",
-        r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})$": "mdy",
-        rf"^(\d{{1,2}})[-/. ]?({_MONTHS})[-/. ]?(\d{{4}}|\d{{2}})$": "dmy",
-        rf"^({_MONTHS})[-/. ](\d{{1,2}})[-/. ](\d{{4}}|\d{{2}})$": "mdy",
-        rf"^(\d{{4}})[-/. ]({_MONTHS})[-/. ](\d{{1,2}})$": "ymd",
-        rf"^({_MONTHS})[-/. ](\d{{4}})$": "my",
-        r"^(\d{4})[-/.](\d{1,2})$": "ym",
-    }
-    found = F.lit(None).cast("timestamp")
-    for pattern, order in reversed(shapes.items()):
-        piece = {p: F.regexp_extract(day_text, pattern, i + 1) for i, p in enumerate(order)}
-        year = piece["y"].try_cast("int")
-        year = F.when(F.length(piece["y"]) > 2, year).otherwise(year + F.when(year >= _PIVOT, 1900).otherwise(2000))
-        place = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.substring(piece["m"], 1, 3))
-        month = F.coalesce(piece["m"].try_cast("int"), ((place + 2) / 3).cast("int"))
-        day = piece["d"].try_cast("int") if "d" in piece else F.lit(1)
-        clock = [F.when(has_clock, c).otherwise(0) for c in (hour, part(_CLOCK, 2).cast("int"))]
-        seconds = F.when(has_clock, second).otherwise(F.lit(0).cast("decimal(8,6)"))
-        made = F.try_make_timestamp(year, month, day, *clock, seconds)
-        found = F.when(day_text.rlike(pattern), made).otherwise(found)
-    return F.timestamp_add("MINUTE", -offset, found)
+
+#: Shapes of a date, and what their groups are.
+_SHAPES = {
+    r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})$": "ymd",
+    r"^(\d{4})(\d{2})(\d{2})$": "ymd",
+    r"^(1[3-9]|2\d|3[01])[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})$": "dmy",
+    r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4}|\d{2})$": "mdy",
+    rf"^(\d{{1,2}})[-/. ]?({_MONTHS})[-/. ]?(\d{{4}}|\d{{2}})$": "dmy",
+    rf"^({_MONTHS})[-/. ](\d{{1,2}})[-/. ](\d{{4}}|\d{{2}})$": "mdy",
+    rf"^(\d{{4}})[-/. ]({_MONTHS})[-/. ](\d{{1,2}})$": "ymd",
+    rf"^({_MONTHS})[-/. ](\d{{4}})$": "my",
+    r"^(\d{4})[-/.](\d{1,2})$": "ym",
+}
+
+
+def _assembled(pieces: Column) -> Column:
+    found = F.lit(None).cast("struct<y:string,m:string,d:string>")
+    for pattern, order in reversed(_SHAPES.items()):
+        group = {p: F.regexp_extract(pieces["day"], pattern, i + 1) for i, p in enumerate(order)}
+        fields = [group.get(p, F.lit("1")).alias(p) for p in "ymd"]
+        found = F.when(pieces["day"].rlike(pattern), F.struct(*fields)).otherwise(found)
+
+    def made(date: Column) -> Column:
+        year = date["y"].try_cast("int")
+        year = F.when(F.length(date["y"]) > 2, year).otherwise(year + F.when(year >= _PIVOT, 1900).otherwise(2000))
+        place = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.substring(date["m"], 1, 3))
+        month = F.coalesce(date["m"].try_cast("int"), ((place + 2) / 3).cast("int"))
+        clock = (pieces["hour"], pieces["minute"], pieces["second"])
+        return F.try_make_timestamp(year, month, date["d"].try_cast("int"), *clock)
+
+    return F.timestamp_add("MINUTE", -pieces["offset"], _once(found, made))
 
 
 def date_key(day: Column) -> Column:

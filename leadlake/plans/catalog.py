@@ -26,7 +26,7 @@ from leadlake.operators.dedup import keep_last
 from leadlake.plans.daily_run import Settings, run_load
 from leadlake.schemas import DATE_COLUMNS, DIM_LEAD_STATUS, RAW_TO_STAGING
 from leadlake.session import prepare, shared_dir, write_work
-from leadlake.sources.files import read_leads_csv, read_leads_json
+from leadlake.sources.files import malformed_records, read_leads_csv, read_leads_json
 from leadlake.sources.store import Store
 from leadlake.sources.testleads import raw_leads
 from leadlake.streaming.ingest import stream_leads
@@ -162,6 +162,20 @@ def csv_scan(spark, sf):
     return staging.stage_leads(read_leads_csv(spark, path), RUN_TS, order=EXPORT_ORDER)
 
 
+@query
+def dead_letters_malformed(spark, sf):
+    """Feed lines that break off are set aside one by one, the others are staged."""
+    path = _scratch(spark, "broken")
+    raw = raw_leads(spark, sf)
+    line = F.to_json(F.struct(*as_export(raw).columns))
+    keyed = raw.select("src_ordinal", *[F.col(f"`{h}`").cast("string").alias(h) for h in RAW_TO_STAGING])
+    broken = F.when(F.col("src_ordinal") % 211 == 0, F.concat(F.lit('{"Name": '), F.col("src_ordinal"))).otherwise(line)
+    keyed.select(broken.alias("value")).write.text(path)
+    set_aside = malformed_records(spark, path, "json")
+    staged_ = read_leads_json(spark, path).agg(F.count(F.lit(1)).alias("leads_read")).scalar()
+    return set_aside.select("raw_record", "error_reason", staged_.alias("leads_read"))
+
+
 @query
 def json_updated_after(spark, sf):
     path = _scratch(spark, "json")

@@ -51,9 +51,18 @@ class Outcome:
 
 
 def run_load(
-    store: Store, raw: DataFrame, run_id: str, run_ts: datetime, settings: Settings = Settings()
+    store: Store,
+    raw: DataFrame,
+    run_id: str,
+    run_ts: datetime,
+    settings: Settings = Settings(),
+    malformed: DataFrame | None = None,
 ) -> Outcome:
-    """Load one source snapshot. Repeating a finished run id does nothing; a failed run is recorded and raised."""
+    """Load one source snapshot. Repeating a finished run id does nothing; a failed run is recorded and raised.
+
+    `malformed` holds the records that the reader could not read (see `malformed_records`); each of them is kept
+    in a ledger with its text, and counted as read and as a dead letter.
+    """
     out = Outcome(run_id)
     store.refresh()
     if store.is_published(run_id):
@@ -69,6 +78,8 @@ def run_load(
 
     try:
         tables, complete = _load(store, raw, run_ts, settings, out)
+        if malformed is not None:
+            _set_aside(store, malformed, run_ts, out)
         store.append("pipeline_runs", record("SUCCESS"), run_id)
         store.publish(run_id, tables, complete)
     except Exception as error:
@@ -135,6 +146,17 @@ def _stage(
     return checked.drop("_copies")
 
 
+def _set_aside(store: Store, malformed: DataFrame, run_ts: datetime, out: Outcome) -> None:
+    """Keep unreadable records, every one with its text."""
+    stamped = malformed.withColumns(
+        {"run_id": F.lit(out.run_id), "set_aside_at": F.lit(run_ts).cast("timestamp")}
+    )
+    store.append("malformed_records", stamped, out.run_id)
+    n = store.ledger("malformed_records").where(F.col("run_id") == out.run_id).count()
+    out.rows_read += n
+    out.dead_letters += n
+
+
 def _measure(store: Store, changed: DataFrame, out: Outcome) -> list[int]:
     """Count the changed rows, move the watermark and name the buckets they fall into."""
     found = changed.agg(

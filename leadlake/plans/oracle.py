@@ -308,6 +308,11 @@ _PROFILE = """SELECT trim(agent) AS agent_name,
 
 ORACLE: dict[str, str] = {
     "csv_scan": _with(f"SELECT {_STAGING} FROM stg"),
+    "dead_letters_malformed": _with(
+        """SELECT '{"Name": ' || src_ordinal AS raw_record, 'Malformed record;' AS error_reason,
+             (SELECT count(*) FROM raw WHERE src_ordinal % 211 <> 0) AS leads_read
+           FROM raw WHERE src_ordinal % 211 = 0"""
+    ),
     "json_updated_after": _with(
         """late AS (SELECT * FROM identified
            WHERE greatest(added_on, last_contacted, invite_sent_at, connected_at) > TIMESTAMP '1999-01-01'

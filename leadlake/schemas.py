@@ -187,9 +187,21 @@ ALERTS = T.StructType(
 )
 
 #: Tables the store keeps, with their schemas.
+#: Records that no reader could read, with their text.
+MALFORMED_RECORDS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("src_file", T.StringType()),
+        T.StructField("raw_record", T.StringType()),
+        T.StructField("error_reason", T.StringType()),
+        T.StructField("set_aside_at", T.TimestampType()),
+    ]
+)
+
 TABLES = {
     "stg_leads": STG_LEADS,
     "dead_letter_leads": DEAD_LETTERS,
+    "malformed_records": MALFORMED_RECORDS,
     "fct_leads_star": FCT_LEADS_STAR,
     "dim_agent": DIM_AGENT,
     "dim_lead_status": DIM_LEAD_STATUS,

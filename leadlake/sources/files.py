@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlake.functions.dates import parse_mixed_ts
 from leadlake.schemas import DATE_COLUMNS, DATE_PATCH, RAW, RAW_TO_STAGING
@@ -16,6 +17,11 @@ MISSING_TEXTS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+#: Column that Spark puts the text of an unreadable record in.
+CORRUPT = "_corrupt_record"
+#: Reason that such a record is set aside for.
+MALFORMED = "Malformed record;"
+
 # RFC 4180 quoting: a quote inside a quoted cell is doubled.
 _CSV = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}
 
@@ -51,19 +57,55 @@ def missing_to_null(df: DataFrame) -> DataFrame:
     )
 
 
+def readable(scan: DataFrame, yes: bool = True) -> DataFrame:
+    """The rows of a scan that could be read, or the others.
+
+    Spark refuses to read only the column of unreadable texts, so the condition names another one too.
+    """
+    first = F.col(f"`{scan.columns[0]}`")
+    read = F.col(CORRUPT).isNull() if yes else F.col(CORRUPT).isNotNull()
+    return scan.where(read & (F.coalesce(F.length(first), F.lit(0)) >= 0))
+
+
+def _scan_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """All cells as text, and the whole text of rows that do not fit the header."""
+    options = {**_CSV, "multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT}
+    header = spark.read.options(**options).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
+    return spark.read.options(**options).schema(schema).csv(path)
+
+
+def _scan_json(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    """All fields as text, and the whole text of unreadable lines."""
+    options = {"multiLine": str(multi_line).lower(), "columnNameOfCorruptRecord": CORRUPT}
+    schema = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.options(**options).schema(schema).json(path)
+
+
+def malformed_records(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool | None = None) -> DataFrame:
+    """Rows (src_file, raw_record, error_reason): every record that the readers leave out, one by one."""
+    scan = _scan_csv(spark, path, multi_line is not False) if fmt == "csv" else _scan_json(spark, path, bool(multi_line))
+    return readable(scan, False).select(
+        F.col("_metadata.file_path").alias("src_file"),
+        F.col(CORRUPT).alias("raw_record"),
+        F.lit(MALFORMED).alias("error_reason"),
+    )
+
+
 def read_leads_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scan lead exports with a header row; every cell is text, missing cells are null.
 
     Columns are found by header name, in any order; a file whose header differs from the first one raises.
     `multi_line` accepts line breaks inside quoted cells, at one task per file; turn it off for files too
-    large for that, when no cell holds a line break, and Spark splits them.
+    large for that, when no cell holds a line break, and Spark splits them. Rows with too few or too many
+    cells are left to `malformed_records`.
     """
-    scan = spark.read.options(**_CSV, multiLine=str(multi_line).lower()).csv(path)
+    scan = _scan_csv(spark, path, multi_line)
     by_name = {c.lstrip("\ufeff").strip(): c for c in scan.columns}
     absent = [h for h in RAW_TO_STAGING if h not in by_name]
     if absent:
         raise ValueError(f"lead export lacks columns {absent}")
-    named = with_source_order(scan).select(
+    named = with_source_order(readable(scan)).select(
         *[F.col(f"`{by_name[h]}`").alias(h) for h in RAW_TO_STAGING],
         "src_time", "src_file", "src_block", "src_row",
     )
@@ -78,10 +120,11 @@ def read_leads_json(
 ) -> DataFrame:
     """Scan landed feed pages; with `updated_after`, keep leads whose newest date lies after it.
 
-    Pages hold one lead per line, or one JSON array each with `multi_line`.
+    Pages hold one lead per line, or one JSON array each with `multi_line`. Texts that mean a missing value are
+    null, as in a CSV export; unreadable lines are left to `malformed_records`.
     """
-    scan = spark.read.schema(RAW).option("multiLine", str(multi_line).lower()).json(path)
-    leads = with_source_order(scan)
+    scan = _scan_json(spark, path, multi_line)
+    leads = missing_to_null(with_source_order(readable(scan)).drop(CORRUPT))
     if updated_after is None:
         return leads
     headers = [h for h, c in RAW_TO_STAGING.items() if c in DATE_COLUMNS]

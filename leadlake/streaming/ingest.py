@@ -6,19 +6,23 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from leadlake.plans.daily_run import Settings, run_load
 from leadlake.schemas import RAW
-from leadlake.sources.files import missing_to_null, with_row_counter, with_source_split
+from leadlake.sources.files import CORRUPT, MALFORMED, missing_to_null, readable, with_row_counter, with_source_split
 from leadlake.sources.store import Store
 
 
 def read_stream(
     spark: SparkSession, path: str, fmt: str = "csv", files_per_batch: int | None = None
 ) -> DataFrame:
-    """Landed files as a stream of raw rows with the split each came from; CSV headers must match the schema."""
-    reader = spark.readStream.schema(RAW)
+    """Landed files as a stream of raw rows with the split each came from, and the text of unreadable ones; CSV
+    headers must match the schema."""
+    schema = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if fmt == "csv":
@@ -47,8 +51,11 @@ def stream_leads(
     def load(batch: DataFrame, batch_id: int) -> None:
         here = Store(batch.sparkSession, store.root, store.buckets)
         moment = run_ts or datetime.now(timezone.utc)
-        raw = missing_to_null(with_row_counter(batch))
-        run_load(here, raw, f"{name}-{batch_id}", moment, settings)
+        broken = readable(batch, False).select(
+            "src_file", F.col(CORRUPT).alias("raw_record"), F.lit(MALFORMED).alias("error_reason")
+        )
+        raw = missing_to_null(with_row_counter(readable(batch).drop(CORRUPT)))
+        run_load(here, raw, f"{name}-{batch_id}", moment, settings, broken)
 
     return (
         read_stream(spark, path, fmt, files_per_batch)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from datetime import datetime, timezone
 
@@ -183,3 +184,33 @@ def test_date_patch(spark, tmp_path):
     patch = read_date_patch(spark, str(tmp_path))
     assert patch.schema.names == DATE_PATCH.names
     assert patch.first().date_key == 20260820
+
+
+def test_malformed_records_are_kept_one_by_one(spark, tmp_path):
+    from leadlake.plans.daily_run import Settings, run_load
+    from leadlake.sources.files import malformed_records
+    from leadlake.sources.store import Store
+    from leadlake.streaming.ingest import stream_leads
+
+    good = {"LinkedIn URL": "https://x/1", "Name": "a", "Agent": "b", "Added On": "2026-08-01", "Comment Status": "NA"}
+    (tmp_path / "in").mkdir()
+    lines = [json.dumps(good), '{"Name": "cut', "nonsense", '{"Name": "cut']
+    (tmp_path / "in" / "page.json").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "in")
+    texts = sorted(r.raw_record for r in malformed_records(spark, path, "json").collect())
+    assert texts == sorted(lines[1:])
+    batch = read_leads_json(spark, path)
+    assert [r["Comment Status"] for r in batch.collect()] == [None]
+    now = datetime(2026, 9, 1, tzinfo=timezone.utc)
+    one, two = (Store(spark, str(tmp_path / name), buckets=2) for name in ("batch", "stream"))
+    out = run_load(one, batch, "r1", now, Settings(), malformed_records(spark, path, "json"))
+    assert (out.rows_read, out.rows_loaded, out.dead_letters) == (4, 1, 3)
+    stream_leads(spark, path, two, fmt="json", run_ts=now).awaitTermination()
+    for store in (one, two):
+        assert sorted(r.raw_record for r in store.ledger("malformed_records").collect()) == sorted(lines[1:])
+    assert one.read("stg_leads").collect() == two.read("stg_leads").collect()
+
+    header = ",".join(RAW_TO_STAGING)
+    (tmp_path / "x.csv").write_text(f"{header}\n" + ",".join("v" for _ in RAW_TO_STAGING) + "\na,b\n" + "c," * 20 + "\n")
+    assert [r.raw_record for r in malformed_records(spark, str(tmp_path / "x.csv")).collect()] == ["a,b", "c," * 20]
+    assert read_leads_csv(spark, str(tmp_path / "x.csv")).count() == 1
