@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 from contextlib import contextmanager
 from uuid import uuid4
 
@@ -97,5 +99,24 @@ def scratch(spark: SparkSession):
             remove(spark, path)
 
 
+def tidy(work):
+    """`work`, an iterator function of a Python task, that hands memory back when it has ended.
+
+    Spark keeps a Python worker for a while after its task; what the allocators hold would stay with it.
+    """
+
+    def run(*arguments):
+        try:
+            yield from work(*arguments)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def arrow_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

@@ -18,13 +18,16 @@ import numpy as np
 #: Largest batch that leaves the queue at once.
 BATCH = 1 << 16
 #: Tuples that the queue sorts into one run.
-RUN = 1 << 15
-#: Strings up to this length are sorted directly.
-SMALL = 1 << 10
+RUN = 1 << 16
 #: Default number of tuples and array elements kept in memory before files are used.
 MEMORY_ITEMS = 1 << 23
 
 
+def place_type(text: np.ndarray) -> type:
+    """Type of positions in a string."""
+    return np.int32 if len(text) < 1 << 31 else np.int64
+
+
 class Workspace:
     """Arrays in memory up to `memory_items` elements each, else in files that vanish with this object.
 
@@ -120,7 +123,7 @@ class Queue:
         found, n = [], 0
         for run in self.runs:
             at, keys, positions, prefixes = run
-            end = at + int(np.searchsorted(keys[at:], below))
+            end = at + int(np.searchsorted(keys[at:], keys.dtype.type(below)))
             if most is not None:
                 end = min(end, at + most - n)
             if end > at:
@@ -152,21 +155,33 @@ class Prefixes:
 
     def __init__(self, text: np.ndarray, letters: int, most: int):
         self.text, self.most = text, most
+        #: Four letters of two bytes from each place on as one number.
+        self.fours = None
+        if text.dtype == np.uint16 and len(text) > 3:
+            self.fours = np.ndarray(len(text) - 3, np.uint64, text, strides=(2,))
         #: By letter: least common prefix since a suffix was last brought in under it; -1: none was.
         self.since = np.full(letters, -1, np.int16)
 
     def direct(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common prefix of the suffixes at a and b, letter by letter."""
+        """Common prefix of the suffixes at a and b: four letters at a time, then the last ones letter by letter."""
         found = np.zeros(len(a), np.uint8)
-        open_, n = np.arange(len(a)), len(self.text)
-        for k in range(self.most):
-            x, y = a[open_] + k, b[open_] + k
-            inside = (x < n) & (y < n)
+        n, open_ = len(self.text), np.arange(len(a))
+        if self.fours is not None:
+            while len(open_):
+                x, y = a[open_] + found[open_], b[open_] + found[open_]
+                inside = (np.maximum(x, y) < n - 3) & (found[open_] + 4 <= self.most)
+                same = open_[inside]
+                open_ = same[self.fours[x[inside]] == self.fours[y[inside]]]
+                found[open_] += 4
+        open_ = np.arange(len(a))
+        for _ in range(4 if self.fours is not None else self.most):
+            x, y = a[open_] + found[open_], b[open_] + found[open_]
+            inside = (np.maximum(x, y) < n) & (found[open_] < self.most)
             open_, x, y = open_[inside], x[inside], y[inside]
             open_ = open_[self.text[x] == self.text[y]]
             if not len(open_):
                 break
-            found[open_] = k + 1
+            found[open_] += 1
         return found
 
     def induced(self, prefix: np.ndarray, source: np.ndarray, letter: np.ndarray) -> np.ndarray:
@@ -217,7 +232,9 @@ def induce(
     """
     letters = len(counts)
     flip = letters - 1
-    letter_of = (lambda at: flip - text[at].astype(np.int64)) if down else (lambda at: text[at].astype(np.int64))
+    key_type = np.uint16 if 2 * letters + 2 < 1 << 16 else np.int64  # short ones are sorted by radix
+    wide = np.int32 if letters < 1 << 30 else np.int64
+    letter_of = (lambda at: flip - text[at].astype(wide)) if down else (lambda at: text[at].astype(wide))
     by_letter = counts[::-1] if down else counts
     seed_counts = np.zeros(letters, np.int64)
     for at in range(0, len(seeds), BATCH):
@@ -235,12 +252,13 @@ def induce(
         """Let a batch leave; returns what it brings in with letters under `inside`, sorted."""
         nonlocal last_key, last_position
         if prefixes is not None:
-            key_before = np.concatenate([[last_key], key[:-1]])
-            position_before = np.concatenate([[last_position], position[:-1]])
-            prefix = np.where(key >> 1 == key_before >> 1, prefix, 0).astype(np.uint8)
-            turn = np.flatnonzero((key >> 1 == key_before >> 1) & (key != key_before))
+            letter = key >> 1
+            same = np.append(last_key >> 1 == letter[0], letter[1:] == letter[:-1])
+            turn = np.flatnonzero(same & np.append(last_key != key[0], key[1:] != key[:-1]))
+            prefix = prefix * same
             if len(turn):
-                prefix[turn] = prefixes.direct(position[turn], position_before[turn])
+                before = np.append(last_position, position[:-1])[turn]
+                prefix[turn] = prefixes.direct(position[turn], before)
         emit(position, prefix, (key & 1) == 0)
         last_key, last_position = int(key[-1]), int(position[-1])
         source = np.flatnonzero(position > 0)
@@ -253,7 +271,7 @@ def induce(
                 new_prefix = prefixes.induced(prefix, source, left)
             else:
                 prefixes.since = np.minimum(prefixes.since, np.int16(prefix.min()))
-        new_key, new_position = 2 * left, position[source] - 1
+        new_key, new_position = (2 * left).astype(key_type), position[source] - 1
         here = left < inside
         if not here.any():
             if len(left):
@@ -267,9 +285,9 @@ def induce(
         return new_key[order], new_position[order], new_prefix[order]
 
     def seeds_from(a: int, b: int):
-        position = np.array(seeds[a:b], dtype=np.int64)
+        position = np.array(seeds[a:b], dtype=place_type(text))
         prefix = np.zeros(b - a, np.uint8) if seed_prefix is None else np.array(seed_prefix[a:b])
-        return 2 * letter_of(position) + 1, position, prefix
+        return (2 * letter_of(position) + 1).astype(key_type), position, prefix
 
     low = 0
     while low < letters:
@@ -295,7 +313,7 @@ def induce(
             while len(items[0]):
                 key, position, _ = items
                 left = letter_of(np.maximum(position - 1, 0))
-                new_key = np.where((position > 0) & (2 * left >= key), 2 * left, 2 * letters + 2)
+                new_key = np.where((position > 0) & (2 * left >= key), 2 * left, 2 * letters)
                 reach = np.minimum.accumulate(new_key)
                 late = key[1:] > reach[:-1]
                 safe = int(np.argmax(late)) + 1 if late.any() else len(key)
@@ -308,18 +326,19 @@ def induce(
         low = high
 
 
-def direct_order(text: np.ndarray) -> np.ndarray:
-    """Suffix order of a short string by prefix doubling."""
+def direct_order(text: np.ndarray, depth: int | None = None) -> np.ndarray:
+    """Suffix order, or order by the first `depth` letters at least, in memory by prefix doubling."""
+    n = len(text)
     rank, width = np.asarray(text, np.int64), 1
     while True:
-        after = np.zeros(len(rank), np.int64)
-        after[: max(0, len(rank) - width)] = rank[width:] + 1
-        order = np.lexsort((after, rank))
-        a, b = rank[order], after[order]
-        new = np.zeros(len(rank), np.int64)
-        new[order] = np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))])
-        rank, width = new, width * 2
-        if rank.max(initial=0) == len(rank) - 1 or width >= 2 * len(rank):
+        key = rank * (n + 1)
+        key[: n - width] += rank[width:] + 1
+        order = np.argsort(key)
+        key = key[order]
+        new = np.empty(n, np.int64)
+        new[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
+        rank, width = new, 2 * width
+        if rank[order[-1]] == n - 1 or width >= n or (depth is not None and width >= depth):
             return order
 
 
@@ -333,7 +352,7 @@ def s_types(text: np.ndarray) -> np.ndarray:
 
 def _both_scans(text, counts, seeds, seed_prefix, emit, work, most=0):
     """Up and down; `emit` gets the suffixes from the last to the first, which are of type S, and prefixes."""
-    positions, prefixes = Spool(work, np.int64), Spool(work, np.uint8)
+    positions, prefixes = Spool(work, place_type(text)), Spool(work, np.uint8)
 
     def take(position, prefix, brought):
         positions.add(position[brought])
@@ -360,15 +379,15 @@ def _substring_names(text: np.ndarray, lms: np.ndarray, ends: np.ndarray) -> np.
     return np.concatenate([[0], np.cumsum(~same)])
 
 
-def lms_order(text: np.ndarray, counts: np.ndarray, work: Workspace) -> np.ndarray:
-    """The LMS suffixes in order. The last letter of `text` is its only smallest one."""
+def lms_order(text: np.ndarray, counts: np.ndarray, work: Workspace, depth: int | None = None) -> np.ndarray:
+    """The LMS suffixes in order, by `depth` letters at least. The last letter of `text` is its only smallest one."""
     small = s_types(text)
     is_lms = np.zeros(len(text), bool)
     is_lms[1:] = small[1:] & ~small[:-1]
     lms = work.keep(np.flatnonzero(is_lms))
     if len(lms) <= 1:
         return lms
-    found = Spool(work, np.int64)
+    found = Spool(work, place_type(text))
     seeds = lms[np.argsort(text[lms], kind="stable")]
     _both_scans(
         text, counts, seeds, None, lambda position, _, brought: found.add(position[brought & is_lms[position]]), work
@@ -381,15 +400,18 @@ def lms_order(text: np.ndarray, counts: np.ndarray, work: Workspace) -> np.ndarr
         return order
     reduced = np.empty(len(lms), np.int64)
     reduced[place] = named
-    return work.keep(lms[suffix_order(work.keep(reduced), int(named[-1]) + 1, work)])
+    # a name stands for two letters at least, and one more covers what the last of them began
+    order = suffix_order(work.keep(reduced), int(named[-1]) + 1, work, None if depth is None else depth // 2 + 1)
+    return work.keep(lms[order])
 
 
-def suffix_order(text: np.ndarray, letters: int, work: Workspace) -> np.ndarray:
-    """Positions of all suffixes in order. The last letter of `text` is its only smallest one."""
-    if len(text) <= SMALL:
-        return direct_order(text)
+def suffix_order(text: np.ndarray, letters: int, work: Workspace, depth: int | None = None) -> np.ndarray:
+    """Positions of all suffixes in order, by `depth` letters at least. The last letter of `text` is its only
+    smallest one. The recursion ends with a string that fits in memory."""
+    if 4 * len(text) <= work.memory_items:
+        return direct_order(text, depth)
     found = Spool(work, np.int64)
-    suffixes_with_prefixes(text, letters, lambda position, _: found.add(position), work, 0)
+    suffixes_with_prefixes(text, letters, lambda position, _: found.add(position), work, 0, depth)
     return work.keep(np.concatenate([[len(text) - 1], found.array()[::-1]]))
 
 
@@ -399,16 +421,18 @@ def suffixes_with_prefixes(
     emit: Callable[[np.ndarray, np.ndarray], None],
     work: Workspace,
     most: int,
+    depth: int | None = None,
 ) -> None:
     """Give `emit` all suffixes but the last letter's from the greatest down, in batches: positions, and the
-    common prefix (up to `most`, at most 254) of each with the suffix given before it.
+    common prefix (up to `most`, at most 254) of each with the suffix given before it. With `most`, suffixes that
+    share that many letters stand together in any order.
 
     `text` has letters from 0 to `letters` - 1, the last one being its only 0. At most 65,536 letters if `most`.
     """
     counts = np.zeros(letters, np.int64)
     for at in range(0, len(text), BATCH):
         counts += np.bincount(text[at : at + BATCH], minlength=letters)
-    seeds = lms_order(text, counts, work)
+    seeds = lms_order(text, counts, work, most or depth)
     prefix = None
     if most:
         direct = Prefixes(text, letters, most).direct

@@ -24,29 +24,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlake.llm.arrow_text import blocks_of, pack, text_bytes, unpack
-from leadlake.llm.common import Scratch, arrow_column
+from leadlake.llm.common import Scratch, arrow_column, tidy
 from leadlake.llm.external_suffix import MEMORY_ITEMS, Workspace, suffixes_with_prefixes
+from leadlake.llm.words import mixed
 
 #: Bytes of a seed, whose hash makes it an anchor.
 SEED = 20
 #: Windows of one segment at most.
 MOST_WINDOWS = 256
 #: Positions that are hashed at once.
-HASHED = 1 << 16
+HASHED = 1 << 14
 #: Odd numbers of the hash.
 FACTOR, MIXER = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 NO_ID = np.iinfo(np.int64).max
 
 #: Result columns beside those of the input.
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+#: The same with the rest as text.
+TEXT_RESULT = RESULT.replace("kept binary", "kept string")
 
 
 @dataclass(frozen=True)
 class Settings:
     length: int = 50
     #: Text in a block of documents, and corpus text for each shard.
-    block_bytes: int = 8 << 20
-    shard_bytes: int = 16 << 20
+    block_bytes: int = 4 << 20
+    shard_bytes: int = 3 << 20
     #: Tuples of the sort kept in memory before disk is used.
     memory_items: int = MEMORY_ITEMS
 
@@ -119,7 +122,7 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
         start = start[which] + nth * MOST_WINDOWS
         windows = np.minimum(windows[which] - nth * MOST_WINDOWS, MOST_WINDOWS)
         anchor = anchor[which]
-    return start, windows, anchor
+    return start, windows, mixed(anchor)  # least hashes crowd at the low end; shards are ranges of equal size
 
 
 def shard_of(anchors: np.ndarray, shards: int) -> np.ndarray:
@@ -144,14 +147,12 @@ class Block:
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Different anchors in order, and which of them occur in two of the rows."""
-        order = np.lexsort((self.row, self.anchor))
+        order = np.argsort(self.anchor)
         anchor, row = self.anchor[order], self.row[order]
-        first = np.ones(len(anchor), bool)
-        first[1:] = anchor[1:] != anchor[:-1]
-        again = np.zeros(len(anchor), bool)
-        again[1:] = ~first[1:] & (row[1:] != row[:-1])
-        begin = np.flatnonzero(first)
-        return anchor[begin], np.logical_or.reduceat(again, begin) if len(begin) else first
+        begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(anchor) else order
+        if not len(begin):
+            return anchor, np.empty(0, bool)
+        return anchor[begin], np.minimum.reduceat(row, begin) != np.maximum.reduceat(row, begin)
 
     def restrict(self, shared: np.ndarray) -> None:
         """Keep the segments whose anchor is marked in `shared`, which is by different anchor in order."""
@@ -194,19 +195,26 @@ class Block:
 
     def removed(self, number: np.ndarray, windows: np.ndarray, holder: np.ndarray) -> np.ndarray:
         """Bytes to remove. `holder`: smallest id for each window of the different texts, one after the other."""
-        begins = np.cumsum(windows) - windows
-        hit = np.zeros(len(self.data) + 1, bool)
-        for at in range(0, len(self.start), 1 << 12):
-            some = slice(at, at + (1 << 12))
+        size = len(self.data) + 1
+        if not len(self.start):
+            return np.zeros(size - 1, bool)
+        begins, owner = np.cumsum(windows) - windows, self.ids[self.row]
+        least, greatest = (f.reduceat(holder, begins)[number] for f in (np.minimum, np.maximum))
+        whole = greatest < owner  # all windows go: the segment goes from its first byte to its last
+        start = self.start[whole]
+        change = np.zeros(size, np.int32)
+        np.add.at(change, start, 1)
+        np.add.at(change, start + self.windows[whole] + self.length - 1, -1)
+        partly = np.flatnonzero(~whole & (least < owner))
+        for at in range(0, len(partly), 1 << 12):
+            some = partly[at : at + (1 << 12)]
             count = self.windows[some]
             within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            smaller = holder[np.repeat(begins[number[some]], count) + within] < np.repeat(self.ids[self.row[some]], count)
-            hit[(np.repeat(self.start[some], count) + within)[smaller]] = True
-        at = np.flatnonzero(hit)
-        change = np.zeros(len(self.data) + 1, np.int32)
-        change[at] += 1
-        change[at + self.length] -= 1
-        return np.cumsum(change[:-1]) > 0
+            smaller = holder[np.repeat(begins[number[some]], count) + within] < np.repeat(owner[some], count)
+            first = (np.repeat(self.start[some], count) + within)[smaller]
+            np.add.at(change, first, 1)
+            np.add.at(change, first + self.length, -1)
+        return np.cumsum(change[:-1], dtype=np.int32) > 0
 
 
 # ---------------------------------------------------------------- one shard
@@ -263,9 +271,16 @@ def first_holders(texts: list[bytes], ids: np.ndarray, settings: Settings) -> np
 
 
 def remove_repeats(
-    docs: DataFrame, keep: Scratch, settings: Settings | None = None, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    keep: Scratch,
+    settings: Settings | None = None,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    as_text: bool = False,
 ) -> DataFrame:
     """`docs` with RESULT columns: bytes of the text, bytes and maximal runs removed, SHA-256 and bytes of the rest.
+    With `as_text` the rest is a string, and a character that lost some of its bytes goes as a whole.
 
     A column of the input with the name of a result column is replaced by it. Null and empty texts have no bytes.
     Rows of one id never remove each other's text, a row without an id counts as the last one, so repeated rows
@@ -280,11 +295,11 @@ def remove_repeats(
         for rows in blocks_of(batches, text_col, settings.block_bytes):
             n = int(text_bytes(rows.column(text_col))[1][-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid4().hex]), pa.array([n], pa.int64()), pa.array([pack(rows)], pa.binary())],
+                [pa.array([uuid4().int >> 65], pa.int64()), pa.array([n], pa.int64()), pa.array([pack(rows)], pa.binary())],
                 ["block", "n", "rows"],
             )
 
-    blocks = keep(docs.select(*[F.col(f"`{c}`") for c in ordered]).mapInArrow(to_blocks, "block string, n long, rows binary"), "blocks")
+    blocks = keep(docs.select(*[F.col(f"`{c}`") for c in ordered]).mapInArrow(tidy(to_blocks), "block long, n long, rows binary"), "blocks")
     total = blocks.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // settings.shard_bytes))
     read = lambda packed: Block(packed.as_buffer(), id_col, text_col, settings)
@@ -298,7 +313,7 @@ def remove_repeats(
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(full, pa.int32()),
-                        pa.array([block.as_py()] * len(full), pa.string()),
+                        pa.array([block.as_py()] * len(full), pa.int64()),
                         pa.array([anchors[at[s] : at[s + 1]].tobytes() for s in full], pa.binary()),
                         pa.array([np.packbits(twice[at[s] : at[s + 1]]).tobytes() for s in full], pa.binary()),
                     ],
@@ -334,8 +349,8 @@ def remove_repeats(
         """One row per block: what its shards say, in their order; bounded by the block's size."""
         return df.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", *columns))).alias("said"))
 
-    anchors = blocks.mapInArrow(send_anchors, "shard int, block string, anchors binary, twice binary")
-    flags = anchors.groupBy("shard").applyInArrow(find_shared, "shard int, block string, n int, shared binary")
+    anchors = blocks.mapInArrow(tidy(send_anchors), "shard int, block long, anchors binary, twice binary")
+    flags = anchors.groupBy("shard").applyInArrow(find_shared, "shard int, block long, n int, shared binary")
 
     def shared_of(said) -> np.ndarray:
         parts = [np.unpackbits(np.frombuffer(x["shared"], np.uint8), count=x["n"]) for x in said or ()]
@@ -354,7 +369,7 @@ def remove_repeats(
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(full, pa.int32()),
-                        pa.array([name.as_py()] * len(full), pa.string()),
+                        pa.array([name.as_py()] * len(full), pa.int64()),
                         pa.array([windows[at[s] : at[s + 1]].astype(np.uint16).tobytes() for s in full], pa.binary()),
                         pa.array([ids[at[s] : at[s + 1]].tobytes() for s in full], pa.binary()),
                         pa.array([b"".join(texts[at[s] : at[s + 1]]) for s in full], pa.binary()),
@@ -410,13 +425,13 @@ def remove_repeats(
         )
 
     segments = blocks.join(by_block(flags, "n", "shared"), "block", "left").mapInArrow(
-        send_segments, "shard int, block string, windows binary, ids binary, texts binary, shared binary"
+        tidy(send_segments), "shard int, block long, windows binary, ids binary, texts binary, shared binary"
     )
     answers = segments.groupBy("shard").applyInArrow(
-        answer, "shard int, block string, lengths binary, holders binary, shared binary"
+        answer, "shard int, block long, lengths binary, holders binary, shared binary"
     )
 
-    results = T.StructType.fromDDL(RESULT)
+    results = T.StructType.fromDDL(TEXT_RESULT if as_text else RESULT)
     kept_fields = [f for f in docs.schema.fields if f.name not in results.names]
 
     def cut(batches):
@@ -434,12 +449,12 @@ def remove_repeats(
 
     def result_rows(block: Block, gone: np.ndarray):
         begins, sizes = block.offsets[:-1], np.diff(block.offsets)
-        removed = np.concatenate([[0], np.cumsum(gone)])
+        removed = np.concatenate([[0], np.cumsum(gone, dtype=np.int32)])
         rises = gone.copy()
         rises[1:] &= ~gone[:-1]
         inner = begins[begins < len(gone)]
         rises[inner] = gone[inner]
-        spans = np.concatenate([[0], np.cumsum(rises)])
+        spans = np.concatenate([[0], np.cumsum(rises, dtype=np.int32)])
         left = block.data[~gone].tobytes()
         n_removed = removed[block.offsets[1:]] - removed[begins]
         ends = np.cumsum(sizes - n_removed)
@@ -449,10 +464,10 @@ def remove_repeats(
             "n_removed": pa.array(n_removed, pa.int64()),
             "n_spans": pa.array(spans[block.offsets[1:]] - spans[begins], pa.int64()),
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
-            "kept": pa.array(kept, pa.binary()),
+            "kept": pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()),
         }
         columns = [block.rows.column(f.name) for f in kept_fields] + [made[n] for n in results.names]
         yield from pa.table(columns, names=[f.name for f in kept_fields] + results.names).to_batches(500)
 
     schema = T.StructType([*kept_fields, *results.fields])
-    return blocks.join(by_block(answers, "lengths", "holders", "shared"), "block", "left").mapInArrow(cut, schema)
+    return blocks.join(by_block(answers, "lengths", "holders", "shared"), "block", "left").mapInArrow(tidy(cut), schema)
