@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import arrow_column
+from leadlake.llm.common import arrow_column, tidy
 
 #: Fixed value: the word pattern of this family of byte-level vocabularies.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -127,7 +127,7 @@ def count_tokens(
             )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    counted = rows.mapInArrow(count, f"doc_id {id_type}, n_bytes long, n_tokens long")
+    counted = rows.mapInArrow(tidy(count), f"doc_id {id_type}, n_bytes long, n_tokens long")
     return counted.select(
         F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -20,10 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.bpe_count import byte_names
-from leadlake.llm.common import Scratch, arrow_column
+from leadlake.llm.common import Scratch, arrow_column, tidy
 
 #: Words that a task remembers with their ids, and their greatest length.
-REMEMBERED, REMEMBERED_CHARS = 500_000, 64
+REMEMBERED, REMEMBERED_CHARS = 400_000, 64
 #: Characters of a text that are tokenised at once.
 SLICE = 1 << 20
 
@@ -152,7 +152,7 @@ def pieces_of(
                 yield pa.RecordBatch.from_arrays([doc_ids, *columns], PIECE)
 
     return rows.mapInArrow(
-        cut, f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, deal long, ids binary"
+        tidy(cut), f"doc_id {id_type}, start long, length long, ids_crc32 long, doc_tokens long, deal long, ids binary"
     )
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.arrow_text import text_bytes
-from leadlake.llm.common import Scratch, arrow_column
+from leadlake.llm.common import Scratch, arrow_column, tidy
 from leadlake.llm.components import components
 from leadlake.llm.words import mixed, text_shingles
 from leadlake.session import cut_lineage
@@ -118,7 +118,7 @@ def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
             )
 
     kinds = "doc_id long, n_shingles long, digest binary, hashes array<long>, sketch array<long>"
-    return docs.mapInArrow(sign, kinds)
+    return docs.mapInArrow(tidy(sign), kinds)
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
                 [pa.array(keys.ravel().view(np.int64)), pa.array(node, pa.int64())], ["key", "node"]
             )
 
-    return nodes.select("node", "hashes").mapInArrow(explode, "key long, node long")
+    return nodes.select("node", "hashes").mapInArrow(tidy(explode), "key long, node long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -161,7 +161,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
                 linked[i] = 100 * shared >= settings.percent * (len(own) + len(pivot_set) - shared)
             yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(b[linked])], ["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long")
 
 
 def fine_sketches(texts: DataFrame, settings: Settings) -> DataFrame:
@@ -174,7 +174,7 @@ def fine_sketches(texts: DataFrame, settings: Settings) -> DataFrame:
             fine = [sketch_of(minhashes(s, seeds)).view(np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays([arrow_column(batch, "node"), pa.array(fine, pa.list_(pa.int64()))], ["node", "fine"])
 
-    return texts.select("node", "text").mapInArrow(sign, "node long, fine array<long>")
+    return texts.select("node", "text").mapInArrow(tidy(sign), "node long, fine array<long>")
 
 
 def _close(a: str, b: str, hashed: int, settings: Settings) -> str:
@@ -255,7 +255,7 @@ def near_duplicates(
             same = pa.array([set_digest(s) == d for s, d in zip(sets, digests, strict=True)], pa.bool_())
             yield batch.select(["node", "text"]).filter(same)
 
-    texts = keep(found.mapInArrow(same_set, "node long, text string").dropDuplicates(["node"]), "texts")
+    texts = keep(found.mapInArrow(tidy(same_set), "node long, text string").dropDuplicates(["node"]), "texts")
 
     first = keep(confirmed(keep(_pivot_pairs(members, nodes, settings), "first-pairs"), texts, settings), "first-links")
     labels = components(first)

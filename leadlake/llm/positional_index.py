@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leadlake.llm.arrow_text import blocks_of, text_bytes
-from leadlake.llm.common import Scratch, arrow_column
+from leadlake.llm.common import Scratch, arrow_column, tidy
 from leadlake.llm.words import LOWERED, word_hashes, word_spans
 
 #: Fixed value: bytes of words are digits, letters and all that is not ASCII; A-Z are lower-cased before.
@@ -35,7 +35,7 @@ class Settings:
     #: Consecutive words of a benchmark window.
     window: int = 10
     #: Text in a segment of the index.
-    segment_bytes: int = 16 << 20
+    segment_bytes: int = 8 << 20
     #: Words of benchmark items that are searched, and so broadcast, at once.
     block_words: int = 1_000_000
 
@@ -131,7 +131,7 @@ def build_index(
 
     schema = T.StructType.fromDDL("segment string")
     schema = schema.add("ids", ids_type).add("words", "binary").add("term", "binary").add("n", "long").add("gaps", "binary")
-    path = keep.write(rows.mapInArrow(index, schema), "index")
+    path = keep.write(rows.mapInArrow(tidy(index), schema), "index")
     scan = lambda: docs.sparkSession.read.schema(schema).parquet(path)
     return Index(
         scan().where("term is null").select("segment", "ids", "words"),

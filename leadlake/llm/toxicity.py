@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.llm.arrow_text import text_bytes
-from leadlake.llm.common import arrow_column
+from leadlake.llm.common import arrow_column, tidy
 from leadlake.llm.words import LOWERED, word_hashes, word_spans
 
 #: Groups of names that may stand for one another. A parameter.
@@ -197,7 +197,7 @@ def fit(
                 )
 
     id_type = own.schema["doc_id"].dataType.simpleString()
-    found = rows.mapInArrow(extract, f"doc_id {id_type}, label int, features array<binary>")
+    found = rows.mapInArrow(tidy(extract), f"doc_id {id_type}, label int, features array<binary>")
     texts, known, pairs = [], [], []
     for row in sorted(found.collect(), key=lambda r: (r["doc_id"], r["label"], r["features"][0])):
         own_features, *copies = (np.frombuffer(f, np.int32) for f in row["features"])
@@ -233,5 +233,5 @@ def score(
             )
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    rated = rows.mapInArrow(rate, f"doc_id {id_type}, score double, predicted int")
+    rated = rows.mapInArrow(tidy(rate), f"doc_id {id_type}, score double, predicted int")
     return rated.withColumnRenamed("doc_id", id_col)

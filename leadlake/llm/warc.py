@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadlake.llm.common import arrow_column
+from leadlake.llm.common import arrow_column, tidy
 
 CHUNK = 64 << 10
 #: Compressed bytes after which a task begins a new archive.
@@ -273,7 +273,7 @@ def write_archives(
         names, counts = [f"{folder}/{n}" for n, _ in written], [c for _, c in written]
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], ["archive", "records"])
 
-    return rows.mapInArrow(write, "archive string, records long")
+    return rows.mapInArrow(tidy(write), "archive string, records long")
 
 
 def read_archives(archives: DataFrame, *, with_payload: bool = False) -> DataFrame:
@@ -300,7 +300,7 @@ def read_archives(archives: DataFrame, *, with_payload: bool = False) -> DataFra
                         yield pa.RecordBatch.from_pylist(rows, ARROW_RECORD)
 
     spread = archives.select("archive").repartition(max(1, archives.count()))
-    return spread.mapInArrow(read, RECORD)
+    return spread.mapInArrow(tidy(read), RECORD)
 
 
 ARROW_RECORD = pa.schema(
