@@ -162,15 +162,20 @@ def csv_scan(spark, sf):
     return staging.stage_leads(read_leads_csv(spark, path), RUN_TS, order=EXPORT_ORDER)
 
 
-@query
-def dead_letters_malformed(spark, sf):
-    """Feed lines that break off are set aside one by one, the others are staged."""
+def _broken_feed(spark: SparkSession, raw: DataFrame) -> str:
+    """Path of feed pages of which one line in 211 breaks off."""
     path = _scratch(spark, "broken")
-    raw = raw_leads(spark, sf)
     line = F.to_json(F.struct(*as_export(raw).columns))
     keyed = raw.select("src_ordinal", *[F.col(f"`{h}`").cast("string").alias(h) for h in RAW_TO_STAGING])
     broken = F.when(F.col("src_ordinal") % 211 == 0, F.concat(F.lit('{"Name": '), F.col("src_ordinal"))).otherwise(line)
     keyed.select(broken.alias("value")).write.text(path)
+    return path
+
+
+@query
+def dead_letters_malformed(spark, sf):
+    """Feed lines that break off are set aside one by one, the others are staged."""
+    path = _broken_feed(spark, raw_leads(spark, sf))
     set_aside = malformed_records(spark, path, "json")
     staged_ = read_leads_json(spark, path).agg(F.count(F.lit(1)).alias("leads_read")).scalar()
     return set_aside.select("raw_record", "error_reason", staged_.alias("leads_read"))
@@ -342,6 +347,16 @@ def load_two_pipelines(spark, sf):
     return store.read("stg_leads")
 
 
+@query
+def load_broken_export(spark, sf):
+    """What a load of feed pages with broken lines has kept of them, and all it says it has read."""
+    path = _broken_feed(spark, _sound_raw(spark, sf))
+    store = Store(spark, _scratch(spark, "store"), buckets=8)
+    run_load(store, read_leads_json(spark, path), "broken", RUN_TS, Settings(order=tuple(EXPORT_ORDER), as_of=AS_OF_TS))
+    read = store.ledger("pipeline_runs").agg(F.sum("rows_read").alias("rows_read")).scalar()
+    return store.ledger("malformed_records").select("raw_record", "error_reason", read.alias("rows_read"))
+
+
 @query
 def load_stream_then_batch(spark, sf):
     """A stream brings the newer leads, then a daily load the older ones; none may be lost."""

@@ -19,6 +19,7 @@ from leadlake.operators.checks import alert_events, run_record
 from leadlake.operators.dedup import keep_last
 from leadlake.operators.warehouse import fct_leads
 from leadlake.schemas import RISK_SCORES, SOURCE_ORDER
+from leadlake.sources.files import malformed_of
 from leadlake.sources.store import Store
 
 
@@ -60,9 +61,12 @@ def run_load(
 ) -> Outcome:
     """Load one source snapshot. Repeating a finished run id does nothing; a failed run is recorded and raised.
 
-    `malformed` holds the records that the reader could not read (see `malformed_records`); each of them is kept
-    in a ledger with its text, and counted as read and as a dead letter.
+    `malformed` holds the records that the reader could not read, by default those that the frame of a reader
+    brings along (see `malformed_of`); each of them is kept in a ledger with its text, and counted as read and as a
+    dead letter.
     """
+    if malformed is None:
+        malformed = malformed_of(raw)
     out = Outcome(run_id)
     store.refresh()
     if store.is_published(run_id):

@@ -375,6 +375,11 @@ ORACLE: dict[str, str] = {
     "load_then_risk": _sound(_RISK_BASE, _RATES, _SCORED, "SELECT * FROM risk"),
     "stream_staging": _sound("SELECT * FROM leads"),
     "load_two_pipelines": _with(_TWO_LOADS, f"SELECT {_STAGING} FROM loaded"),
+    "load_broken_export": _with(
+        """SELECT '{"Name": ' || src_ordinal AS raw_record, 'Malformed record;' AS error_reason,
+             (SELECT count(*) FROM raw WHERE trim(agent) <> '') AS rows_read
+           FROM raw WHERE src_ordinal % 211 = 0 AND trim(agent) <> ''"""
+    ),
     "load_stream_then_batch": _with(_TWO_LOADS, f"SELECT {_STAGING} FROM loaded"),
     "watermark_advance": _with(
         _BATCHED,

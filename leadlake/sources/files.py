@@ -82,9 +82,7 @@ def _scan_json(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     return spark.read.options(**options).schema(schema).json(path)
 
 
-def malformed_records(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool | None = None) -> DataFrame:
-    """Rows (src_file, raw_record, error_reason): every record that the readers leave out, one by one."""
-    scan = _scan_csv(spark, path, multi_line is not False) if fmt == "csv" else _scan_json(spark, path, bool(multi_line))
+def _malformed(scan: DataFrame) -> DataFrame:
     return readable(scan, False).select(
         F.col("_metadata.file_path").alias("src_file"),
         F.col(CORRUPT).alias("raw_record"),
@@ -92,13 +90,36 @@ def malformed_records(spark: SparkSession, path: str, fmt: str = "csv", multi_li
     )
 
 
+def malformed_records(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool | None = None) -> DataFrame:
+    """Rows (src_file, raw_record, error_reason): every record that the readers leave out, one by one."""
+    scan = _scan_csv(spark, path, multi_line is not False) if fmt == "csv" else _scan_json(spark, path, bool(multi_line))
+    return _malformed(scan)
+
+
+def _beside(leads: DataFrame, scan: DataFrame) -> DataFrame:
+    """`leads` with the unreadable records of its scan, for `malformed_of`."""
+    leads._malformed = _malformed(scan)
+    return leads
+
+
+def malformed_of(leads: DataFrame) -> DataFrame | None:
+    """The unreadable records that a reader left out of `leads`; None if `leads` does not come from files.
+
+    A frame made from a reader's frame no longer knows them: it raises, so that none are lost unseen.
+    """
+    found = vars(leads).get("_malformed")
+    if found is None and "src_file" in leads.columns:
+        raise ValueError("leads read from files and changed since need malformed=malformed_records(...)")
+    return found
+
+
 def read_leads_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scan lead exports with a header row; every cell is text, missing cells are null.
 
     Columns are found by header name, in any order; a file whose header differs from the first one raises.
     `multi_line` accepts line breaks inside quoted cells, at one task per file; turn it off for files too
     large for that, when no cell holds a line break, and Spark splits them. Rows with too few or too many
-    cells are left to `malformed_records`.
+    cells are left out; `malformed_of` the result has them.
     """
     scan = _scan_csv(spark, path, multi_line)
     by_name = {c.lstrip("\ufeff").strip(): c for c in scan.columns}
@@ -109,7 +130,7 @@ def read_leads_csv(spark: SparkSession, path: str, multi_line: bool = True) -> D
         *[F.col(f"`{by_name[h]}`").alias(h) for h in RAW_TO_STAGING],
         "src_time", "src_file", "src_block", "src_row",
     )
-    return missing_to_null(named)
+    return _beside(missing_to_null(named), scan)
 
 
 def read_leads_json(
@@ -121,14 +142,15 @@ def read_leads_json(
     """Scan landed feed pages; with `updated_after`, keep leads whose newest date lies after it.
 
     Pages hold one lead per line, or one JSON array each with `multi_line`. Texts that mean a missing value are
-    null, as in a CSV export; unreadable lines are left to `malformed_records`.
+    null, as in a CSV export; unreadable lines are left out, and `malformed_of` the result has all of them.
     """
     scan = _scan_json(spark, path, multi_line)
     leads = missing_to_null(with_source_order(readable(scan)).drop(CORRUPT))
     if updated_after is None:
-        return leads
+        return _beside(leads, scan)
     headers = [h for h, c in RAW_TO_STAGING.items() if c in DATE_COLUMNS]
-    return leads.where(F.greatest(*[parse_mixed_ts(f"`{h}`") for h in headers]) > F.lit(updated_after))
+    late = leads.where(F.greatest(*[parse_mixed_ts(f"`{h}`") for h in headers]) > F.lit(updated_after))
+    return _beside(late, scan)
 
 
 def read_date_patch(spark: SparkSession, path: str) -> DataFrame:

@@ -214,3 +214,27 @@ def test_malformed_records_are_kept_one_by_one(spark, tmp_path):
     (tmp_path / "x.csv").write_text(f"{header}\n" + ",".join("v" for _ in RAW_TO_STAGING) + "\na,b\n" + "c," * 20 + "\n")
     assert [r.raw_record for r in malformed_records(spark, str(tmp_path / "x.csv")).collect()] == ["a,b", "c," * 20]
     assert read_leads_csv(spark, str(tmp_path / "x.csv")).count() == 1
+
+
+def test_a_load_keeps_the_malformed_records_of_its_reader(spark, tmp_path):
+    from leadlake.plans.daily_run import Settings, run_load
+    from leadlake.sources.store import Store
+
+    good = {"LinkedIn URL": "https://x/1", "Name": "a", "Agent": "b", "Added On": "2026-08-01"}
+    (tmp_path / "page.json").write_text(json.dumps(good) + '\n{"Name": "cut\n')
+    cells = ",".join(good.get(h, "") for h in RAW_TO_STAGING)
+    (tmp_path / "x.csv").write_text(",".join(RAW_TO_STAGING) + f"\n{cells}\na,b\n")
+    now = datetime(2026, 9, 1, tzinfo=timezone.utc)
+    frames = {
+        "csv": read_leads_csv(spark, str(tmp_path / "x.csv")),
+        "json": read_leads_json(spark, str(tmp_path / "page.json")),
+        "late": read_leads_json(spark, str(tmp_path / "page.json"), datetime(2026, 1, 1)),
+    }
+    for name, frame in frames.items():
+        store = Store(spark, str(tmp_path / name), buckets=2)
+        out = run_load(store, frame, "r1", now, Settings())
+        assert (out.rows_read, out.rows_loaded, out.dead_letters) == (2, 1, 1)
+        kept = [r.raw_record for r in store.ledger("malformed_records").collect()]
+        assert kept == (["a,b"] if name == "csv" else ['{"Name": "cut'])
+    with pytest.raises(ValueError, match="malformed"):
+        run_load(store, frames["csv"].where("true"), "r2", now, Settings())
