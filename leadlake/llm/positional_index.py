@@ -210,8 +210,9 @@ def _item_blocks(items: DataFrame, id_col: str, text_col: str, settings: Setting
         yield held
 
 
-def _search(index: Index, items: list[tuple[str, list[bytes]]], find, schema: str) -> DataFrame:
-    """`find(lists, items, firsts)` over the postings of the items' terms, segment by segment."""
+def _search(index: Index, items: list[tuple[str, list[bytes]]], find, schema: str):
+    """`find(lists, items, firsts)` over the postings of the items' terms, segment by segment: the hits, and the
+    broadcast that they need until they are written."""
     spark = index.postings.sparkSession
     terms = spark.createDataFrame([(bytearray(t),) for t in sorted({w for _, ws in items for w in ws})], "term binary")
     shared = spark.sparkContext.broadcast(items)
@@ -238,22 +239,24 @@ def _search(index: Index, items: list[tuple[str, list[bytes]]], find, schema: st
         )
 
     own = index.postings.join(F.broadcast(terms), "term").select("segment", "term", "gaps")
-    return (
+    found = (
         index.segments.select("segment", "words")
         .groupBy("segment")
         .cogroup(own.groupBy("segment"))
         .applyInArrow(in_segment, schema)
     )
+    return found, shared
 
 
 HIT = "segment string, row long, item_id string, begin long, end long"
 
 
 def phrase_hits(
-    index: Index, items: DataFrame, settings: Settings, *, id_col: str = "item_id", text_col: str = "text"
+    index: Index, items: DataFrame, settings: Settings, *, id_col: str = "item_id", text_col: str = "text", keep=None
 ) -> DataFrame:
     """(segment, row, item_id, begin, end): runs of words covered by an item's windows, for each document of the
-    index (row: its place in the segment). Null texts and texts without a word are no items."""
+    index (row: its place in the segment). Null texts and texts without a word are no items. With `keep` the hits of
+    a block of items are written before the next block is drawn; else all blocks are held until the result is used."""
 
     def find(lists, wanted, firsts):
         del firsts
@@ -269,7 +272,7 @@ def phrase_hits(
                 rows += [(item_id, a, b) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
         return rows
 
-    return _all_blocks(index, items, find, settings, id_col, text_col)
+    return _all_blocks(index, items, find, settings, id_col, text_col, keep)
 
 
 def proximity_hits(
@@ -287,12 +290,16 @@ def proximity_hits(
     return _all_blocks(index, items, find, settings, id_col, text_col)
 
 
-def _all_blocks(index, items, find, settings, id_col, text_col) -> DataFrame:
-    hits = None
+def _all_blocks(index, items, find, settings, id_col, text_col, keep: Scratch | None = None) -> DataFrame:
+    spark, path, hits = index.segments.sparkSession, keep and keep.folder("hits"), None
     for block in _item_blocks(items, id_col, text_col, settings):
-        found = _search(index, block, find, HIT)
-        hits = found if hits is None else hits.unionByName(found)
-    return index.segments.sparkSession.createDataFrame([], HIT) if hits is None else hits
+        found, shared = _search(index, block, find, HIT)
+        if keep:
+            found.write.mode("append").parquet(path, compression="zstd")
+            shared.destroy()
+            found = spark.read.schema(HIT).parquet(path)
+        hits = found if hits is None or keep else hits.unionByName(found)
+    return spark.createDataFrame([], HIT) if hits is None else hits
 
 
 def contamination(
@@ -315,7 +322,7 @@ def contamination(
     """
     settings = settings or Settings()
     index = build_index(docs, keep, settings, id_col=id_col, text_col=text_col)
-    hits = keep(phrase_hits(index, items, settings, id_col=item_id_col, text_col=item_text_col), "hits")
+    hits = phrase_hits(index, items, settings, id_col=item_id_col, text_col=item_text_col, keep=keep)
 
     def judge(segments: pa.Table, found: pa.Table) -> pa.Table:
         counts = np.frombuffer(segments.column("words")[0].as_buffer(), np.int64)

@@ -91,3 +91,22 @@ def test_any_id_type(spark):
     with scratch(spark) as keep:
         got = index.contamination(docs, items_frame(spark, [(1, "one")]), keep)
         assert frames.rows(got, "doc_id", "n_hit") == [("a", 1), (None, 1)]
+
+
+def test_a_block_of_items_is_done_before_the_next_is_drawn(spark, monkeypatch):
+    drawn, blocks = [], index._item_blocks
+    with scratch(spark) as keep:
+
+        def watched(*arguments):
+            for block in blocks(*arguments):
+                paths = [p for p in keep.made if "/hits-" in p]
+                if drawn:
+                    assert paths and spark.read.schema(index.HIT).parquet(*paths).count() > 0
+                drawn.append(block)
+                yield block
+
+        monkeypatch.setattr(index, "_item_blocks", watched)
+        docs = spark.createDataFrame([(1, "alpha beta"), (2, "gamma")], "doc_id long, text string")
+        items = items_frame(spark, [(1, "alpha beta"), (2, "gamma"), (3, "delta")])
+        got = index.contamination(docs, items, keep, index.Settings(block_words=1))
+        assert frames.rows(got, "doc_id", "n_hit") == [(1, 2), (2, 1)] and len(drawn) == 3
