@@ -14,6 +14,7 @@ from leadlake.llm import (
     minhash_tensor,
     positional_index,
     quality_llr,
+    subword_quality,
     suffix_dedup,
     toxicity,
     warc,
@@ -120,6 +121,13 @@ def op10_minhash_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
         return cut_lineage(minhash_tensor.near_duplicates(docs, keep))
 
 
+def op11_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    model = subword_quality.fit(docs, labels.where(~held_out))
+    return subword_quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -133,5 +141,6 @@ QUERIES = {
         op8_token_counts,
         op9_ffd_packing,
         op10_minhash_tensor,
+        op11_subword_quality,
     )
 }
