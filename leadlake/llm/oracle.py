@@ -114,4 +114,50 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op3_warc": OP3, "op4_host_reputation": OP4, "op5_chat_format": OP5, "op6_positional_index": OP6}
+#: What eight bits of the state become, as a list of 256; and the CRC-32 of a list of bytes `{0}`.
+CRC_TABLE = """(SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT)) AS steps)"""
+CRC = "xor(4294967295, list_reduce({0}, lambda s, b: xor(s >> 8, steps[(xor(s, b) & 255) + 1]), 4294967295::BIGINT))"
+
+OP12 = rf"""
+WITH RECURSIVE crc AS {CRC_TABLE},
+runs AS (
+    SELECT id, run, count(*) AS n FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+        FROM documents) GROUP BY id, run),
+bytes AS (
+    SELECT *, flatten(list_transform(string_split(id || ':' || run, ''), lambda c:
+        CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, (unicode(c) - 64)::BIGINT] END)) AS b
+    FROM runs WHERE length(run) >= 5),
+summed AS (SELECT run, n, {CRC.format("b")} AS h FROM bytes, crc),
+spelled AS (
+    SELECT CASE WHEN h % 97 <> 0 THEN run
+        ELSE substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) END AS word, n FROM summed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cuts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+shorter AS (SELECT DISTINCT word, n, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM cuts),
+holed AS (SELECT word, n, i, substr(word, 1, i - 1) || '_' || substr(word, i + 1) AS hole FROM cuts),
+pairs AS (
+    SELECT s.word, s.n, w.word AS near, w.n AS near_n FROM shorter s JOIN words w ON w.word = s.rest
+    UNION ALL SELECT w.word, w.n, s.word, s.n FROM shorter s JOIN words w ON w.word = s.rest
+    UNION ALL SELECT a.word, a.n, b.word, b.n FROM holed a JOIN holed b USING (hole, i) WHERE a.word <> b.word),
+around AS (SELECT word, n, count(*) AS n_near, max(near_n) AS most FROM pairs GROUP BY word, n),
+formed AS (
+    SELECT word, min(near) AS form, most AS form_n FROM around JOIN pairs USING (word, n)
+    WHERE near_n = most AND most >= 2 * n GROUP BY word, most),
+chains AS (
+    SELECT word, word AS root FROM words
+    UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.root),
+roots AS (SELECT c.word, c.root FROM chains c LEFT JOIN formed f ON f.word = c.root WHERE f.word IS NULL)
+SELECT w.word, f.form, r.root, w.n, coalesce(a.n_near, 0) AS n_near, f.form_n
+FROM words w JOIN roots r USING (word) LEFT JOIN around a USING (word) LEFT JOIN formed f USING (word)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc": OP3,
+    "op4_host_reputation": OP4,
+    "op5_chat_format": OP5,
+    "op6_positional_index": OP6,
+    "op12_spelling_variants": OP12,
+}

@@ -14,6 +14,7 @@ from leadlake.llm import (
     minhash_tensor,
     positional_index,
     quality_llr,
+    spelling,
     subword_quality,
     suffix_dedup,
     toxicity,
@@ -128,6 +129,12 @@ def op11_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subword_quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    with scratch(spark) as keep:
+        return cut_lineage(spelling.group_variants(docs, keep))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,5 +149,6 @@ QUERIES = {
         op9_ffd_packing,
         op10_minhash_tensor,
         op11_subword_quality,
+        op12_spelling_variants,
     )
 }
