@@ -154,10 +154,51 @@ SELECT w.word, f.form, r.root, w.n, coalesce(a.n_near, 0) AS n_near, f.form_n
 FROM words w JOIN roots r USING (word) LEFT JOIN around a USING (word) LEFT JOIN formed f USING (word)
 """
 
+OP13 = rf"""
+WITH crc AS {CRC_TABLE},
+framed AS (
+    SELECT conv_id, turn, coalesce(text, '') AS text,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+    FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+    SELECT conv_id, digest, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos FROM framed),
+convs AS (
+    SELECT conv_id, n_own, conv_id - conv_id % 20 AS donor,
+        {CRC.format("list_transform(string_split(conv_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)")} % 4 AS h
+    FROM (SELECT conv_id, max(pos) AS n_own FROM turns GROUP BY conv_id), crc),
+rebuilt AS (
+    SELECT c.conv_id, t.pos AS depth, t.digest, t.words FROM convs c JOIN turns t ON t.conv_id = c.donor AND t.pos <= c.h
+    UNION ALL
+    SELECT c.conv_id, t.pos - c.h + least(c.h, coalesce(d.n_own, 0)), t.digest, t.words
+    FROM convs c JOIN turns t USING (conv_id) LEFT JOIN convs d ON d.conv_id = c.donor WHERE t.pos > c.h),
+keyed AS (
+    SELECT conv_id, depth, words, sha256(string_agg(digest, '') OVER path) AS key FROM rebuilt
+    WINDOW path AS (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING)),
+rows AS (SELECT conv_id, 0 AS depth, 0 AS words, '' AS key FROM convs UNION ALL SELECT * FROM keyed),
+paths AS (
+    SELECT *, lag(key) OVER path AS parent, lead(key) OVER path IS NULL AS ends FROM rows
+    WINDOW path AS (PARTITION BY conv_id ORDER BY depth)),
+nodes AS (
+    SELECT key, any_value(depth) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+        any_value(words) AS words,
+        sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id END, ',' ORDER BY conv_id), '')) AS ends_sha256
+    FROM paths GROUP BY key),
+children AS (SELECT parent AS key, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+sums AS (
+    SELECT p.key, count(*) FILTER (c.key IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens
+    FROM nodes u JOIN paths p ON p.conv_id = u.conv_id AND p.depth <= u.depth LEFT JOIN children c ON c.key = u.key
+    GROUP BY p.key)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+    s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (key) LEFT JOIN children c USING (key) LEFT JOIN nodes p ON p.key = n.parent
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc": OP3,
     "op4_host_reputation": OP4,
     "op5_chat_format": OP5,
     "op6_positional_index": OP6,
     "op12_spelling_variants": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -13,6 +13,7 @@ from leadlake.llm import (
     host_reputation,
     minhash_tensor,
     positional_index,
+    prefix_trie,
     quality_llr,
     spelling,
     subword_quality,
@@ -135,6 +136,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
         return cut_lineage(spelling.group_variants(docs, keep))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    with scratch(spark) as keep:
+        return cut_lineage(prefix_trie.trie(chats, keep))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -150,5 +157,6 @@ QUERIES = {
         op10_minhash_tensor,
         op11_subword_quality,
         op12_spelling_variants,
+        op13_prefix_trie,
     )
 }
