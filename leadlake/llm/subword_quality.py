@@ -11,6 +11,7 @@ the difference of the two logits. Tasks then score whole texts with a table of 2
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -152,6 +153,17 @@ def train(texts, labels, gains, settings: Settings) -> tuple[np.ndarray, float]:
     return table @ fold, float(constant[1] - constant[0])
 
 
+def _packed(buckets: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted buckets by their distances, and their counts: mostly small numbers, which compress well."""
+    return zlib.compress(np.concatenate([np.diff(buckets, prepend=0), counts]).astype(np.uint32).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets, and their shares of all features of the text."""
+    gaps, counts = np.frombuffer(zlib.decompress(packed), np.uint32).reshape(2, -1)
+    return np.cumsum(gaps, dtype=np.int32), (counts / max(1, int(counts.sum()))).astype(np.float32)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -192,17 +204,15 @@ def fit(
                 for _, bucket in features(*text_bytes(texts.slice(i, 1))):
                     counted += np.bincount(bucket, minlength=1 << BITS)
                 some = np.flatnonzero(counted)
-                share = (counted[some] / max(1, counted.sum())).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(i, 1), known.slice(i, 1), pa.array([some.astype(np.int32).tobytes()]), pa.array([share.tobytes()])],
-                    ["doc_id", "label", "buckets", "shares"],
+                    [ids.slice(i, 1), known.slice(i, 1), pa.array([_packed(some, counted[some])])], ["doc_id", "label", "packed"]
                 )
 
     id_type = own.schema["doc_id"].dataType.simpleString()
-    kinds = f"doc_id {id_type}, label int, buckets binary, shares binary"
+    found = rows.mapInArrow(tidy(extract), f"doc_id {id_type}, label int, packed binary")
     texts, known = [], []
-    for row in sorted(rows.mapInArrow(tidy(extract), kinds).collect(), key=lambda r: r["doc_id"]):
-        texts.append((np.frombuffer(row["buckets"], np.int32), np.frombuffer(row["shares"], np.float32)))
+    for row in sorted(found.collect(), key=lambda r: r["doc_id"]):
+        texts.append(_unpacked(row["packed"]))
         known.append(row["label"])
     total, sampled = sum(counts.values()), np.bincount(known, minlength=2)
     gains = [counts[y] / total * len(known) / sampled[y] for y in known]
