@@ -257,7 +257,9 @@ def build_dims(fct: DataFrame, run_ts: datetime, known: Dims | None = None) -> D
             .unionByName(status.select(F.lit("status").alias("kind"), F.col("lead_status").alias("member")))
             .unionByName(known.date.select(F.lit("date").alias("kind"), F.col("full_date").cast("string").alias("member")))
         )
-        members = members.join(had, ["kind", "member"], "left_anti")
+        members = cut_lineage(members.join(had, ["kind", "member"], "left_anti"))
+        if members.isEmpty():
+            return Dims(known.agent.select(*DIM_AGENT.names), status, known.date)
     ranked = cut_lineage(rank_members(members, "kind", "member"))
 
     def added(kind: str, key: str, name: str, table: DataFrame | None) -> DataFrame:

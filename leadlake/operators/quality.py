@@ -36,14 +36,22 @@ def _score(found: Column, checks: Column) -> Column:
     return F.coalesce(F.try_divide(found, checks) * 100, F.lit(0.0))
 
 
+def completeness() -> dict[str, Column]:
+    """What a row must have, by the name of its count."""
+    return {
+        "valid_name": ~is_blank("name"),
+        "valid_linkedin_url": ~is_blank("linkedin_url"),
+        "valid_added_on": F.col("added_on").isNotNull(),
+        "valid_agent": ~is_blank("agent"),
+    }
+
+
+def _counted(conditions: dict[str, Column]) -> list[Column]:
+    return [F.count_if(holds).alias(name) for name, holds in conditions.items()]
+
+
 def _completeness_counts() -> list[Column]:
-    return [
-        rows().alias("total_rows"),
-        F.count_if(~is_blank("name")).alias("valid_name"),
-        F.count_if(~is_blank("linkedin_url")).alias("valid_linkedin_url"),
-        F.count_if(F.col("added_on").isNotNull()).alias("valid_added_on"),
-        F.count_if(~is_blank("agent")).alias("valid_agent"),
-    ]
+    return [rows().alias("total_rows"), *_counted(completeness())]
 
 
 def _completeness_score() -> Column:
@@ -70,13 +78,18 @@ def _uniqueness_score() -> Column:
     return (ids + urls) / 2
 
 
-def _validity_counts(statuses: list[str]) -> list[Column]:
+def validity(statuses: list[str] = VALID_STATUSES) -> dict[str, Column]:
+    """What a row's values must be, by the name of its count."""
     score, priority, status = F.col("hot_score"), F.col("prioritized"), F.col("sdr_status")
-    return [
-        F.count_if(score.isNull() | score.between(0, 100)).alias("valid_hot_scores"),
-        F.count_if(priority.isNull() | F.upper(strip(priority)).isin("YES", "NO")).alias("valid_prioritized"),
-        F.count_if(status.isNull() | F.lower(strip(status)).isin(statuses)).alias("valid_statuses"),
-    ]
+    return {
+        "valid_hot_scores": score.isNull() | score.between(0, 100),
+        "valid_prioritized": priority.isNull() | F.upper(strip(priority)).isin("YES", "NO"),
+        "valid_statuses": status.isNull() | F.lower(strip(status)).isin(statuses),
+    }
+
+
+def _validity_counts(statuses: list[str]) -> list[Column]:
+    return _counted(validity(statuses))
 
 
 def _validity_score() -> Column:
@@ -137,10 +150,11 @@ def dq_scores(
     threshold: float = 95.0,
     rsd: float | None = None,
 ) -> DataFrame:
-    """One row: five scores, composite, threshold and PASS or FAIL, in one pass over the fact.
+    """One row: five scores, composite, threshold and PASS or FAIL.
 
-    The fact holds each staging row once, so timeliness comes from the same pass; give `stg` when staging
-    differs from the fact.
+    One pass over the fact counts everything but the distinct ids and URLs, which take a pass each over their one
+    column: hand in a written fact. It holds each staging row once, so timeliness comes from the same pass; give `stg`
+    when staging differs from the fact.
     """
     counts = _with_counts(
         fct,
@@ -152,6 +166,11 @@ def dq_scores(
     if stg is not None:
         dated = stg.agg(F.struct(*_timeliness_counts(as_of)).alias("t")).scalar()
         counts = counts.withColumn("_t", dated).select("*", "_t.*").drop("_t")
+    return scores_of(counts, weights, threshold)
+
+
+def scores_of(counts: DataFrame, weights: Weights = Weights(), threshold: float = 95.0) -> DataFrame:
+    """The scores from their counts, however those came about."""
     composite = (
         F.col("completeness_score") * weights.completeness
         + F.col("uniqueness_score") * weights.uniqueness

@@ -8,27 +8,34 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadlake.functions.stats import flagged, percent, rows
 from leadlake.functions.text import norm_status
 from leadlake.operators.risk import ghosted, replied
 
+
+def funnel_rates(counts: DataFrame) -> DataFrame:
+    """Connection and invite rate in percent; null for no leads."""
+    return counts.withColumns(
+        {
+            "connection_rate": percent("connected_leads", "total_leads"),
+            "invite_rate": percent("invite_sent_leads", "total_leads"),
+        }
+    )
+
+
 def lead_funnel(fct: DataFrame) -> DataFrame:
     """Totals over all leads with connection and invite rate in percent; null rates for an empty fact."""
-    return fct.agg(
+    counts = fct.agg(
         rows().alias("total_leads"),
         flagged("is_contacted").alias("contacted_leads"),
         flagged("is_invite_sent").alias("invite_sent_leads"),
         flagged("is_connected").alias("connected_leads"),
         flagged("is_hot_lead").alias("hot_leads"),
-    ).withColumns(
-        {
-            "connection_rate": percent("connected_leads", "total_leads"),
-            "invite_rate": percent("invite_sent_leads", "total_leads"),
-        }
     )
+    return funnel_rates(counts)
 
 
 def lead_funnel_prioritized(fct: DataFrame) -> DataFrame:
@@ -86,13 +93,18 @@ def agent_performance_prioritized(fct: DataFrame) -> DataFrame:
 
 
 def star_funnel(star: DataFrame) -> DataFrame:
-    return star.agg(
+    counts = star.agg(
         rows().alias("total_leads"),
         flagged("is_contacted").alias("contacted_leads"),
         flagged("is_invite_sent").alias("invite_sent_leads"),
         flagged("is_connected").alias("connected_leads"),
         flagged("is_hot_lead").alias("hot_leads"),
-    ).withColumns(
+    )
+    return star_funnel_rates(counts)
+
+
+def star_funnel_rates(counts: DataFrame) -> DataFrame:
+    return counts.withColumns(
         {
             "contact_rate": F.round(percent("contacted_leads", "total_leads"), 2),
             "invite_rate": F.round(percent("invite_sent_leads", "total_leads"), 2),
@@ -113,7 +125,11 @@ def _per_key(star: DataFrame, key: str, suffix: str, total: str) -> DataFrame:
 
 
 def star_agent_performance(star: DataFrame, dim_agent: DataFrame) -> DataFrame:
-    counts = _per_key(star, "agent_key", "leads", "total_leads")
+    return named_agents(_per_key(star, "agent_key", "leads", "total_leads"), dim_agent)
+
+
+def named_agents(counts: DataFrame, dim_agent: DataFrame) -> DataFrame:
+    """Counts per agent key with the agent's name and rates."""
     return counts.join(dim_agent, "agent_key").select(
         "agent_key",
         "agent_name",
@@ -128,7 +144,11 @@ def star_agent_performance(star: DataFrame, dim_agent: DataFrame) -> DataFrame:
 
 
 def star_status(star: DataFrame, dim_status: DataFrame) -> DataFrame:
-    counts = _per_key(star, "status_key", "count", "lead_count")
+    return named_statuses(_per_key(star, "status_key", "count", "lead_count"), dim_status)
+
+
+def named_statuses(counts: DataFrame, dim_status: DataFrame) -> DataFrame:
+    """Counts per status key with the status."""
     return counts.join(dim_status.select("status_key", "lead_status"), "status_key").select(
         "status_key",
         "lead_status",
@@ -141,7 +161,11 @@ def star_status(star: DataFrame, dim_status: DataFrame) -> DataFrame:
 
 
 def star_daily_trend(star: DataFrame, dim_date: DataFrame) -> DataFrame:
-    counts = _per_key(star, "date_key", "leads", "total_leads")
+    return named_days(_per_key(star, "date_key", "leads", "total_leads"), dim_date)
+
+
+def named_days(counts: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Counts per date key with the day's calendar columns."""
     return counts.join(dim_date, "date_key").select(
         "date_key", "full_date", "year", "month", "month_name", "quarter",
         "total_leads", "contacted_leads", "invite_sent_leads", "connected_leads", "hot_leads",
@@ -160,15 +184,17 @@ def segment_performance(fct: DataFrame, segment: str) -> DataFrame:
             flagged("is_invite_sent").alias("invites_sent"),
             flagged("is_connected").alias("connected_leads"),
         )
-        .withColumns(
-            {
-                "acceptance_rate": percent("connected_leads", "invites_sent"),
-                "conversion_rate": percent("connected_leads", "total_leads"),
-            }
-        )
+        .withColumns(segment_rates())
     )
 
 
+def segment_rates() -> dict[str, Column]:
+    return {
+        "acceptance_rate": percent("connected_leads", "invites_sent"),
+        "conversion_rate": percent("connected_leads", "total_leads"),
+    }
+
+
 def kpi_overview(fct: DataFrame, as_of: date) -> DataFrame:
     """One row of dashboard figures; rates in percent, null when there is nothing to divide by."""
     return fct.agg(
@@ -178,16 +204,22 @@ def kpi_overview(fct: DataFrame, as_of: date) -> DataFrame:
         flagged("is_connected").alias("connected_leads"),
         F.count_if(replied()).alias("replied_leads"),
         F.count_if(ghosted(as_of)).alias("ghosted_leads"),
-        F.count_if(norm_status("lead_status") == "linkedin_rate_limited").alias("rate_limited_leads"),
-    ).withColumns(
-        {
-            "acceptance_rate": percent("connected_leads", "invites_sent"),
-            "reply_rate": percent("replied_leads", "contacted_leads"),
-            "conversion_rate": percent("connected_leads", "total_leads"),
-            "ghosting_rate": percent("ghosted_leads", "invites_sent"),
-            "rate_limit_rate": percent("rate_limited_leads", "total_leads"),
-        }
-    )
+        F.count_if(rate_limited()).alias("rate_limited_leads"),
+    ).withColumns(kpi_rates())
+
+
+def rate_limited() -> Column:
+    return norm_status("lead_status") == "linkedin_rate_limited"
+
+
+def kpi_rates() -> dict[str, Column]:
+    return {
+        "acceptance_rate": percent("connected_leads", "invites_sent"),
+        "reply_rate": percent("replied_leads", "contacted_leads"),
+        "conversion_rate": percent("connected_leads", "total_leads"),
+        "ghosting_rate": percent("ghosted_leads", "invites_sent"),
+        "rate_limit_rate": percent("rate_limited_leads", "total_leads"),
+    }
 
 
 def daily_leads(fct: DataFrame) -> DataFrame:

@@ -20,6 +20,12 @@ def default_rules() -> list[tuple[Column, str]]:
     ]
 
 
+def dated_after(limit: datetime) -> tuple[Column, str]:
+    """Rule against dates that lie ahead."""
+    ahead = F.coalesce(F.col("record_updated_at") > F.lit(limit), F.lit(False))
+    return ahead, "Date in the future; "
+
+
 def reason(rules: Sequence[tuple[Column, str]] | None = None) -> Column:
     """Messages of all broken rules, joined; empty for a valid record. The text keeps its last semicolon."""
     parts = [F.when(broken, message).otherwise("") for broken, message in rules or default_rules()]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from leadlake.operators import (
     checks,
     dims,
     incremental,
+    maintained,
     quality,
     reports,
     risk,
@@ -23,10 +26,10 @@ from leadlake.operators import (
     warehouse,
 )
 from leadlake.operators.dedup import keep_last
-from leadlake.plans.daily_run import Settings, run_load
-from leadlake.schemas import DATE_COLUMNS, DIM_LEAD_STATUS, RAW_TO_STAGING
+from leadlake.plans.daily_run import Settings, register_views, run_load
+from leadlake.schemas import DATE_COLUMNS, DATE_PATCH, DIM_LEAD_STATUS, RAW_TO_STAGING
 from leadlake.session import prepare, shared_dir, write_work
-from leadlake.sources.files import malformed_records, read_leads_csv, read_leads_json
+from leadlake.sources.files import malformed_records, read_date_patch, read_leads_csv, read_leads_json
 from leadlake.sources.store import Store
 from leadlake.sources.testleads import raw_leads
 from leadlake.streaming.ingest import stream_leads
@@ -357,6 +360,157 @@ def load_broken_export(spark, sf):
     return store.ledger("malformed_records").select("raw_record", "error_reason", read.alias("rows_read"))
 
 
+def _edited(raw: DataFrame) -> DataFrame:
+    """The source a day later: one lead in seven has replied and is scored higher, and no date has moved."""
+    hit = F.col("src_ordinal") % 7 == 0
+    return raw.withColumns(
+        {
+            "SDR Status": F.when(hit, "replied").otherwise(F.col("SDR Status")),
+            "Hot Score": F.when(hit, F.col("Hot Score") + 1).otherwise(F.col("Hot Score")),
+        }
+    )
+
+
+def _store(spark: SparkSession, buckets: int = 8) -> Store:
+    return Store(spark, _scratch(spark, "store"), buckets=buckets)
+
+
+_BY_ORDINAL = Settings(order=("src_ordinal",), as_of=AS_OF_TS)
+_NEXT_DAY = RUN_TS + timedelta(days=1)
+
+
+@query
+def load_edited_leads(spark, sf):
+    """Edits that move no date, found by content; unchanged leads keep the time they were loaded at."""
+    store, raw = _store(spark), write_work(_sound_raw(spark, sf).withColumnsRenamed(RAW_TO_STAGING))
+    raw = raw.withColumnsRenamed({c: h for h, c in RAW_TO_STAGING.items()})
+    run_load(store, raw, "one", RUN_TS, _BY_ORDINAL)
+    run_load(store, _edited(raw), "two", _NEXT_DAY, replace(_BY_ORDINAL, detect="content"))
+    return store.read("stg_leads")
+
+
+def _arrived(spark: SparkSession, sf: str, raw: DataFrame) -> DataFrame:
+    """Raw leads, written, with the batch they arrive in; columns are named as in staging, which the load takes too."""
+    dated = raw.withColumnsRenamed(RAW_TO_STAGING)
+    return write_work(dated.withColumn("_batch", batch_of(F.greatest(*DATE_COLUMNS))))
+
+
+@query
+def load_future_date(spark, sf):
+    """Some dates of the first load are typed wrongly, decades ahead; no lead of the second load may be lost."""
+    store, arrived = _store(spark), _arrived(spark, sf, _sound_raw(spark, sf))
+    typo = F.lit(datetime(2062, 8, 1)).cast("timestamp_ntz").cast(arrived.schema["last_contacted"].dataType)
+    wrong = F.when(F.col("src_ordinal") % 211 == 5, typo).otherwise(F.col("last_contacted"))
+    first = arrived.where("_batch = 1").drop("_batch").withColumn("last_contacted", wrong)
+    run_load(store, first, "one", RUN_TS, _BY_ORDINAL)
+    run_load(store, arrived.drop("_batch"), "two", _NEXT_DAY, _BY_ORDINAL)
+    late = store.ledger("dead_letter_leads").where("error_reason LIKE '%Date in the future;'")
+    return store.read("stg_leads").withColumn("set_aside", late.agg(F.count(F.lit(1))).scalar())
+
+
+@query
+def load_failed_gate(spark, sf):
+    """The ledger after a good load and one that fails on leads without an agent; the good one stays."""
+    store, arrived = _store(spark), _arrived(spark, sf, raw_leads(spark, sf))
+    sound = arrived.where(~text.is_blank("agent") & (F.col("_batch") == 1))
+    run_load(store, sound.drop("_batch"), "good", RUN_TS, _BY_ORDINAL)
+    try:
+        run_load(store, arrived.drop("_batch"), "bad", _NEXT_DAY, _BY_ORDINAL)
+    except star.ReferentialError:
+        pass
+    kept = store.read("stg_leads").agg(F.count(F.lit(1))).scalar().alias("staging_rows")
+    return store.ledger("pipeline_runs").select("run_id", "status", "rows_read", "rows_loaded", kept)
+
+
+@query
+def load_repeated(spark, sf):
+    """One load, its retry under the same id, and the same source again: nothing is doubled."""
+    store, raw = _store(spark), _sound_raw(spark, sf)
+    outcomes = [run_load(store, raw, name, RUN_TS, _BY_ORDINAL) for name in ("one", "one", "two")]
+    again = F.lit(",".join(o.status for o in outcomes)).alias("outcomes")
+    kept = store.read("stg_leads").agg(F.count(F.lit(1))).scalar().alias("staging_rows")
+    return store.ledger("pipeline_runs").select("run_id", "status", "rows_read", "rows_loaded", kept, again)
+
+
+@query
+def load_empty(spark, sf):
+    """A full load whose rows are all invalid leaves staging as it is."""
+    store, arrived = _store(spark), _arrived(spark, sf, _sound_raw(spark, sf))
+    run_load(store, arrived.where("_batch < 3").drop("_batch"), "one", RUN_TS, _BY_ORDINAL)
+    undated = arrived.drop("_batch").withColumn("added_on", F.lit(None).cast(arrived.schema["added_on"].dataType))
+    run_load(store, undated, "two", _NEXT_DAY, replace(_BY_ORDINAL, mode="full"))
+    return store.read("stg_leads")
+
+
+@query
+def load_then_reports(spark, sf):
+    """Reports from the sums that three loads have maintained, one row a group."""
+    sums = _loaded_in_batches(spark, sf).read("lead_sums")
+    counts = ("total_leads", "contacted_leads", "invite_sent_leads", "connected_leads", "hot_leads")
+
+    def rows(report: DataFrame, name: str, key: Column | str, columns: tuple = counts) -> DataFrame:
+        key = F.col(key) if isinstance(key, str) else key
+        return report.select(F.lit(name).alias("report"), key.cast("string").alias("key"), *[
+            F.col(c).alias(n) for c, n in zip(columns, counts, strict=True)
+        ])
+
+    status = ("lead_count", "contacted_count", None, "connected_count", "hot_lead_count")
+    by_status = maintained.lead_status(sums).withColumn("none", F.lit(None).cast("long"))
+    parts = [
+        rows(maintained.lead_funnel(sums), "funnel", F.lit(None)),
+        rows(maintained.agent_performance(sums), "agent", "agent"),
+        rows(by_status, "status", "lead_status", tuple(c or "none" for c in status)),
+    ]
+    for segment in ("source", "industry"):
+        found = maintained.segment_performance(sums, segment)
+        renamed = found.withColumnRenamed("invites_sent", "invite_sent_leads").withColumns(
+            {c: F.lit(None).cast("long") for c in ("contacted_leads", "hot_leads")}
+        )
+        parts.append(rows(renamed, segment, segment))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def load_then_daily_trend(spark, sf):
+    store = _loaded_in_batches(spark, sf)
+    return maintained.star_daily_trend(store.read("lead_sums"), store.dims())
+
+
+@query
+def load_then_quality(spark, sf):
+    """The quality rows that three loads have left, from maintained sums."""
+    return _loaded_in_batches(spark, sf).ledger("dq_results")
+
+
+@query
+def published_views(spark, sf):
+    """Reports by SQL, from the views that a load's tables are published under."""
+    store = _store(spark)
+    run_load(store, _sound_raw(spark, sf), "one", RUN_TS, _BY_ORDINAL)
+    register_views(store)
+    return spark.sql(
+        """SELECT agent_name, s.total_leads, s.connection_rate, f.total_leads AS all_leads
+           FROM analytics_star_agent_performance s CROSS JOIN analytics_lead_funnel f"""
+    )
+
+
+@query
+def required_tables(spark, sf):
+    """Which tables are there: one created empty, one loaded and loaded again, one never written."""
+    store, dim = _store(spark), dims.dim_agent(fact(spark, sf), RUN_TS)
+    for _ in range(2):
+        store.ensure("dim_lead_status")
+        store.replace("dim_agent", dim, "agents")
+    store.replace("dim_agent", dim.limit(0), "nothing")
+    names = ["dim_agent", "dim_lead_status", "dim_date"]
+    present = store.required_tables(names)
+    sizes = reduce(
+        DataFrame.unionByName,
+        [store.read(n).agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(n)) for n in names],
+    )
+    return present.join(sizes, "table")
+
+
 @query
 def load_stream_then_batch(spark, sf):
     """A stream brings the newer leads, then a daily load the older ones; none may be lost."""
@@ -437,6 +591,16 @@ def dim_date_gap_fill(spark, sf):
     return dims.fill_date_gaps(holed, dims.days_between(span))
 
 
+@query
+def date_patch(spark, sf):
+    """A calendar without its 24ths, filled from a patch file that holds them."""
+    calendar = write_work(dims.dim_date_calendar(valid(spark, sf)))
+    path = _scratch(spark, "patch")
+    missing = calendar.where("day_of_month = 24").select(*DATE_PATCH.names)
+    missing.write.option("header", "true").csv(path)
+    return dims.fill_date_gaps(calendar.where("day_of_month <> 24"), read_date_patch(spark, path))
+
+
 @query
 def dim_date_range(spark, sf):
     return dims.dim_date_range(dims.dim_date_calendar(valid(spark, sf), first="added_on"))

@@ -7,35 +7,47 @@ Every result that is read twice is a written table, so lost executors cost a tas
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from leadlake.functions.stats import rows
 from leadlake.operators import dims as dimensions
-from leadlake.operators import incremental, quality, reports, risk, staging, star, validation
+from leadlake.operators import incremental, maintained, quality, risk, staging, star, validation
 from leadlake.operators.checks import alert_events, run_record
 from leadlake.operators.dedup import keep_last
 from leadlake.operators.warehouse import fct_leads
 from leadlake.schemas import RISK_SCORES, SOURCE_ORDER
+from leadlake.session import together
 from leadlake.sources.files import malformed_of
 from leadlake.sources.store import Store
 
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run may vary. `as_of` is the day ghosting is judged on, by default the day of the run."""
+    """What a run may vary. `as_of` is the day ghosting is judged on, by default the day of the run.
+
+    `detect` says how an incremental run finds changed leads: by the `watermark`, or by `content`, which compares
+    every lead of the source with the digest of what is known of it, so edits that move no date load too. Leads dated
+    later than the run's clock plus `ahead` are set aside; None keeps them.
+    """
 
     mode: str = "incremental"  # or "full"
+    detect: str = "watermark"  # or "content"
+    ahead: timedelta | None = timedelta(days=1)
     use_watermark: bool = True
     overlap: timedelta | None = None
     order: tuple[str, ...] = tuple(SOURCE_ORDER)
     dedup_nulls: bool = True
     as_of: datetime | None = None
     dq_threshold: float = 95.0
-    dq_rsd: float | None = None  # relative error allowed in distinct counts; None counts exactly
     pipeline: str = incremental.PIPELINE
+    #: A bucket is written anew once its deltas hold more than this share of its rows, or are this many (up to twice
+    #: as many, by its number, so that buckets don't all come due at once).
+    delta_share: float = 0.25
+    most_deltas: int = 32
 
 
 @dataclass
@@ -45,6 +57,8 @@ class Outcome:
     rows_read: int = 0
     rows_loaded: int = 0
     rows_changed: int = 0
+    rows_inserted: int | None = None  # of the changed ones, where changes are found by content
+    rows_unchanged: int | None = None
     dead_letters: int = 0
     watermark_start: datetime | None = None
     watermark_end: datetime | None = None
@@ -81,23 +95,41 @@ def run_load(
         )
 
     try:
-        tables, complete = _load(store, raw, run_ts, settings, out)
-        if malformed is not None:
-            _set_aside(store, malformed, run_ts, out)
+        loaded = _load(store, raw, run_ts, settings, out, malformed)
         store.append("pipeline_runs", record("SUCCESS"), run_id)
-        store.publish(run_id, tables, complete)
+        store.publish(run_id, *loaded)
     except Exception as error:
         out.status = "FAILED"
         store.append("pipeline_runs", record("FAILED", str(error)), f"{run_id}-failed")
         raise
+    finally:
+        for name in ("_staged", "_changed"):
+            store.discard(name, run_id)
     return out
 
 
+@dataclass(frozen=True)
+class _Plan:
+    """How the changed rows go into the buckets: their rows by bucket, and the buckets to write anew."""
+
+    touched: dict[int, int]
+    sizes: dict[int, int]
+    anew: frozenset[int]
+
+    @property
+    def deltas(self) -> list[int]:
+        return sorted(set(self.touched) - self.anew)
+
+
 def _load(
-    store: Store, raw: DataFrame, run_ts: datetime, settings: Settings, out: Outcome
-) -> tuple[dict, bool]:
-    """All steps up to publishing; returns the tables to publish and whether they replace everything."""
+    store: Store, raw: DataFrame, run_ts: datetime, settings: Settings, out: Outcome, malformed: DataFrame | None
+) -> tuple:
+    """All steps up to publishing; returns what to publish: tables, whether they replace everything, sizes, deltas."""
+    if settings.detect not in ("watermark", "content"):
+        raise ValueError(f"unknown way to detect changes {settings.detect!r}")
     source = _stage(store, raw, run_ts, settings, out)
+    if malformed is not None:
+        _set_aside(store, malformed, run_ts, out)
     valid = source.where("error_reason = ''").drop("error_reason")
 
     out.watermark_start = incremental.moment(
@@ -105,40 +137,43 @@ def _load(
     )
     complete = settings.mode == "full" or not store.exists("stg_leads")
     changed = valid
-    if settings.use_watermark and not complete:
+    if not complete and settings.detect == "content":
+        changed = _edited(store, valid, out)
+    elif not complete and settings.use_watermark:
         changed = incremental.incremental_rows(valid, out.watermark_start, settings.overlap)
-    touched = _measure(store, changed, out)
+    plan = _measure(store, changed, run_ts, settings, complete, out)
 
     tables: dict = {}
-    if touched:
-        _write_staging(store, changed, touched, complete, out)
-        built = _write_dims(store, changed, run_ts, out)
-        _write_star(store, touched, built, out)
-        tables = {
-            "stg_leads": touched, "fct_leads_star": touched,
-            "dim_agent": None, "dim_lead_status": None, "dim_date": None,
-        }
-    replaced = complete and bool(touched)
-    leads = store.candidate("stg_leads", out.run_id, touched, replaced)
-    out.rows_loaded = leads.count()
-    fct = fct_leads(leads)
-    _check_quality(store, fct, run_ts, settings, out)
-    as_of = (settings.as_of or run_ts).date()
-    scores = risk.risk_scores(fct, as_of).select(
-        *[F.col(f.name).cast(f.dataType) for f in RISK_SCORES.fields]
+    sums = store.read("lead_sums")
+    if plan.touched:
+        sums = _write_leads(store, changed, run_ts, plan, complete, out)
+        split = dict.fromkeys(("stg_leads", "fct_leads_star", "lead_index"), list(plan.touched))
+        tables = {**split, "lead_sums": None, "dim_agent": None, "dim_lead_status": None, "dim_date": None}
+    _, scores = together(
+        store.spark,
+        partial(_check_quality, store, sums, run_ts, settings, out),
+        partial(_write_risk, store, sums, (settings.as_of or run_ts).date(), out),
     )
-    risk.require_agents(store.write("analytics_risk_scores", scores, out.run_id))
-    return {**tables, "analytics_risk_scores": None}, replaced
+    risk.require_agents(scores)
+    replaced = complete and bool(plan.touched)
+    return {**tables, "analytics_risk_scores": None}, replaced, plan.sizes, plan.deltas
 
 
 def _stage(
     store: Store, raw: DataFrame, run_ts: datetime, settings: Settings, out: Outcome
 ) -> DataFrame:
-    """Stage and check the source once, written; set invalid rows aside."""
+    """Stage and check the source once, written; set invalid rows aside.
+
+    A date ahead of the run's clock is a typing error: its lead goes to the dead letters, where it is seen, as one such
+    date would end all later increments and stretch the calendar to it.
+    """
     staged = staging.stage_leads(
         raw, run_ts, list(settings.order), settings.dedup_nulls, copies="_copies"
     )
-    checked = store.write("_staged", validation.with_reasons(staged), out.run_id)
+    rules = validation.default_rules()
+    if settings.ahead is not None:
+        rules.append(validation.dated_after(run_ts + settings.ahead))
+    checked = store.write("_staged", validation.with_reasons(staged, rules), out.run_id)
     is_dead = F.col("error_reason") != ""
     seen = checked.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("read"), F.count_if(is_dead).alias("dead")
@@ -161,35 +196,103 @@ def _set_aside(store: Store, malformed: DataFrame, run_ts: datetime, out: Outcom
     out.dead_letters += n
 
 
-def _measure(store: Store, changed: DataFrame, out: Outcome) -> list[int]:
-    """Count the changed rows, move the watermark and name the buckets they fall into."""
-    found = changed.agg(
-        rows().alias("n"),
-        F.max("record_updated_at").cast("timestamp_ntz").alias("newest"),
-        F.collect_set(store.bucket()).alias("touched"),
-    ).first()
-    out.rows_changed = found.n
-    marks = [m for m in (out.watermark_start, incremental.utc(found.newest)) if m is not None]
-    out.watermark_end = max(marks, default=None)
-    return sorted(found.touched)
+def _edited(store: Store, valid: DataFrame, out: Outcome) -> DataFrame:
+    """Leads that are new, or differ from what is known of them; written.
 
+    The index is read by three narrow columns. Both sides are shuffled on the lead id, or the smaller one is
+    broadcast; unchanged leads end here.
+    """
+    known = store.read("lead_index").select("staging_id", F.col("digest_1").alias("_1"), F.col("digest_2").alias("_2"))
+    one, two = maintained.digests()
+    same = (one == F.col("_1")) & (two == F.col("_2"))
+    compared = valid.join(known, "staging_id", "left")
+    found = compared.where(~F.coalesce(same, F.lit(False))).withColumn("_is_new", F.col("_1").isNull()).drop("_1", "_2")
+    changed = store.write("_changed", found, out.run_id)
+    counts = changed.agg(rows().alias("n"), F.count_if("_is_new").alias("new")).first()
+    out.rows_inserted, out.rows_unchanged = counts.new, valid.count() - counts.n
+    return changed.drop("_is_new")
+
+
+def _measure(
+    store: Store, changed: DataFrame, run_ts: datetime, settings: Settings, complete: bool, out: Outcome
+) -> _Plan:
+    """Count the changed rows by bucket, move the watermark, and choose the buckets that are written anew.
+
+    The mark never passes the run's clock, so a date ahead of it can't hide later leads.
+    """
+    counted = changed.groupBy(store.bucket().alias("bucket")).agg(
+        rows().alias("n"), F.max("record_updated_at").cast("timestamp_ntz").alias("newest")
+    )
+    found = counted.collect()  # one row a bucket
+    touched = {r.bucket: r.n for r in sorted(found)}
+    out.rows_changed = sum(touched.values())
+    marks = [min(incremental.utc(r.newest), run_ts) for r in found if r.newest is not None]
+    if out.watermark_start is not None:
+        marks.append(out.watermark_start)
+    out.watermark_end = max(marks, default=None)
 
-def _write_staging(
-    store: Store, changed: DataFrame, touched: list[int], complete: bool, out: Outcome
+    sizes, anew = dict(touched), set(touched)
+    if not complete:
+        for bucket, layers in store.layers("stg_leads").items():
+            if bucket not in touched:
+                continue
+            base, late = layers[0].rows, touched[bucket] + sum(x.rows for x in layers[1:])
+            due = len(layers) > settings.most_deltas + bucket % settings.most_deltas
+            if due or late > settings.delta_share * base:
+                sizes[bucket] = base + late
+            else:
+                anew.discard(bucket)
+    return _Plan(touched, sizes, frozenset(anew))
+
+
+def _write_split(
+    store: Store, name: str, fresh: DataFrame, plan: _Plan, complete: bool, out: Outcome
 ) -> None:
-    """Rewrite the touched buckets: old rows that do not come in again, and the changed rows.
+    """Write the changed rows of a split table, beside what is there or, in buckets that are due, instead of it.
 
-    Both are shuffled on the lead id, once, so that each task writes one bucket; per lead, the changed row
-    comes last.
+    Rows are shuffled on the lead id, once, so that each task writes one bucket. Unchanged rows of buckets that are
+    written anew are carried over as they are; per lead, the changed row comes last.
     """
-    if complete:
-        merged = store.by_lead(changed, out.rows_changed)
-    else:
-        existing = store.read("stg_leads", touched)
-        both = existing.withColumn("_new", F.lit(0)).unionByName(changed.withColumn("_new", F.lit(1)))
-        placed = store.by_lead(both, existing.count() + out.rows_changed)
-        merged = keep_last(placed, ["staging_id"], ["_new"]).drop("_new")
-    store.write_buckets("stg_leads", merged, out.run_id)
+    rows_ = sum(plan.sizes.values())
+    if complete or not plan.anew:
+        store.write_buckets(name, store.by_lead(fresh, rows_), out.run_id)
+        return
+    both = store.read(name, plan.anew).withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
+    placed = store.by_lead(both, rows_)
+    store.write_buckets(name, keep_last(placed, ["staging_id"], ["_new"]).drop("_new"), out.run_id)
+
+
+def _write_leads(
+    store: Store, changed: DataFrame, run_ts: datetime, plan: _Plan, complete: bool, out: Outcome
+) -> DataFrame:
+    """Write dimensions, and staging, star and index rows of the changed leads, and the sums as they are with them.
+
+    Missing star keys are counted on the way and stop the run. Of the known leads only the narrow index is read, for
+    the shares that the old versions of changed leads have in the sums.
+    """
+    facts = fct_leads(changed)
+    index = maintained.index_rows(facts)
+
+    def keyed() -> None:
+        built, missing = _write_dims(store, changed, run_ts, out), Observation()
+        rows_ = star.star_fact(facts, built).observe(missing, *star.missing_key_counts())
+        _write_split(store, "fct_leads_star", rows_, plan, complete, out)
+        star.require_keys(missing.get)
+
+    def summed() -> DataFrame:
+        parts = [maintained.sums_of(index)]
+        if not complete:
+            old = store.read("lead_index", plan.touched).join(changed.select("staging_id"), "staging_id", "left_semi")
+            parts += [maintained.sums_of(old, -1), store.read("lead_sums")]
+        return store.write("lead_sums", maintained.merged(*parts), out.run_id)
+
+    return together(
+        store.spark,
+        keyed,
+        partial(_write_split, store, "stg_leads", changed, plan, complete, out),
+        partial(_write_split, store, "lead_index", index, plan, complete, out),
+        summed,
+    )[-1]
 
 
 def _write_dims(
@@ -206,31 +309,25 @@ def _write_dims(
     )
     span = ends.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
     days = dimensions.fill_date_gaps(known.date, dimensions.days_between(span))
+    written = {"dim_agent": built.agent, "dim_lead_status": built.status, "dim_date": days}
     return dimensions.Dims(
-        store.write("dim_agent", built.agent, out.run_id),
-        store.write("dim_lead_status", built.status, out.run_id),
-        store.write("dim_date", days, out.run_id),
+        *together(store.spark, *[partial(store.write, name, dim, out.run_id) for name, dim in written.items()])
     )
 
 
-def _write_star(store: Store, touched: list[int], built: dimensions.Dims, out: Outcome) -> None:
-    """Write the star rows of the touched buckets; missing keys are counted on the way and stop the run."""
-    leads = store.candidate("stg_leads", out.run_id, touched, complete=True)
-    keyed = star.star_fact(fct_leads(leads), built)
-    missing = Observation()
-    store.write_buckets("fct_leads_star", keyed, out.run_id, missing, *star.missing_key_counts())
-    star.require_keys(missing.get)
+def _write_risk(store: Store, sums: DataFrame, as_of: date, out: Outcome) -> DataFrame:
+    scores = risk.score_agents(maintained.risk_base(sums, as_of))
+    typed = scores.select(*[F.col(f.name).cast(f.dataType) for f in RISK_SCORES.fields])
+    return store.write("analytics_risk_scores", typed, out.run_id)
 
 
 def _check_quality(
-    store: Store, fct: DataFrame, run_ts: datetime, settings: Settings, out: Outcome
+    store: Store, sums: DataFrame, run_ts: datetime, settings: Settings, out: Outcome
 ) -> None:
-    """One pass for all scores; the one row of results is recorded, then judged."""
-    scores = quality.dq_scores(
-        fct, run_ts, threshold=settings.dq_threshold, rsd=settings.dq_rsd
-    )
+    """Scores from the maintained sums; the one row of results is recorded, then judged."""
+    scores = maintained.dq_scores(sums, run_ts, settings.dq_threshold)
     found = scores.first()
-    out.quality = found.asDict()
+    out.quality, out.rows_loaded = found.asDict(), found.total_rows
     row = store.spark.createDataFrame([found], scores.schema)
     store.append("dq_results", quality.dq_record(row, run_ts), out.run_id)
     quality.require_quality(found.dq_status, found.composite_dq_score)
@@ -240,9 +337,9 @@ def _check_quality(
 
 
 def tables(store: Store) -> dict[str, DataFrame]:
-    """All published tables and reports by name."""
+    """All published tables and reports by name. Reports come from the maintained sums."""
     stg, keyed, built = store.read("stg_leads"), store.read("fct_leads_star"), store.dims()
-    fct, fact = fct_leads(stg), star.fact_leads(keyed)
+    fct, fact, sums = fct_leads(stg), star.fact_leads(keyed), store.read("lead_sums")
     scores = store.read("analytics_risk_scores")
     return {
         "stg_leads": stg,
@@ -253,13 +350,14 @@ def tables(store: Store) -> dict[str, DataFrame]:
         "dim_lead_status": built.status,
         "dim_date": built.date,
         "vw_leads_analytics": star.vw_leads_analytics(fact, built),
-        "analytics_lead_funnel": reports.lead_funnel(fct),
-        "analytics_lead_status": reports.lead_status(fct),
-        "analytics_agent_performance": reports.agent_performance(fct),
-        "analytics_star_funnel": reports.star_funnel(keyed),
-        "analytics_star_agent_performance": reports.star_agent_performance(keyed, built.agent),
-        "analytics_star_status": reports.star_status(keyed, built.status),
-        "analytics_star_daily_trend": reports.star_daily_trend(keyed, built.date),
+        "lead_sums": sums,
+        "analytics_lead_funnel": maintained.lead_funnel(sums),
+        "analytics_lead_status": maintained.lead_status(sums),
+        "analytics_agent_performance": maintained.agent_performance(sums),
+        "analytics_star_funnel": maintained.star_funnel(sums),
+        "analytics_star_agent_performance": maintained.star_agent_performance(sums, built),
+        "analytics_star_status": maintained.star_status(sums, built),
+        "analytics_star_daily_trend": maintained.star_daily_trend(sums, built),
         "analytics_risk_scores": scores,
         "dead_letter_leads": store.ledger("dead_letter_leads"),
         "pipeline_runs": store.ledger("pipeline_runs"),

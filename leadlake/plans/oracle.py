@@ -131,6 +131,12 @@ def _sound(*parts: str) -> str:
     return _with(*parts).replace("FROM raw)", "FROM raw WHERE trim(agent) <> '')")
 
 
+def _arrived(before: str | None, *parts: str) -> str:
+    """Like `_sound`, from raw leads that arrive before a day."""
+    until = f" AND {_NEWEST} < TIMESTAMP '{before}'" if before else ""
+    return _with(*parts).replace("FROM raw)", f"FROM raw WHERE trim(agent) <> ''{until})")
+
+
 def _on_star(select: str) -> str:
     return _with(_star("fct"), select)
 
@@ -381,6 +387,81 @@ ORACLE: dict[str, str] = {
            FROM raw WHERE src_ordinal % 211 = 0 AND trim(agent) <> ''"""
     ),
     "load_stream_then_batch": _with(_TWO_LOADS, f"SELECT {_STAGING} FROM loaded"),
+    "load_edited_leads": _sound(
+        f"""edited AS (SELECT * REPLACE (
+              CASE WHEN src_ordinal % 7 = 0 THEN 'replied' ELSE sdr_status END AS sdr_status,
+              CASE WHEN src_ordinal % 7 = 0 THEN hot_score + 1 ELSE hot_score END AS hot_score) FROM stg)""",
+        f"""SELECT {_STAGING.replace("load_timestamp", "n.load_timestamp").replace("staging_id", "n.staging_id")}
+            FROM (SELECT e.* REPLACE (CASE WHEN e.sdr_status IS DISTINCT FROM o.sdr_status
+                      OR e.hot_score IS DISTINCT FROM o.hot_score
+                    THEN TIMESTAMP '2002-01-02 00:00:00' ELSE o.load_timestamp END AS load_timestamp)
+                  FROM edited e JOIN stg o USING (staging_id)) n
+            WHERE n.staging_id IS NOT NULL AND n.added_on IS NOT NULL""",
+    ),
+    "load_future_date": _sound(
+        f"""dated AS (SELECT *, {_NEWEST} AS record_updated_at FROM identified),
+        first AS (SELECT * REPLACE (CASE WHEN src_ordinal % 211 = 5 THEN TIMESTAMP '2062-08-01'
+              ELSE last_contacted END AS last_contacted) FROM dated WHERE record_updated_at < TIMESTAMP '1997-01-01'
+            QUALIFY row_number() OVER (PARTITION BY staging_id ORDER BY src_ordinal DESC) = 1),
+        one AS (SELECT *, TIMESTAMP '2002-01-01 00:00:00' AS load_timestamp, 1 AS load_no FROM first
+            WHERE staging_id IS NOT NULL AND added_on IS NOT NULL AND src_ordinal % 211 <> 5),
+        two AS (SELECT *, TIMESTAMP '2002-01-02 00:00:00' AS load_timestamp, 2 AS load_no FROM (SELECT * FROM dated
+              QUALIFY row_number() OVER (PARTITION BY staging_id ORDER BY src_ordinal DESC) = 1)
+            WHERE staging_id IS NOT NULL AND added_on IS NOT NULL
+              AND record_updated_at > (SELECT max(record_updated_at) FROM one)),
+        both_loads AS (SELECT * FROM (SELECT * FROM one UNION ALL SELECT * FROM two)
+            QUALIFY row_number() OVER (PARTITION BY staging_id ORDER BY load_no DESC) = 1)""",
+        f"""SELECT {_STAGING}, (SELECT count(*) FROM first WHERE src_ordinal % 211 = 5) AS set_aside FROM both_loads""",
+    ),
+    "load_failed_gate": _with(
+        f"""good AS (SELECT * FROM identified WHERE trim(agent) <> '' AND {_NEWEST} < TIMESTAMP '1997-01-01'),
+        kept AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY staging_id ORDER BY src_ordinal DESC) = 1),
+        n AS (SELECT count(*) FILTER (staging_id IS NOT NULL AND added_on IS NOT NULL) AS staging_rows FROM kept)""",
+        """SELECT 'good' AS run_id, 'SUCCESS' AS status, (SELECT count(*) FROM good) AS rows_read,
+             staging_rows AS rows_loaded, staging_rows FROM n
+           UNION ALL SELECT 'bad', 'FAILED', (SELECT count(*) FROM raw), 0, staging_rows FROM n""",
+    ),
+    "load_repeated": _sound(
+        """SELECT run_id, 'SUCCESS' AS status, (SELECT count(*) FROM identified) AS rows_read, n AS rows_loaded,
+             n AS staging_rows, 'SUCCESS,ALREADY_LOADED,SUCCESS' AS outcomes
+           FROM (SELECT count(*) AS n FROM leads), (VALUES ('one'), ('two')) runs(run_id)"""
+    ),
+    "load_empty": _arrived("1999-01-01", "SELECT * FROM leads"),
+    "load_then_reports": _sound(
+        f"""SELECT 'funnel' AS report, NULL::VARCHAR AS key, {_COUNTS} FROM fct
+        UNION ALL SELECT 'agent', agent, {_COUNTS} FROM fct GROUP BY agent
+        UNION ALL SELECT 'status', lead_status, count(*), count_if(is_contacted = 1), NULL, count_if(is_connected = 1),
+          count_if(is_hot_lead = 1) FROM fct GROUP BY lead_status
+        UNION ALL SELECT 'source', source, count(*), NULL, count_if(is_invite_sent = 1), count_if(is_connected = 1), NULL
+          FROM fct GROUP BY source
+        UNION ALL SELECT 'industry', industry, count(*), NULL, count_if(is_invite_sent = 1), count_if(is_connected = 1), NULL
+          FROM fct GROUP BY industry"""
+    ),
+    "load_then_daily_trend": _sound(
+        f"""SELECT d.date_key, d.full_date, d.year, d.month, d.month_name, d.quarter, {_STAR_COUNTS}
+            FROM fct f JOIN ({_days('added_on', 'fct')}) d ON strftime(f.added_on, '%Y-%m-%d') = d.full_date GROUP BY ALL"""
+    ),
+    "load_then_quality": " UNION ALL ".join(
+        "SELECT * FROM ("
+        + _arrived(
+            before,
+            f"""SELECT '2002010{n}000000000000' AS dq_run_id, TIMESTAMP '2002-01-0{n} 00:00:00' AS dq_timestamp,
+                {_DQ_SELECT} FROM ({_dq('fct').replace("2000-01-01", f"2002-01-0{n}")})""",
+        )
+        + ")"
+        for n, before in ((1, "1997-01-01"), (2, "1999-01-01"), (3, None))
+    ),
+    "published_views": _sound(
+        _star("fct"),
+        """SELECT a.agent_name, count(*) AS total_leads,
+             round(count_if(is_connected = 1)::DOUBLE / count(*) * 100, 2) AS connection_rate,
+             (SELECT count(*) FROM fct) AS all_leads
+           FROM star f JOIN dim_agent a ON f.agent_key = a.agent_key GROUP BY a.agent_key, a.agent_name""",
+    ),
+    "required_tables": _with(
+        f"""SELECT * FROM (VALUES ('dim_lead_status', 1, 0), ('dim_date', 0, 0)) v("table", "exists", "rows")
+            UNION ALL SELECT 'dim_agent', 1, count(*) FROM ({_AGENTS.format(facts='fct')})"""
+    ),
     "watermark_advance": _with(
         _BATCHED,
         """SELECT max(record_updated_at) FILTER (batch < 3) AS watermark_start,
@@ -409,6 +490,7 @@ ORACLE: dict[str, str] = {
             WHERE lead_status NOT IN (SELECT lead_status FROM known)""",
     ),
     "dim_date_observed": _with(_days("added_on", "fct")),
+    "date_patch": _with(_SPAN.format(first="record_updated_at"), f"SELECT {_calendar('d')} FROM calendar"),
     "dim_date_calendar": _with(
         _SPAN.format(first="record_updated_at"), f"SELECT {_calendar('d')} FROM calendar"
     ),

@@ -177,6 +177,46 @@ def _risk_type(name: str) -> T.DataType:
 
 RISK_SCORES = T.StructType([T.StructField(c, _risk_type(c)) for c in RISK_COLUMNS])
 
+#: Per lead, narrow: a digest of its staging row, and what the lead adds to the maintained sums.
+LEAD_INDEX = T.StructType(
+    [
+        T.StructField("staging_id", T.StringType()),
+        T.StructField("digest_1", T.LongType()),
+        T.StructField("digest_2", T.LongType()),
+        T.StructField("agent", T.StringType()),
+        T.StructField("lead_status", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("industry", T.StringType()),
+        T.StructField("added_day", T.DateType()),
+        T.StructField("waiting_since", T.DateType()),
+        T.StructField("ahead_until", T.TimestampType()),
+        T.StructField("days_to_connection", T.IntegerType()),
+        T.StructField("flags", T.IntegerType()),
+    ]
+)
+
+#: Names of the counted conditions, in the order of their bits in `flags`. New ones go to the end.
+COUNTED = [
+    "contacted_leads", "invite_sent_leads", "connected_leads", "prioritized_leads", "hot_leads", "replied_leads",
+    "rate_limited_leads", "valid_name", "valid_linkedin_url", "valid_added_on", "valid_agent", "valid_hot_scores",
+    "valid_prioritized", "valid_statuses", "dated_rows", "rows_with_url",
+]
+
+#: Columns that name a sum: its kind, and the values that leads of the sum share (null for other kinds).
+SUM_KEYS = {
+    "kind": T.StringType(),
+    "agent": T.StringType(),
+    "lead_status": T.StringType(),
+    "source": T.StringType(),
+    "industry": T.StringType(),
+    "day": T.DateType(),
+    "moment": T.TimestampType(),
+}
+SUM_COUNTS = ["total_rows", *COUNTED, "connection_days", "connection_day_rows"]
+LEAD_SUMS = T.StructType(
+    [T.StructField(c, t) for c, t in SUM_KEYS.items()] + [T.StructField(c, T.LongType()) for c in SUM_COUNTS]
+)
+
 ALERTS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -203,6 +243,8 @@ TABLES = {
     "dead_letter_leads": DEAD_LETTERS,
     "malformed_records": MALFORMED_RECORDS,
     "fct_leads_star": FCT_LEADS_STAR,
+    "lead_index": LEAD_INDEX,
+    "lead_sums": LEAD_SUMS,
     "dim_agent": DIM_AGENT,
     "dim_lead_status": DIM_LEAD_STATUS,
     "dim_date": DIM_DATE,

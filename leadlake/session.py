@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 #: SQL settings the operators rely on; safe to set on a session someone else built.
@@ -58,6 +61,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run steps that don't wait for one another at once, so that small jobs fill the gaps of others.
+
+    All have ended when this returns or raises; the first error is raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [s.result() for s in started]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, by Spark's file system API."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system API; one that is not there is fine."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_work(df: DataFrame) -> DataFrame:
     """Write a frame that several later steps read, and return the scan of it.
 

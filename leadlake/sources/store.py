@@ -4,33 +4,46 @@ A load writes `<table>/load_id=<run>/` and becomes visible when the run is publi
 that names all its tables at once. Repeating a load rewrites its own directory only, and nothing that is
 being read is ever overwritten. Where a table format with MERGE is installed, use that instead.
 
-`stg_leads` and the star fact are split into buckets by lead id; a run rewrites the buckets it touches and
-the others keep the directories of earlier runs. The number of buckets is kept with them: opening a store
+`stg_leads`, the star fact and the lead index are split into buckets by lead id. A run either writes a bucket anew
+or puts its changed rows beside what is there (a delta): readers take the newest row of each lead, by a join with the
+ids of the deltas, which are a bounded share of the bucket. The number of buckets is kept with them: opening a store
 with another one is an error, as leads would land in other buckets than before. One writer at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from math import ceil
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadlake.operators.checks import table_presence
 from leadlake.operators.dims import Dims
 from leadlake.schemas import TABLES
+from leadlake.session import exists, remove
 
-_PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean, buckets int"
+_PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean, buckets int, delta boolean, rows long"
 _WHOLE = -1  # bucket of a table that is not split
 _ROWS_PER_TASK = 1_000_000  # leads a task shuffles and writes, some 300 MB
+_SMALL_DELTAS = 250_000  # rows of deltas whose ids are broadcast to readers, some 30 MB
+
+
+@dataclass(frozen=True)
+class Layer:
+    """What one run has published of a bucket: all of it, or a delta. `rows` is an upper bound for the former."""
+
+    seq: int
+    run_id: str
+    rows: int
 
 
 class Store:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 256):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self._runs: dict[str, dict[int, str]] | None = None
+        self._runs: dict[str, dict[int, list[Layer]]] | None = None
 
     def refresh(self) -> None:
         """Forget what was published when last looked; other writers may have published since."""
@@ -43,63 +56,71 @@ class Store:
         reader = self.spark.read.schema(schema)
         if base:
             reader = reader.option("basePath", base)
-        try:
-            return reader.parquet(*paths)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if len(paths) == 1 and not exists(self.spark, paths[0]):
             return self.spark.createDataFrame([], schema)
+        return reader.parquet(*paths)
 
     def published(self) -> DataFrame:
         return self._scan(_PUBLISHED, f"{self.root}/_published")
 
-    def _current(self, name: str) -> dict[int, str]:
-        """Latest published run per bucket; one small row per bucket and table reaches the driver.
+    def layers(self, name: str) -> dict[int, list[Layer]]:
+        """Per bucket the load that last wrote it anew and the deltas since; one small row each reaches the driver.
 
         A complete load voids every bucket of its tables published before it.
         """
         if self._runs is None:
-            entries = self.published()
+            entries = self.published().withColumn("_whole", ~F.coalesce("delta", F.lit(False)))
             since = entries.where("complete").groupBy("table").agg(F.max("seq").alias("_since"))
-            latest = (
+            base = entries.where("_whole").groupBy("table", "bucket").agg(F.max("seq").alias("_base"))
+            current = (
                 entries.join(since, "table", "left")
-                .where(F.col("seq") >= F.coalesce("_since", F.lit(0)))
-                .groupBy("table", "bucket")
-                .agg(F.max_by("run_id", "seq").alias("run_id"), F.max("buckets").alias("buckets"))
+                .join(base, ["table", "bucket"])
+                .where((F.col("seq") >= F.coalesce("_since", F.lit(0))) & (F.col("seq") >= F.col("_base")))
             )
-            runs: dict[str, dict[int, str]] = {}
-            for r in latest.collect():
+            runs: dict[str, dict[int, list[Layer]]] = {}
+            for r in current.orderBy("seq").collect():
                 if r.bucket != _WHOLE and r.buckets not in (None, self.buckets):
                     raise ValueError(f"{r.table} is kept in {r.buckets} buckets, not in {self.buckets}")
-                runs.setdefault(r.table, {})[r.bucket] = r.run_id
+                layer = Layer(r.seq, r.run_id, r.rows or 0)
+                runs.setdefault(r.table, {}).setdefault(r.bucket, []).append(layer)
             self._runs = runs
         return self._runs.get(name, {})
 
+    def _current(self, name: str) -> dict[int, str]:
+        """Latest published run per bucket."""
+        return {bucket: layers[-1].run_id for bucket, layers in self.layers(name).items()}
+
     def _path(self, name: str, run_id: str, bucket: int = _WHOLE) -> str:
         path = f"{self.root}/{name}/load_id={run_id}"
         return path if bucket == _WHOLE else f"{path}/bucket={bucket}"
 
-    def _read_runs(self, name: str, runs: dict[int, str]) -> DataFrame:
-        schema = TABLES[name]
-        if not runs:
-            return self.spark.createDataFrame([], schema)
-        paths = [self._path(name, run_id, bucket) for bucket, run_id in sorted(runs.items())]
-        return self._scan(schema, *paths, base=f"{self.root}/{name}").select(*schema.names)
+    def read(self, name: str, buckets: Iterable[int] | None = None, key: str = "staging_id") -> DataFrame:
+        """Published content of a table, or of some of its buckets. Only their directories are listed.
 
-    def read(self, name: str, buckets: Iterable[int] | None = None) -> DataFrame:
-        """Published content of a table, or of some of its buckets. Only their directories are listed."""
-        runs = self._current(name)
+        Of leads that several layers of a bucket hold, the newest row counts. Runs are in the order of their
+        publishing; the ids of the deltas are joined, broadcast if they are few.
+        """
+        schema, found = TABLES[name], self.layers(name)
         if buckets is not None:
             wanted = set(buckets)
-            runs = {b: r for b, r in runs.items() if b in wanted}
-        return self._read_runs(name, runs)
-
-    def candidate(
-        self, name: str, run_id: str, buckets: Iterable[int], complete: bool = False
-    ) -> DataFrame:
-        """Content as it will be once `run_id` is published: its buckets, the published ones elsewhere."""
-        kept = {} if complete else self._current(name)
-        return self._read_runs(name, {**kept, **dict.fromkeys(buckets, run_id)})
+            found = {b: layers for b, layers in found.items() if b in wanted}
+        if not found:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{name}"
+        paths = [self._path(name, x.run_id, b) for b, layers in sorted(found.items()) for x in layers]
+        deltas = [(b, x) for b, layers in sorted(found.items()) for x in layers[1:]]
+        if not deltas:
+            return self._scan(schema, *paths, base=base).select(*schema.names)
+        order = {x.run_id: x.seq for layers in found.values() for x in layers}
+        seq = F.create_map(*[F.lit(v) for pair in order.items() for v in pair])[F.col("load_id")]
+        placed = T.StructType([*schema.fields, T.StructField("load_id", T.StringType()), T.StructField("bucket", T.IntegerType())])
+        rows = self._scan(placed, *paths, base=base).withColumn("_seq", seq)
+        late = self._scan(placed, *[self._path(name, x.run_id, b) for b, x in deltas], base=base)
+        newest = late.withColumn("_seq", seq).groupBy(key).agg(F.max("_seq").alias("_newest"))
+        if sum(x.rows for _, x in deltas) <= _SMALL_DELTAS:
+            newest = F.broadcast(newest)
+        visible = rows.join(newest, key, "left").where("_newest IS NULL OR _seq = _newest")
+        return visible.select(*schema.names)
 
     def exists(self, name: str) -> bool:
         return bool(self._current(name))
@@ -149,19 +170,31 @@ class Store:
         split = df.withColumn("bucket", self.bucket())
         split.write.mode("overwrite").partitionBy("bucket").parquet(self._path(name, run_id))
 
+    def discard(self, name: str, run_id: str) -> None:
+        """Delete what a run has written of a table that is never published."""
+        remove(self.spark, self._path(name, run_id))
+
     def is_published(self, run_id: str) -> bool:
         return not self.published().where(F.col("run_id") == run_id).isEmpty()
 
     def publish(
-        self, run_id: str, tables: dict[str, Iterable[int] | None], complete: bool = False
+        self,
+        run_id: str,
+        tables: dict[str, Iterable[int] | None],
+        complete: bool = False,
+        sizes: dict[int, int] | None = None,
+        deltas: Iterable[int] = (),
     ) -> None:
         """Make the loads of a run visible, all at once. A table maps to its buckets, or to None if whole.
 
-        `complete` says that the named buckets are all there is of a split table.
+        `complete` says that the named buckets are all there is of a split table, `deltas` names those buckets of
+        which only changed rows were written, and `sizes` tells the rows of buckets.
         """
-        last = self.published().agg(F.coalesce(F.max("seq"), F.lit(0)).alias("seq")).first().seq
+        self.layers("")  # the newest entry of any table is a layer of it
+        last = max((x.seq for buckets in self._runs.values() for found in buckets.values() for x in found), default=0)
+        sizes, deltas = sizes or {}, set(deltas)
         rows = [
-            (last + 1, run_id, name, bucket, complete, self.buckets)
+            (last + 1, run_id, name, bucket, complete, self.buckets, bucket in deltas, sizes.get(bucket))
             for name, buckets in tables.items()
             for bucket in ([_WHOLE] if buckets is None else sorted(buckets))
         ]
