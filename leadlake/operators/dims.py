@@ -13,7 +13,7 @@ from leadlake.functions.dates import calendar_columns
 from leadlake.functions.stats import rows
 from leadlake.functions.text import norm_agent, norm_status, strip
 from leadlake.schemas import DIM_AGENT, DIM_DATE, DIM_LEAD_STATUS
-from leadlake.session import cut_lineage
+from leadlake.session import write_work
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -34,11 +34,11 @@ def rank_members(members: DataFrame, kind: str, name: str) -> DataFrame:
     """Rank distinct (kind, member) rows 1..n within each kind without sorting a kind in one task.
 
     Rows are range-partitioned and sorted in their partitions. A rank is the row's place in its partition
-    plus the members of its kind in the partitions before. The placed rows are checkpointed, so a range
+    plus the members of its kind in the partitions before. The placed rows are written, so a range
     boundary that is drawn anew can never shift a rank. Only sizes, one row per partition and kind, are
     summed up in order.
     """
-    placed = cut_lineage(
+    placed = write_work(
         members.repartitionByRange(kind, name)
         .sortWithinPartitions(kind, name)
         .select(kind, name, F.monotonically_increasing_id().alias("_id"))
@@ -124,7 +124,7 @@ def scd2_apply(
     same = F.lit(True)
     for name in [natural, *tracked]:
         same = same & F.col(f"i.{name}").eqNullSafe(F.col(f"c.{name}"))
-    changed = cut_lineage(
+    changed = write_work(
         incoming.alias("i").join(current.alias("c"), same, "left_anti").select(natural, *tracked)
     )
     marked = dim.join(changed.select(natural, F.lit(1).alias("_renewed")), natural, "left")
@@ -257,10 +257,10 @@ def build_dims(fct: DataFrame, run_ts: datetime, known: Dims | None = None) -> D
             .unionByName(status.select(F.lit("status").alias("kind"), F.col("lead_status").alias("member")))
             .unionByName(known.date.select(F.lit("date").alias("kind"), F.col("full_date").cast("string").alias("member")))
         )
-        members = cut_lineage(members.join(had, ["kind", "member"], "left_anti"))
+        members = write_work(members.join(had, ["kind", "member"], "left_anti"))
         if members.isEmpty():
             return Dims(known.agent.select(*DIM_AGENT.names), status, known.date)
-    ranked = cut_lineage(rank_members(members, "kind", "member"))
+    ranked = write_work(rank_members(members, "kind", "member"))
 
     def added(kind: str, key: str, name: str, table: DataFrame | None) -> DataFrame:
         last = F.lit(0) if table is None else F.coalesce(table.agg(F.max(key)).scalar(), F.lit(0))

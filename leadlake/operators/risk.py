@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from leadlake.functions.stats import flagged, fraction, proportion_z, rows, wilson_lower
 from leadlake.functions.text import strip
 from leadlake.schemas import RISK_COLUMNS
-from leadlake.session import cut_lineage
+from leadlake.session import write_work
 
 
 @dataclass(frozen=True)
@@ -94,10 +94,10 @@ def risk_wilson(rates: DataFrame, params: RiskParams = DEFAULT) -> DataFrame:
 def risk_zscore(rates: DataFrame, params: RiskParams = DEFAULT) -> DataFrame:
     """Add the z-score of each agent's connection rate against the pooled rate of all agents.
 
-    0 for a single agent, for small samples and for a pooled rate of 0 or 1. The agents are checkpointed,
+    0 for a single agent, for small samples and for a pooled rate of 0 or 1. The agents are written,
     so the pooled figures, a one-row scalar subquery, come from them and not from a second pass over leads.
     """
-    rates = cut_lineage(rates)
+    rates = write_work(rates)
     pooled = rates.agg(
         F.struct(
             fraction(F.sum("connected_leads"), F.sum("total_leads")).alias("rate"),

@@ -15,6 +15,7 @@ from leadlake.functions import text
 from leadlake.operators import (
     checks,
     dims,
+    history,
     incremental,
     maintained,
     quality,
@@ -28,7 +29,7 @@ from leadlake.operators import (
 from leadlake.operators.dedup import keep_last
 from leadlake.plans.daily_run import Settings, register_views, run_load
 from leadlake.schemas import DATE_COLUMNS, DATE_PATCH, DIM_LEAD_STATUS, RAW_TO_STAGING
-from leadlake.session import prepare, shared_dir, write_work
+from leadlake.session import prepare, work_dir, write_work
 from leadlake.sources.files import malformed_records, read_date_patch, read_leads_csv, read_leads_json
 from leadlake.sources.store import Store
 from leadlake.sources.testleads import raw_leads
@@ -138,7 +139,7 @@ def resent(first: DataFrame) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/leadlake-work/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def as_export(raw: DataFrame) -> DataFrame:
@@ -629,6 +630,48 @@ def dim_agent_scd2(spark, sf):
     )
 
 
+def _quarterly_profiles(rows: DataFrame) -> DataFrame:
+    """What is seen of each agent, quarter by quarter."""
+    share = F.sum("is_connected") * 100 >= F.count(F.lit(1)) * 28
+    named = rows.where(~text.is_blank("agent"))
+    by_quarter = named.groupBy(F.trim("agent").alias("agent_name"), F.date_trunc("quarter", "added_on").alias("seen_at"))
+    return by_quarter.agg(F.when(share, "strong").otherwise("weak").alias("profile"))
+
+
+def _agent_history(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(fact rows, agent versions): the quarters arrive in three parts, mixed in time."""
+    rows = written_fact(spark, sf)
+    seen = write_work(_quarterly_profiles(rows))
+    of = {"natural": "agent_name", "at": "seen_at", "tracked": ["profile"]}
+    dim = spark.createDataFrame([], AGENT_VERSIONS)
+    known = seen.limit(0)
+    for n in (1, 2, 0):
+        part = seen.where(F.pmod(F.quarter("seen_at") * 5 + F.year("seen_at"), F.lit(3)) == n)
+        dim, known = history.merge_history(dim, known, part, "agent_key", **of)
+        dim = write_work(dim)
+    return rows, dim
+
+
+#: Versions of agents with a profile.
+AGENT_VERSIONS = "agent_key long, agent_name string, valid_from timestamp, valid_to timestamp, is_current boolean, profile string"
+
+
+@query
+def dim_agent_late_changes(spark, sf):
+    """Agent versions from changes that come late; keys follow the order of arrival and are left out."""
+    return _agent_history(spark, sf)[1].drop("agent_key")
+
+
+@query
+def star_fact_as_of(spark, sf):
+    """Each lead with the version of its agent that was valid when it was added."""
+    rows, dim = _agent_history(spark, sf)
+    facts = rows.select("staging_id", F.trim("agent").alias("agent_name"), "added_on")
+    versions = dim.withColumn("version_from", F.col("valid_from"))
+    joined = history.as_of_join(facts, versions, "agent_name", "added_on", "valid_from", ["version_from", "profile"])
+    return joined.withColumnRenamed("agent_name", "agent")
+
+
 @query
 def scd_retype(spark, sf):
     dim = dims.dim_agent(fact(spark, sf), RUN_TS)

@@ -312,6 +312,17 @@ LEFT JOIN dim_status s ON f.status_key = s.status_key LEFT JOIN dim_day d ON f.d
 _PROFILE = """SELECT trim(agent) AS agent_name,
     CASE WHEN sum(is_connected) * 100 >= count(*) * 28 THEN 'strong' ELSE 'weak' END AS profile"""
 
+_VERSIONS = """seen AS (
+  SELECT trim(agent) AS agent_name, date_trunc('quarter', added_on) AS seen_at,
+    CASE WHEN sum(is_connected) * 100 >= count(*) * 28 THEN 'strong' ELSE 'weak' END AS profile
+  FROM fct WHERE trim(agent) <> '' GROUP BY ALL),
+changes AS (SELECT * FROM seen
+  QUALIFY lag(profile) OVER (PARTITION BY agent_name ORDER BY seen_at) IS DISTINCT FROM profile),
+versions AS (
+  SELECT agent_name, seen_at::TIMESTAMP AS valid_from, lead(seen_at) OVER w::TIMESTAMP AS valid_to,
+    CAST(lead(seen_at) OVER w IS NULL AS INT) AS is_current, profile
+  FROM changes WINDOW w AS (PARTITION BY agent_name ORDER BY seen_at))"""
+
 ORACLE: dict[str, str] = {
     "csv_scan": _with(f"SELECT {_STAGING} FROM stg"),
     "dead_letters_malformed": _with(
@@ -519,6 +530,13 @@ ORACLE: dict[str, str] = {
            SELECT (SELECT max(agent_key) FROM dim) + row_number() OVER (ORDER BY agent_name), agent_name, profile,
              TIMESTAMP '2002-01-02 00:00:00', CAST(NULL AS TIMESTAMP), 1 FROM renewed""",
     ),
+    "dim_agent_late_changes": _with(_VERSIONS, "SELECT * FROM versions"),
+    "star_fact_as_of": _with(
+        _VERSIONS,
+        """SELECT f.staging_id, trim(f.agent) AS agent, f.added_on, v.valid_from AS version_from, v.profile
+           FROM fct f LEFT JOIN versions v ON v.agent_name = trim(f.agent) AND v.valid_from <= f.added_on
+             AND (v.valid_to IS NULL OR f.added_on < v.valid_to)""",
+    ),
     "scd_retype": _with(
         f"dim AS ({_AGENTS.format(facts='fct')})",
         """SELECT agent_key, agent_name, valid_from,

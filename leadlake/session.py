@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -83,12 +84,29 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_swept: set[str] = set()
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The application's own folder for frames that outlive a step; removed when the process ends."""
+    path = f"{shared_dir(spark)}/leadlake-work/{spark.sparkContext.applicationId}"
+    if path not in _swept:
+        _swept.add(path)
+        atexit.register(_sweep, spark, path)
+    return path
+
+
+def _sweep(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove(spark, path)
+
+
 def write_work(df: DataFrame) -> DataFrame:
     """Write a frame that several later steps read, and return the scan of it.
 
     Parquet in the shared folder: it outlives executors, and each reader scans only its own columns.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/leadlake-work/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
