@@ -28,7 +28,7 @@ from leadlake.operators import (
 )
 from leadlake.operators.dedup import keep_last
 from leadlake.plans.daily_run import Settings, register_views, run_load
-from leadlake.schemas import DATE_COLUMNS, DATE_PATCH, DIM_LEAD_STATUS, RAW_TO_STAGING
+from leadlake.schemas import DATE_COLUMNS, DATE_PATCH, DIM_LEAD_STATUS, RAW_TO_STAGING, SOURCE_ORDER
 from leadlake.session import prepare, work_dir, write_work
 from leadlake.sources.files import malformed_records, read_date_patch, read_leads_csv, read_leads_json
 from leadlake.sources.store import Store
@@ -166,6 +166,35 @@ def csv_scan(spark, sf):
     return staging.stage_leads(read_leads_csv(spark, path), RUN_TS, order=EXPORT_ORDER)
 
 
+def _mixed_exports(spark: SparkSession, raw: DataFrame) -> str:
+    """Path of exports of three kinds: columns in source order, in reverse, and with one more column in between."""
+    path, cells = _scratch(spark, "mixed"), list(RAW_TO_STAGING)
+    headers = {0: cells, 1: cells[::-1], 2: [*cells[:5], "Remark", *cells[5:]]}
+    keep_blanks = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    for part, columns in headers.items():
+        some = as_export(raw.where(F.pmod("src_ordinal", F.lit(3)) == part))
+        some = some.withColumn("Remark", F.concat(F.lit('said "no",\n'), F.col("Name"))).select(*columns)
+        some.write.mode("append").options(header="true", escape='"', **keep_blanks).csv(path)
+    return path
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    """Exports of different headers, some with line breaks in cells, read as one."""
+    path = _mixed_exports(spark, raw_leads(spark, sf))
+    return read_leads_csv(spark, path).drop(*SOURCE_ORDER).withColumnsRenamed(RAW_TO_STAGING)
+
+
+@query
+def stream_mixed_headers(spark, sf):
+    """The same exports, loaded as they land."""
+    path = _mixed_exports(spark, _sound_raw(spark, sf).where(F.col("src_ordinal") % 50 > 1))
+    store = _store(spark)
+    stream_leads(spark, path, store, run_ts=RUN_TS, settings=Settings(use_watermark=False, as_of=AS_OF_TS)).awaitTermination()
+    store.refresh()
+    return store.read("stg_leads")
+
+
 def _broken_feed(spark: SparkSession, raw: DataFrame) -> str:
     """Path of feed pages of which one line in 211 breaks off."""
     path = _scratch(spark, "broken")

@@ -325,6 +325,16 @@ versions AS (
 
 ORACLE: dict[str, str] = {
     "csv_scan": _with(f"SELECT {_STAGING} FROM stg"),
+    "csv_mixed_headers": _with(
+        """SELECT name, job_title, company, industry, location, agent, sdr_status, comment_status,
+             CAST(hot_score AS VARCHAR) AS hot_score, source, prioritized, linkedin_url,
+             strftime(added_on, '%Y-%m-%d %H:%M:%S') AS added_on, strftime(last_contacted, '%Y-%m-%d %H:%M:%S') AS last_contacted,
+             strftime(invite_sent_at, '%Y-%m-%d %H:%M:%S') AS invite_sent_at,
+             strftime(connected_at, '%Y-%m-%d %H:%M:%S') AS connected_at FROM raw"""
+    ),
+    "stream_mixed_headers": _sound("SELECT * FROM leads").replace(
+        "WHERE trim(agent) <> '')", "WHERE trim(agent) <> '' AND src_ordinal % 50 > 1)"
+    ),
     "dead_letters_malformed": _with(
         """SELECT '{"Name": ' || src_ordinal AS raw_record, 'Malformed record;' AS error_reason,
              (SELECT count(*) FROM raw WHERE src_ordinal % 211 <> 0) AS leads_read

@@ -78,6 +78,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def as_path(spark: SparkSession, uri: str) -> str:
+    """The path that a reader takes for the URI of a file, in which odd characters are escaped."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder through Spark's file system API; one that is not there is fine."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
