@@ -6,13 +6,13 @@ from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadlake.functions.stats import rows
 from leadlake.operators.dims import Dims
 from leadlake.operators.star import orphans
-from leadlake.schemas import ALERTS, PIPELINE_RUNS
+from leadlake.schemas import ALERTS, KEY_COLUMNS, PIPELINE_RUNS
 
 
 def schema_of(df: DataFrame) -> DataFrame:
@@ -60,37 +60,58 @@ def dim_counts(dims: Dims) -> DataFrame:
     return agent.unionByName(status).unionByName(_count_row(dims.date, "dim_date", "dimension"))
 
 
+def _key_counts(star: DataFrame, dims: Dims) -> DataFrame:
+    """One row: fact rows, ids that occur more than once, and rows whose key has no dimension row.
+
+    One pass: every row offers its id and its keys, tasks count them before they send, and the counts meet the
+    dimensions' keys where they are. A hot key is one row a task.
+    """
+    offered = F.array(
+        F.struct(F.lit("id").alias("kind"), F.col("staging_id").alias("value")),
+        *[F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value")) for k in KEY_COLUMNS],
+    )
+    counted = star.select(F.inline(offered)).groupBy("kind", "value").agg(rows().alias("_n"))
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            dim.select(F.lit(k).alias("kind"), F.col(k).cast("string").alias("value"), F.lit(True).alias("_known"))
+            for k, dim in zip(KEY_COLUMNS, (dims.agent, dims.status, dims.date), strict=True)
+        ],
+    ).distinct()
+    found = counted.join(known, ["kind", "value"], "left")
+
+    def added(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0).cast("long"))
+
+    lost = F.col("_known").isNull()
+    return found.agg(
+        added(F.col("kind") == "id").alias("fact_rows"),
+        F.count_if((F.col("kind") == "id") & (F.col("_n") > 1)).alias("duplicate_ids"),
+        *[
+            added(lost & (F.col("kind") == k)).alias(name)
+            for k, name in zip(KEY_COLUMNS, ("orphan_agents", "orphan_statuses", "orphan_dates"), strict=True)
+        ],
+    )
+
+
 def verify_star(star: DataFrame, dims: Dims) -> DataFrame:
     """Rows (check, value, passed), the last one the overall verdict.
 
     The verdict needs fact rows, no duplicate id and no orphan key (a null key is an orphan); the structure
-    of the agent history is reported beside it.
+    of the agent history is reported beside it. The fact is read once.
     """
-    counted = [
-        _count_row(star, "fact_rows", "check").withColumnRenamed("rows", "value"),
-        duplicate_ids(star).select(F.lit("duplicate_ids").alias("check"), F.col("duplicates").alias("value")),
-    ]
-    for name, dim, key in (
-        ("orphan_agents", dims.agent, "agent_key"),
-        ("orphan_statuses", dims.status, "status_key"),
-        ("orphan_dates", dims.date, "date_key"),
-    ):
-        lost = orphans(star, dim, key, count_null=True)
-        counted.append(lost.select(F.lit(name).alias("check"), F.col("orphan_count").alias("value")))
-    checks = reduce(DataFrame.unionByName, counted)
-    good = F.when(F.col("check") == "fact_rows", F.col("value") > 0).otherwise(F.col("value") == 0)
-    checks = checks.withColumn("passed", good.cast("int"))
-    verdict = checks.agg(
-        F.lit("verdict").alias("check"),
-        F.count_if(F.col("passed") == 0).alias("value"),
-        F.min("passed").alias("passed"),
-    )
-    scd = scd_check(dims.agent).select(
-        F.lit("scd_structure").alias("check"),
-        F.col("total").alias("value"),
-        F.col("scd_valid").alias("passed"),
-    )
-    return checks.unionByName(scd).unionByName(verdict)
+    counts = _key_counts(star, dims)
+    good = {c: F.col(c) > 0 if c == "fact_rows" else F.col(c) == 0 for c in counts.columns}
+    failed = reduce(Column.__add__, [(~holds).cast("long") for holds in good.values()])
+
+    def row(name: str, value: Column, passed: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), value.cast("long").alias("value"), passed.cast("int").alias("passed"))
+
+    checks = [row(c, F.col(c), holds) for c, holds in good.items()]
+    scd = scd_check(dims.agent).select(F.struct("total", "scd_valid").alias("scd")).scalar()
+    structure = row("scd_structure", F.col("_scd.total"), F.col("_scd.scd_valid"))
+    every = F.array(*checks, structure, row("verdict", failed, failed == 0))
+    return counts.withColumn("_scd", scd).select(F.inline(every))
 
 
 def validate_warehouse(star: DataFrame, dims: Dims) -> bool:

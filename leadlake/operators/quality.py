@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -169,8 +170,22 @@ def dq_scores(
     return scores_of(counts, weights, threshold)
 
 
-def scores_of(counts: DataFrame, weights: Weights = Weights(), threshold: float = 95.0) -> DataFrame:
-    """The scores from their counts, however those came about."""
+def dq_scores_by(fct: DataFrame, by: str, as_of: datetime, threshold: float = 95.0) -> DataFrame:
+    """The scores of each group of rows, from one pass: (by, scores). Meant for few groups, such as loads."""
+    counts = fct.groupBy(by).agg(
+        *_completeness_counts(),
+        *_validity_counts(VALID_STATUSES),
+        *_timeliness_counts(as_of),
+        F.count_distinct("staging_id").alias("unique_staging_ids"),
+        F.count_distinct("linkedin_url").alias("unique_linkedin_urls"),
+    )
+    return scores_of(counts, threshold=threshold, also=(by,))
+
+
+def scores_of(
+    counts: DataFrame, weights: Weights = Weights(), threshold: float = 95.0, also: Sequence[str] = ()
+) -> DataFrame:
+    """The scores from their counts, however those came about, with the columns `also`."""
     composite = (
         F.col("completeness_score") * weights.completeness
         + F.col("uniqueness_score") * weights.uniqueness
@@ -180,6 +195,7 @@ def scores_of(counts: DataFrame, weights: Weights = Weights(), threshold: float
     )
     return (
         counts.select(
+            *also,
             "total_rows",
             _completeness_score().alias("completeness_score"),
             _uniqueness_score().alias("uniqueness_score"),

@@ -570,8 +570,9 @@ def watermark_advance(spark, sf):
 
 @query
 def full_refresh(spark, sf):
-    leads = valid(spark, sf)
-    stale = leads.withColumn("hot_score", F.lit(-1.0))
+    leads = write_work(valid(spark, sf))
+    gone = leads.withColumn("staging_id", F.reverse("staging_id"))  # leads that the source no longer holds
+    stale = leads.withColumn("hot_score", F.lit(-1.0)).unionByName(gone)
     return incremental.incremental_step(leads, stale, BATCH_CUTS[0], mode="full")[0]
 
 
@@ -862,7 +863,7 @@ def dq_completeness(spark, sf):
 
 @query
 def dq_uniqueness(spark, sf):
-    return quality.dq_uniqueness(fact(spark, sf))
+    return quality.dq_uniqueness(write_work(fact(spark, sf).select("staging_id", "linkedin_url")))
 
 
 @query
@@ -882,12 +883,12 @@ def dq_referential(spark, sf):
 
 @query
 def dq_composite(spark, sf):
-    return quality.dq_scores(fact(spark, sf), AS_OF_TS)
+    return quality.dq_scores(written_fact(spark, sf), AS_OF_TS)
 
 
 @query
 def dq_history(spark, sf):
-    return quality.dq_record(quality.dq_scores(fact(spark, sf), AS_OF_TS), RUN_TS)
+    return quality.dq_record(quality.dq_scores(written_fact(spark, sf), AS_OF_TS), RUN_TS)
 
 
 # ---------------------------------------------------------------- risk
@@ -938,6 +939,13 @@ def scd_check(spark, sf):
     return checks.scd_check(dims.dim_agent(fact(spark, sf), RUN_TS))
 
 
+@query
+def scd_check_broken(spark, sf):
+    """A history whose rows lack the time they are valid from, for one agent in five."""
+    dim = dims.dim_agent(fact(spark, sf), RUN_TS)
+    return checks.scd_check(dim.withColumn("valid_from", F.when(F.col("agent_key") % 5 > 0, F.col("valid_from"))))
+
+
 @query
 def dim_counts(spark, sf):
     return checks.dim_counts(dims.build_dims(written_fact(spark, sf), RUN_TS))
@@ -949,13 +957,19 @@ def star_verification(spark, sf):
     return checks.verify_star(write_work(rows), built)
 
 
+@query
+def star_verification_failing(spark, sf):
+    """A star with rows twice, against a calendar that ends early and statuses of which one is missing."""
+    rows, built = star_inputs(spark, sf)
+    doubled = rows.unionByName(rows.where("date_key % 100 = 13"))
+    stale = dims.Dims(built.agent, built.status.where("lead_status <> 'replied'"), _stale_dates(built))
+    return checks.verify_star(write_work(doubled), stale)
+
+
 @query
 def alert_events(spark, sf):
     leads = write_work(valid(spark, sf))
-    scores = None
-    for n in (1, 2, 3):
-        one = quality.dq_scores(warehouse.fct_leads(batches(leads, n)), AS_OF_TS)
-        record = quality.dq_record(one, RUN_TS).withColumn("dq_run_id", F.lit(f"run-{n}"))
-        scores = record if scores is None else scores.unionByName(record)
-    return checks.alert_events(run_ledger(leads), scores)
+    scores = quality.dq_scores_by(warehouse.fct_leads(leads).withColumn("batch", batch_of()), "batch", AS_OF_TS)
+    named = scores.withColumns({"dq_run_id": F.concat(F.lit("run-"), "batch"), "dq_timestamp": F.lit(RUN_TS).cast("timestamp")})
+    return checks.alert_events(run_ledger(leads), named)
 

@@ -312,6 +312,8 @@ LEFT JOIN dim_status s ON f.status_key = s.status_key LEFT JOIN dim_day d ON f.d
 _PROFILE = """SELECT trim(agent) AS agent_name,
     CASE WHEN sum(is_connected) * 100 >= count(*) * 28 THEN 'strong' ELSE 'weak' END AS profile"""
 
+_SCD_VALID = """CAST(count(*) > 0 AND count_if(is_current = 1) > 0 AND count(valid_from) = count(*) AS INT)"""
+
 _VERSIONS = """seen AS (
   SELECT trim(agent) AS agent_name, date_trunc('quarter', added_on) AS seen_at,
     CASE WHEN sum(is_connected) * 100 >= count(*) * 28 THEN 'strong' ELSE 'weak' END AS profile
@@ -681,13 +683,38 @@ ORACLE: dict[str, str] = {
     ),
     "scd_check": _with(
         f"""SELECT count(*) AS total, count_if(is_current = 1) AS current_rows,
-              count(valid_from) AS valid_from_rows, 1 AS scd_valid FROM ({_AGENTS.format(facts='fct')})"""
+              count(valid_from) AS valid_from_rows, {_SCD_VALID} AS scd_valid FROM ({_AGENTS.format(facts='fct')})"""
+    ),
+    "scd_check_broken": _with(
+        f"""SELECT count(*) AS total, count_if(is_current = 1) AS current_rows,
+              count(valid_from) AS valid_from_rows, {_SCD_VALID} AS scd_valid
+            FROM (SELECT * REPLACE (CASE WHEN agent_key % 5 > 0 THEN valid_from END AS valid_from)
+                  FROM ({_AGENTS.format(facts='fct')}))"""
     ),
     "dim_counts": _on_star(
         """SELECT 'dim_agent' AS dimension, count(*) AS rows FROM dim_agent
            UNION ALL SELECT 'dim_lead_status', count(*) FROM dim_status
            UNION ALL SELECT 'dim_date', count(*) FROM dim_day"""
     ),
+    "star_verification_failing": _with(
+        _star("fct"),
+        "doubled AS (SELECT * FROM star UNION ALL SELECT * FROM star WHERE date_key % 100 = 13)",
+        """marked AS (SELECT staging_id, agent_key IS NULL AS no_agent,
+             status_key IS NULL OR status_key NOT IN (SELECT status_key FROM dim_status WHERE lead_status <> 'replied') AS no_status,
+             date_key IS NULL OR date_key NOT IN (SELECT date_key FROM dim_day WHERE full_date < '1997-01-01') AS no_date
+           FROM doubled)""",
+        """found AS (SELECT count(*) AS n, count_if(no_agent) AS a, count_if(no_status) AS s, count_if(no_date) AS d,
+             (SELECT count(*) FROM (SELECT staging_id FROM marked GROUP BY 1 HAVING count(*) > 1)) AS twice FROM marked)""",
+        """SELECT 'fact_rows' AS check, n AS value, CAST(n > 0 AS INT) AS passed FROM found
+           UNION ALL SELECT 'duplicate_ids', twice, CAST(twice = 0 AS INT) FROM found
+           UNION ALL SELECT 'orphan_agents', a, CAST(a = 0 AS INT) FROM found
+           UNION ALL SELECT 'orphan_statuses', s, CAST(s = 0 AS INT) FROM found
+           UNION ALL SELECT 'orphan_dates', d, CAST(d = 0 AS INT) FROM found
+           UNION ALL SELECT 'scd_structure', count(*), CAST(count(*) > 0 AS INT) FROM dim_agent
+           UNION ALL SELECT 'verdict', failed, CAST(failed = 0 AS INT) FROM (
+             SELECT CAST(n = 0 AS INT) + CAST(twice > 0 AS INT) + CAST(a > 0 AS INT) + CAST(s > 0 AS INT)
+               + CAST(d > 0 AS INT) AS failed FROM found)""",
+    ),
     "star_verification": _on_star(
         """SELECT 'fact_rows' AS check, count(*) AS value, CAST(count(*) > 0 AS INT) AS passed FROM star
            UNION ALL SELECT 'duplicate_ids', count(*), CAST(count(*) = 0 AS INT)

@@ -27,6 +27,7 @@ from leadlake.session import exists, remove
 
 _PUBLISHED = "seq long, run_id string, table string, bucket int, complete boolean, buckets int, delta boolean, rows long"
 _WHOLE = -1  # bucket of a table that is not split
+SOUGHT = ["name"]  # columns of point lookups
 _ROWS_PER_TASK = 1_000_000  # leads a task shuffles and writes, some 300 MB
 _SMALL_DELTAS = 250_000  # rows of deltas whose ids are broadcast to readers, some 30 MB
 
@@ -164,11 +165,18 @@ class Store:
     def write_buckets(
         self, name: str, df: DataFrame, run_id: str, observe: Observation | None = None, *metrics: Column
     ) -> None:
-        """Write one load split by lead id; rows should come grouped by `bucket()` already."""
+        """Write one load split by lead id; rows should come grouped by `bucket()` already.
+
+        Buckets are sorted by the columns that leads are looked up by, and hold Bloom filters of them, so a lookup
+        reads the pages that may hold its value, of the row groups that may.
+        """
         if observe is not None:
             df = df.observe(observe, *metrics)
-        split = df.withColumn("bucket", self.bucket())
-        split.write.mode("overwrite").partitionBy("bucket").parquet(self._path(name, run_id))
+        split, sought = df.withColumn("bucket", self.bucket()), [c for c in SOUGHT if c in df.columns]
+        writer = split.sortWithinPartitions("bucket", *sought).write.mode("overwrite").partitionBy("bucket")
+        for column in sought:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        writer.parquet(self._path(name, run_id))
 
     def discard(self, name: str, run_id: str) -> None:
         """Delete what a run has written of a table that is never published."""
