@@ -79,6 +79,38 @@ def test_stages_take_empty_tables(spark, folder):
         assert stage(spark, docs, folder).count() == 0
 
 
+#: Names that stages, their operators or their results use.
+INSIDE = [
+    "digest", "good_digest", "gone", "gone_id", "node", "low", "component_id", "first", "nameless", "kept", "n_bytes", "n_removed",
+    "n_spans", "kept_sha256", "n_words", "score", "base_failed", "row", "words", "word", "contaminated", "n_hit", "item_id", "block",
+    "anchor", "segment", "shard", "key", "hashes", "sketch", "n_shingles", "total", "ratios", "carried_0", "carried_7", "start", "length",
+]
+
+
+@pytest.mark.parametrize("number", range(4))
+def test_stages_carry_columns_of_any_name(spark, folder, number):
+    """Every name as a further column of a type of its own: the rows are those without it, and it stays as it was."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    _, stage = corpus_pipeline.STAGES[number]
+    more = docs.select("*", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in INSIDE])
+    got = stage(spark, more, folder)
+    assert got.columns == COLUMNS + INSIDE
+    assert frames.rows(got, *COLUMNS) == frames.rows(stage(spark, docs, folder), *COLUMNS)
+    assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for r in got.collect() for c in INSIDE)
+
+
+def test_near_duplicates_keep_every_text_of_a_repeated_id(spark, folder):
+    a, b, c = frames.prose(1, 150), frames.prose(2, 150), frames.prose(3, 150)
+    rows = [
+        (1, a), (5, a), (5, b), (5, a + " more"), (9, b), (None, b + " more"), (None, c), (None, c), (7, None), (None, None),
+        (7, None), (3, ""), (2, ""), (8, " "), (4, "one"), (6, "one"), (6, "one"), (4, "two"), (4, "one"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], spark.read.parquet(f"{folder}/documents.parquet").schema)
+    got = frames.rows(corpus_pipeline.near_duplicates(spark, docs, folder), "doc_id", "text")
+    expected = [(1, a), (5, b), (None, c), (None, c), (7, None), (7, None), (None, None), (2, ""), (8, " "), (4, "one"), (4, "one"), (4, "two")]
+    assert got == sorted(expected, key=repr)
+
+
 def test_scratch_is_removed(spark, tmp_path):
     with scratch(spark) as keep:
         keep(spark.range(3).withColumn("x", F.lit(1)), "rows")
