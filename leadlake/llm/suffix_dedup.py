@@ -109,7 +109,9 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     if not len(begins):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
     cuts, values = np.concatenate(cuts), np.concatenate(values)
-    start = np.unique(np.concatenate([cuts, begins, ends]))
+    start = np.concatenate([cuts, begins, ends])
+    start.sort(kind="stable")  # three sorted runs
+    start = start[np.append(True, start[1:] != start[:-1])]
     text = np.searchsorted(begins, start, side="right") - 1
     inside = (text >= 0) & (start < ends[np.maximum(text, 0)])
     windows = np.diff(np.append(start, start[-1]))[inside]
@@ -145,19 +147,27 @@ class Block:
         self.start, self.windows, self.anchor = segments_of(self.data, self.offsets, settings.length)
         self.row = np.searchsorted(self.offsets, self.start, side="right") - 1
 
+    def in_order(self) -> tuple[np.ndarray, np.ndarray]:
+        """Segments in the order of their anchors, and which of them begin another anchor."""
+        order = np.argsort(self.anchor)
+        anchor = self.anchor[order]
+        return order, np.append(True, anchor[1:] != anchor[:-1])[: len(order)]
+
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Different anchors in order, and which of them occur in two of the rows."""
-        order = np.argsort(self.anchor)
-        anchor, row = self.anchor[order], self.row[order]
-        begin = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])) if len(anchor) else order
+        order, first = self.in_order()
+        begin, row = np.flatnonzero(first), self.row[order]
         if not len(begin):
-            return anchor, np.empty(0, bool)
-        return anchor[begin], np.minimum.reduceat(row, begin) != np.maximum.reduceat(row, begin)
-
-    def restrict(self, shared: np.ndarray) -> None:
-        """Keep the segments whose anchor is marked in `shared`, which is by different anchor in order."""
-        different = np.unique(self.anchor)
-        keep = shared[np.searchsorted(different, self.anchor)] if len(different) else np.empty(0, bool)
+            return self.anchor[:0], np.empty(0, bool)
+        return self.anchor[order[begin]], np.minimum.reduceat(row, begin) != np.maximum.reduceat(row, begin)
+
+    def restrict(self, flags: bytes) -> None:
+        """Keep the segments whose anchor is marked; `flags` are bits by different anchor in order."""
+        order, first = self.in_order()
+        number = np.cumsum(first) - 1
+        shared = np.unpackbits(np.frombuffer(flags, np.uint8), count=int(first.sum())).astype(bool) if flags else ~first[first]
+        keep = np.empty(len(order), bool)
+        keep[order] = shared[number]
         self.start, self.windows, self.anchor, self.row = (
             x[keep] for x in (self.start, self.windows, self.anchor, self.row)
         )
@@ -361,7 +371,7 @@ def remove_repeats(
             columns = (arrow_column(batch, c) for c in ("block", "rows", "said"))
             for name, packed, said in zip(*columns, strict=True):
                 block = read(packed)
-                shared = shared_of(said.as_py())
+                shared = np.packbits(shared_of(said.as_py())).tobytes()
                 block.restrict(shared)
                 _, texts, windows, ids, shard = block.different(shards)
                 at = np.searchsorted(shard, np.arange(shards + 1))
@@ -373,7 +383,7 @@ def remove_repeats(
                         pa.array([windows[at[s] : at[s + 1]].astype(np.uint16).tobytes() for s in full], pa.binary()),
                         pa.array([ids[at[s] : at[s + 1]].tobytes() for s in full], pa.binary()),
                         pa.array([b"".join(texts[at[s] : at[s + 1]]) for s in full], pa.binary()),
-                        pa.array([np.packbits(shared).tobytes() if s == full[0] else b"" for s in full], pa.binary()),
+                        pa.array([shared if s == full[0] else b"" for s in full], pa.binary()),
                     ],
                     ["shard", "block", "windows", "ids", "texts", "shared"],
                 )
@@ -438,9 +448,7 @@ def remove_repeats(
         for batch in batches:
             for packed, said in zip(arrow_column(batch, "rows"), arrow_column(batch, "said"), strict=True):
                 block, said = read(packed), said.as_py() or []
-                shared = b"".join(x["shared"] for x in said)
-                different = len(np.unique(block.anchor))
-                block.restrict(np.unpackbits(np.frombuffer(shared, np.uint8), count=different).astype(bool) if shared else np.zeros(different, bool))
+                block.restrict(b"".join(x["shared"] for x in said))
                 number, _, windows, _, _ = block.different(shards)
                 lengths = np.frombuffer(b"".join(x["lengths"] for x in said), np.uint16)
                 holders = np.frombuffer(b"".join(x["holders"] for x in said), np.int64)
