@@ -17,8 +17,16 @@ from pyspark.sql import functions as F
 
 from leadlake.llm.common import lower_ascii
 
-#: Public suffixes of two labels; every other suffix is taken as one label. A parameter.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "co.nz", "co.za", "com.br", "co.in")
+#: Public suffixes of two labels, of countries and of hosting services; every other suffix is taken as
+#: one label. The default of a parameter, and what the query's SQL reads too.
+LONG_SUFFIXES = (
+    "ac.jp", "ac.uk", "blogspot.com", "co.id", "co.il", "co.in", "co.jp", "co.kr", "co.nz", "co.th", "co.uk", "co.za",
+    "com.ar", "com.au", "com.bd", "com.br", "com.cn", "com.co", "com.eg", "com.hk", "com.mx", "com.my", "com.ng", "com.pe",
+    "com.ph", "com.pk", "com.pl", "com.sa", "com.sg", "com.tr", "com.tw", "com.ua", "com.ve", "com.vn", "edu.au", "edu.cn",
+    "github.io", "gitlab.io", "go.jp", "gob.mx", "gov.au", "gov.br", "gov.cn", "gov.in", "gov.uk", "herokuapp.com", "ne.jp",
+    "net.au", "net.br", "net.cn", "netlify.app", "nhs.uk", "or.jp", "or.kr", "org.au", "org.br", "org.cn", "org.mx", "org.uk",
+    "org.za", "pages.dev", "sch.uk", "vercel.app", "web.app", "wordpress.com",
+)
 
 
 @dataclass(frozen=True)

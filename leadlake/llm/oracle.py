@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from leadlake.llm.host_reputation import LONG_SUFFIXES
+
 #: Base32 of the hex SHA-1 `hex`: five hex digits are four characters.
 BASE32 = """array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0],
     lambda b: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -41,10 +43,12 @@ by_host AS (
         regexp_extract(host, '^(?:[^@]*@)?([^:]*)', 1) AS bare
     FROM parts LEFT JOIN labels ON doc_id = page_id GROUP BY host),
 named AS (
-    SELECT *, regexp_extract(bare, '([^.]*)$', 1) AS suffix,
+    SELECT *, CASE WHEN is_long THEN last_two ELSE regexp_extract(bare, '([^.]*)$', 1) END AS suffix,
         CASE WHEN regexp_full_match(bare, '[0-9]+(\.[0-9]+){{3}}') THEN bare
+            WHEN is_long THEN regexp_extract(bare, '([^.]*\.)?[^.]*\.[^.]*$')
             ELSE regexp_extract(bare, '([^.]*\.)?[^.]*$') END AS domain
-    FROM by_host),
+    FROM (SELECT *, regexp_extract(bare, '[^.]*\.[^.]*$') AS last_two,
+        regexp_extract(bare, '[^.]*\.[^.]*$') IN ({", ".join(f"'{s}'" for s in LONG_SUFFIXES)}) AS is_long FROM by_host)),
 by_domain AS (SELECT domain, suffix, sum(good) AS good, sum(n) AS n FROM named GROUP BY domain, suffix),
 by_suffix AS (SELECT suffix, sum(good) AS good, sum(n) AS n FROM by_domain GROUP BY suffix),
 s AS ({_strength('by_suffix')}), d AS ({_strength('by_domain')}), h AS ({_strength('named')}),

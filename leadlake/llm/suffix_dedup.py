@@ -132,6 +132,14 @@ def shard_of(anchors: np.ndarray, shards: int) -> np.ndarray:
     return ((anchors >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
+def runs_of(shard: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The shards of sorted numbers, and where each begins and ends: as many as there are, however many could be."""
+    if not len(shard):
+        return shard, []
+    begins = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+    return shard[begins], list(zip(begins.tolist(), [*begins[1:].tolist(), len(shard)], strict=True))
+
+
 # ---------------------------------------------------------------- one block of documents
 
 
@@ -318,14 +326,13 @@ def remove_repeats(
         for batch in batches:
             for block, packed in zip(arrow_column(batch, "block"), arrow_column(batch, "rows"), strict=True):
                 anchors, twice = read(packed).anchors()
-                at = np.searchsorted(shard_of(anchors, shards), np.arange(shards + 1))
-                full = np.flatnonzero(np.diff(at))
+                full, cuts = runs_of(shard_of(anchors, shards))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(full, pa.int32()),
+                        pa.array(full.astype(np.int32)),
                         pa.array([block.as_py()] * len(full), pa.int64()),
-                        pa.array([anchors[at[s] : at[s + 1]].tobytes() for s in full], pa.binary()),
-                        pa.array([np.packbits(twice[at[s] : at[s + 1]]).tobytes() for s in full], pa.binary()),
+                        pa.array([anchors[a:b].tobytes() for a, b in cuts], pa.binary()),
+                        pa.array([np.packbits(twice[a:b]).tobytes() for a, b in cuts], pa.binary()),
                     ],
                     ["shard", "block", "anchors", "twice"],
                 )
@@ -374,16 +381,15 @@ def remove_repeats(
                 shared = np.packbits(shared_of(said.as_py())).tobytes()
                 block.restrict(shared)
                 _, texts, windows, ids, shard = block.different(shards)
-                at = np.searchsorted(shard, np.arange(shards + 1))
-                full = np.flatnonzero(np.diff(at))
+                full, cuts = runs_of(shard)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(full, pa.int32()),
+                        pa.array(full.astype(np.int32)),
                         pa.array([name.as_py()] * len(full), pa.int64()),
-                        pa.array([windows[at[s] : at[s + 1]].astype(np.uint16).tobytes() for s in full], pa.binary()),
-                        pa.array([ids[at[s] : at[s + 1]].tobytes() for s in full], pa.binary()),
-                        pa.array([b"".join(texts[at[s] : at[s + 1]]) for s in full], pa.binary()),
-                        pa.array([shared if s == full[0] else b"" for s in full], pa.binary()),
+                        pa.array([windows[a:b].astype(np.uint16).tobytes() for a, b in cuts], pa.binary()),
+                        pa.array([ids[a:b].tobytes() for a, b in cuts], pa.binary()),
+                        pa.array([b"".join(texts[a:b]) for a, b in cuts], pa.binary()),
+                        pa.array([shared if a == 0 else b"" for a, _ in cuts], pa.binary()),
                     ],
                     ["shard", "block", "windows", "ids", "texts", "shared"],
                 )

@@ -21,7 +21,8 @@ from leadlake.llm.arrow_text import text_bytes
 from leadlake.llm.common import arrow_column, tidy
 from leadlake.llm.words import LOWERED, word_hashes, word_spans
 
-#: Groups of names that may stand for one another. A parameter.
+#: Groups of names that may stand for one another, in the languages of the corpus. The default of a
+#: parameter; name the groups of other languages there.
 IDENTITIES = (
     ("christian", "muslim", "jewish", "hindu", "buddhist", "atheist"),
     ("christians", "muslims", "jews", "hindus", "buddhists", "atheists"),
@@ -31,6 +32,28 @@ IDENTITIES = (
     ("men", "women"),
     ("immigrant", "refugee", "native"),
     ("immigrants", "refugees", "natives"),
+    ("arab", "chinese", "indian", "mexican", "turkish", "polish", "russian"),
+    ("disabled", "blind", "deaf"),
+    ("chrétien", "musulman", "juif", "hindou", "bouddhiste", "athée"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noir", "blanc", "asiatique", "africain", "européen", "arabe"),
+    ("homme", "femme"),
+    ("hommes", "femmes"),
+    ("immigré", "réfugié"),
+    ("immigrés", "réfugiés"),
+    ("christ", "muslim", "jude", "hindu", "buddhist", "atheist"),
+    ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten"),
+    ("schwarzer", "weißer", "asiate", "afrikaner", "europäer", "araber"),
+    ("mann", "frau"),
+    ("männer", "frauen"),
+    ("einwanderer", "flüchtling"),
+    ("cristiano", "musulmán", "judío", "hindú", "budista", "ateo"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("negro", "blanco", "asiático", "africano", "europeo", "árabe"),
+    ("hombre", "mujer"),
+    ("hombres", "mujeres"),
+    ("inmigrante", "refugiado"),
+    ("inmigrantes", "refugiados"),
 )
 #: Words are runs of letters; every byte that is not ASCII counts as one.
 LETTERS = np.zeros(256, bool)
@@ -84,7 +107,8 @@ class Swaps:
         self.copies, self.next = copies, {}
         for group in identities:
             for i, name in enumerate(group):
-                self.next[name] = [group[(i + k) % len(group)] for k in range(1, copies + 1)]
+                # a name of two groups (of two languages) is swapped within the first
+                self.next.setdefault(name, [group[(i + k) % len(group)] for k in range(1, copies + 1)])
         names = "|".join(sorted(map(re.escape, self.next), key=len, reverse=True))
         self.pattern = re.compile(rf"\b(?:{names})\b", re.IGNORECASE) if names else None
 
@@ -174,14 +198,18 @@ def fit(
 ) -> tuple[np.ndarray, float]:
     """Fit on the labelled rows of `docs`; `labels` (id, label 0 or 1; other labels and null are left out).
 
-    At most about 2 x per_class texts are used, of which the driver gets the different feature numbers (2^18 at
-    most each). Repeated labels of a row count as often. Without labelled texts every score is 0.5.
+    At most about 2 x per_class ids are used, and one text of each, the least, so that an id which very many rows
+    share can't make the sample larger; the driver gets the different feature numbers (2^18 at most each). Repeated
+    labels of an id count as often. Where no sampled text names a group there is no pair, and the model is a plain
+    logistic one. Without labelled texts every score is 0.5.
     """
     settings = settings or Settings()
     listed = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     sample, shares = _sampled(listed.where("label in (0, 1) and doc_id is not null"), settings)
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = own.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
+    own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    wanted = own.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
+    texts = wanted.groupBy("doc_id").agg(F.min("text").alias("text"))
+    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
 
     def extract(batches):
         swaps = Swaps(settings.identities, settings.copies)

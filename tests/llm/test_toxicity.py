@@ -60,6 +60,27 @@ def test_copies_swap_whole_words_only():
     assert swaps.of("nobody") == [] and toxicity.Swaps((), 2).of("man") == []
 
 
+@pytest.mark.parametrize("named", ["musulman", "muslime", "cristianos"])
+def test_names_of_other_languages_are_spared_too(spark, named):
+    rows, labels = labelled(400, 8, True)
+    rows = [(i, t.replace("muslim", named)) for i, t in rows]
+    neutral = [(k, f"{named} {frames.prose(k, 30)}") for k in range(40)]
+    rates = [np.mean(list(scores(spark, model_of(spark, rows, labels, counterfactual=w), neutral).values())) for w in (0.0, 50.0)]
+    assert rates[1] < 0.7 * rates[0]
+
+
+def test_an_id_of_many_rows_is_one_text(spark):
+    rows, labels = labelled(60, 9, False)
+    seen = []
+    real = toxicity.fit_weights
+    try:
+        toxicity.fit_weights = lambda texts, *a: seen.append(len(texts)) or real(texts, *a)
+        model_of(spark, rows + [(5, f"text {k}") for k in range(300)], labels)
+    finally:
+        toxicity.fit_weights = real
+    assert seen == [60]
+
+
 def test_edge_rows_get_a_score_each(spark):
     model = model_of(spark, *labelled(80, 4, False))
     got = toxicity.score(frames.docs(spark), model).collect()
