@@ -7,6 +7,10 @@ and segments of one range of anchors form a shard. A shard's different segments
 external induced sorting; neighbours that share `length` bytes are equal windows, and the smallest id among them
 goes back to the blocks of documents that sent the segments.
 
+An anchor with more than `hot_segments` different segments (a byline between texts of every document's own) would
+fill one shard. Its segments are cut to single windows, and a hash of the window takes the anchor's place: equal
+windows still meet, different ones spread over all shards.
+
 Nothing is sent by document: a block sends each anchor and each different segment once, with the smallest id, so
 a passage that a third of all documents share costs one row a block.
 """
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 from leadlake.llm.arrow_text import blocks_of, pack, text_bytes, unpack
 from leadlake.llm.common import Scratch, arrow_column, tidy
 from leadlake.llm.external_suffix import MEMORY_ITEMS, Workspace, suffixes_with_prefixes
-from leadlake.llm.words import mixed
+from leadlake.llm.words import mixed, word_hashes
 
 #: Bytes of a seed, whose hash makes it an anchor.
 SEED = 20
@@ -50,6 +54,8 @@ class Settings:
     #: Text in a block of documents, and corpus text for each shard.
     block_bytes: int = 4 << 20
     shard_bytes: int = 3 << 20
+    #: Different segments, added up over blocks, that one anchor may bring to its shard before it is split by windows.
+    hot_segments: int = 8192
     #: Tuples of the sort kept in memory before disk is used.
     memory_items: int = MEMORY_ITEMS
 
@@ -127,6 +133,14 @@ def segments_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.
     return start, windows, mixed(anchor)  # least hashes crowd at the low end; shards are ranges of equal size
 
 
+def window_hashes(data: np.ndarray, start: np.ndarray, length: int) -> np.ndarray:
+    """Hash of the `length` bytes from each start on."""
+    whole = np.zeros(len(start), np.uint64)
+    for k in range(length):
+        whole = whole * np.uint64(FACTOR) + data[start + k].astype(np.uint64) + np.uint64(1)
+    return mixed(whole)
+
+
 def shard_of(anchors: np.ndarray, shards: int) -> np.ndarray:
     """Shard by range, so sorted anchors are in the order of their shards."""
     return ((anchors >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
@@ -161,24 +175,62 @@ class Block:
         anchor = self.anchor[order]
         return order, np.append(True, anchor[1:] != anchor[:-1])[: len(order)]
 
-    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
-        """Different anchors in order, and which of them occur in two of the rows."""
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Different anchors in order, which of them occur in two of the rows, and their numbers of different segments."""
         order, first = self.in_order()
         begin, row = np.flatnonzero(first), self.row[order]
         if not len(begin):
-            return self.anchor[:0], np.empty(0, bool)
-        return self.anchor[order[begin]], np.minimum.reduceat(row, begin) != np.maximum.reduceat(row, begin)
-
-    def restrict(self, flags: bytes) -> None:
-        """Keep the segments whose anchor is marked; `flags` are bits by different anchor in order."""
+            return self.anchor[:0], np.empty(0, bool), np.empty(0, np.int64)
+        twice = np.minimum.reduceat(row, begin) != np.maximum.reduceat(row, begin)
+        return self.anchor[order[begin]], twice, self.variety(order, np.diff(np.append(begin, len(order))))
+
+    def variety(self, order: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Different segments of each anchor; `sizes`: its segments, in `order`."""
+        several = np.repeat(sizes > 1, sizes)
+        different = np.ones(len(sizes), np.int64)
+        if several.any():
+            # spans are hashed in the order of the text, and only those of anchors that occur again
+            number = np.empty(len(order), np.int64)
+            number[order] = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.sort(order[several])
+            span = word_hashes(self.data, self.start[at], self.start[at] + self.windows[at] + self.length - 1)
+            number = number[at]
+            ranks = np.lexsort((span, number))
+            span, number = span[ranks], number[ranks]
+            new = np.append(True, (span[1:] != span[:-1]) | (number[1:] != number[:-1]))
+            different = np.maximum(1, np.bincount(number[new], minlength=len(sizes)))
+        return different
+
+    def restrict(self, flags: bytes, hot: bytes) -> None:
+        """Keep the segments whose anchor is marked, and cut those of hot anchors to windows. `flags` are bits by
+        different anchor in order, `hot` the numbers of hot ones."""
         order, first = self.in_order()
         number = np.cumsum(first) - 1
         shared = np.unpackbits(np.frombuffer(flags, np.uint8), count=int(first.sum())).astype(bool) if flags else ~first[first]
         keep = np.empty(len(order), bool)
         keep[order] = shared[number]
+        heavy = np.zeros(len(shared), bool)
+        heavy[np.frombuffer(hot, np.uint32)] = True
+        cut = np.empty(len(order), bool)
+        cut[order] = heavy[number]
+        cut = cut[keep]
         self.start, self.windows, self.anchor, self.row = (
             x[keep] for x in (self.start, self.windows, self.anchor, self.row)
         )
+        if cut.any():
+            self.to_windows(cut)
+
+    def to_windows(self, cut: np.ndarray) -> None:
+        """Segments of one window each instead of the marked ones, with the hash of the window for an anchor."""
+        count = self.windows[cut]
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        start = np.repeat(self.start[cut], count) + within
+        row = np.repeat(self.row[cut], count)
+        made = (start, np.ones_like(start), window_hashes(self.data, start, self.length), row)
+        held = (self.start, self.windows, self.anchor, self.row)
+        self.start, self.windows, self.anchor, self.row = (
+            np.concatenate([old[~cut], new]) for old, new in zip(held, made, strict=True)
+        )
 
     def different(self, shards: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
         """Of each segment the number of its text; of each text: itself, its windows, its smallest id, its shard.
@@ -325,7 +377,7 @@ def remove_repeats(
     def send_anchors(batches):
         for batch in batches:
             for block, packed in zip(arrow_column(batch, "block"), arrow_column(batch, "rows"), strict=True):
-                anchors, twice = read(packed).anchors()
+                anchors, twice, different = read(packed).anchors()
                 full, cuts = runs_of(shard_of(anchors, shards))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -333,15 +385,25 @@ def remove_repeats(
                         pa.array([block.as_py()] * len(full), pa.int64()),
                         pa.array([anchors[a:b].tobytes() for a, b in cuts], pa.binary()),
                         pa.array([np.packbits(twice[a:b]).tobytes() for a, b in cuts], pa.binary()),
+                        pa.array([several(different[a:b]) for a, b in cuts], pa.binary()),
                     ],
-                    ["shard", "block", "anchors", "twice"],
+                    ["shard", "block", "anchors", "twice", "several"],
                 )
 
+    def several(different: np.ndarray) -> bytes:
+        """Places and numbers of more than one segment: few anchors have them."""
+        at = np.flatnonzero(different > 1)
+        return np.concatenate([at, different[at]]).astype(np.uint32).tobytes()
+
     def find_shared(rows: pa.Table) -> pa.Table:
         lists = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("anchors")]
         sizes = [len(x) for x in lists]
         anchors = np.concatenate(lists)
         order = np.argsort(anchors, kind="stable")
+        different = np.ones(len(anchors), np.int64)
+        for x, begin in zip(rows.column("several"), (np.cumsum(sizes) - sizes).tolist(), strict=True):
+            at, n = np.frombuffer(x.as_buffer(), np.uint32).reshape(2, -1).astype(np.int64)
+            different[begin + at] = n
         same = anchors[order][1:] == anchors[order][:-1]
         shared = np.zeros(len(anchors), bool)
         shared[order[1:][same]] = shared[order[:-1][same]] = True
@@ -353,12 +415,20 @@ def remove_repeats(
         shared |= np.concatenate(twice)
         cut = np.split(shared, np.cumsum(sizes)[:-1])
         flags = [np.packbits(c).tobytes() for c in cut]
+        begins = np.flatnonzero(np.append(True, ~same))
+        heavy = np.add.reduceat(different[order], begins) > settings.hot_segments
+        hot = np.zeros(len(anchors), bool)
+        if heavy.any():
+            hot[order] = np.repeat(heavy, np.diff(np.append(begins, len(anchors))))
+            hot &= shared
+        hot = [np.flatnonzero(c).astype(np.uint32).tobytes() for c in np.split(hot, np.cumsum(sizes)[:-1])]
         return pa.table(
             {
                 "shard": rows.column("shard"),
                 "block": rows.column("block"),
                 "n": pa.array(sizes, pa.int32()),
                 "shared": pa.array(flags, pa.binary()),
+                "hot": pa.array(hot, pa.binary()),
             }
         )
 
@@ -366,20 +436,27 @@ def remove_repeats(
         """One row per block: what its shards say, in their order; bounded by the block's size."""
         return df.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", *columns))).alias("said"))
 
-    anchors = blocks.mapInArrow(tidy(send_anchors), "shard int, block long, anchors binary, twice binary")
-    flags = anchors.groupBy("shard").applyInArrow(find_shared, "shard int, block long, n int, shared binary")
+    anchors = blocks.mapInArrow(tidy(send_anchors), "shard int, block long, anchors binary, twice binary, several binary")
+    flags = anchors.groupBy("shard").applyInArrow(find_shared, "shard int, block long, n int, shared binary, hot binary")
 
     def shared_of(said) -> np.ndarray:
         parts = [np.unpackbits(np.frombuffer(x["shared"], np.uint8), count=x["n"]) for x in said or ()]
         return np.concatenate(parts).astype(bool) if parts else np.empty(0, bool)
 
+    def hot_of(said) -> bytes:
+        """Numbers of hot anchors among all of the block's."""
+        sizes = np.array([x["n"] for x in said or ()], np.int64)
+        begins = (np.cumsum(sizes) - sizes).astype(np.uint32)
+        return b"".join((np.frombuffer(x["hot"], np.uint32) + b).tobytes() for x, b in zip(said or (), begins, strict=True))
+
     def send_segments(batches):
         for batch in batches:
             columns = (arrow_column(batch, c) for c in ("block", "rows", "said"))
             for name, packed, said in zip(*columns, strict=True):
                 block = read(packed)
-                shared = np.packbits(shared_of(said.as_py())).tobytes()
-                block.restrict(shared)
+                said = said.as_py()
+                shared, hot = np.packbits(shared_of(said)).tobytes(), hot_of(said)
+                block.restrict(shared, hot)
                 _, texts, windows, ids, shard = block.different(shards)
                 full, cuts = runs_of(shard)
                 yield pa.RecordBatch.from_arrays(
@@ -390,8 +467,9 @@ def remove_repeats(
                         pa.array([ids[a:b].tobytes() for a, b in cuts], pa.binary()),
                         pa.array([b"".join(texts[a:b]) for a, b in cuts], pa.binary()),
                         pa.array([shared if a == 0 else b"" for a, _ in cuts], pa.binary()),
+                        pa.array([hot if a == 0 else b"" for a, _ in cuts], pa.binary()),
                     ],
-                    ["shard", "block", "windows", "ids", "texts", "shared"],
+                    ["shard", "block", "windows", "ids", "texts", "shared", "hot"],
                 )
 
     def answer(rows: pa.Table) -> pa.Table:
@@ -437,14 +515,15 @@ def remove_repeats(
                 "lengths": pa.array(lengths, pa.binary()),
                 "holders": pa.array(holders, pa.binary()),
                 "shared": rows.column("shared"),
+                "hot": rows.column("hot"),
             }
         )
 
-    segments = blocks.join(by_block(flags, "n", "shared"), "block", "left").mapInArrow(
-        tidy(send_segments), "shard int, block long, windows binary, ids binary, texts binary, shared binary"
+    segments = blocks.join(by_block(flags, "n", "shared", "hot"), "block", "left").mapInArrow(
+        tidy(send_segments), "shard int, block long, windows binary, ids binary, texts binary, shared binary, hot binary"
     )
     answers = segments.groupBy("shard").applyInArrow(
-        answer, "shard int, block long, lengths binary, holders binary, shared binary"
+        answer, "shard int, block long, lengths binary, holders binary, shared binary, hot binary"
     )
 
     results = T.StructType.fromDDL(TEXT_RESULT if as_text else RESULT)
@@ -454,7 +533,7 @@ def remove_repeats(
         for batch in batches:
             for packed, said in zip(arrow_column(batch, "rows"), arrow_column(batch, "said"), strict=True):
                 block, said = read(packed), said.as_py() or []
-                block.restrict(b"".join(x["shared"] for x in said))
+                block.restrict(*(b"".join(x[c] for x in said) for c in ("shared", "hot")))
                 number, _, windows, _, _ = block.different(shards)
                 lengths = np.frombuffer(b"".join(x["lengths"] for x in said), np.uint16)
                 holders = np.frombuffer(b"".join(x["holders"] for x in said), np.int64)
@@ -484,4 +563,4 @@ def remove_repeats(
         yield from pa.table(columns, names=[f.name for f in kept_fields] + results.names).to_batches(500)
 
     schema = T.StructType([*kept_fields, *results.fields])
-    return blocks.join(by_block(answers, "lengths", "holders", "shared"), "block", "left").mapInArrow(tidy(cut), schema)
+    return blocks.join(by_block(answers, "lengths", "holders", "shared", "hot"), "block", "left").mapInArrow(tidy(cut), schema)

@@ -101,3 +101,43 @@ def test_text_result_drops_cut_characters(spark):
 
 def test_empty_table(spark):
     assert removed(spark, []) == []
+
+
+def bylines(n, phrase="By Jo Example, staff", words=6):
+    """One phrase between texts of every document's own, and a few documents that share more than the phrase."""
+    own = [(i, f"{frames.prose(2 * i, words)} {phrase} {frames.prose(2 * i + 1, words)}") for i in range(n)]
+    return own + [(n + i, own[i][1] + " end") for i in range(0, n, 9)] + [(2 * n, own[3][1]), (None, own[5][1])]
+
+
+@pytest.mark.parametrize("phrase", ["By Jo Example, staff", "All rights reserved by Example and its sons, 1999", "na" * 30])
+@pytest.mark.parametrize("most", [0, 1, 5, 8192])
+def test_anchors_split_by_windows_equal_brute_force(spark, phrase, most):
+    """Whatever number of segments makes an anchor hot, the same bytes go."""
+    texts = [*bylines(40, phrase), *frames.edge_texts()[:9]]
+    assert removed(spark, texts, hot_segments=most, block_bytes=1500, shard_bytes=700) == brute(texts)
+
+
+def test_segments_of_a_hot_anchor_spread_over_shards():
+    """20,000 texts around one phrase: without the split one anchor holds its segments of all texts, with it no
+    shard holds more than a small share of their bytes, and equal windows are in one shard."""
+    import pyarrow as pa
+
+    from leadlake.llm.arrow_text import pack
+
+    phrase, rng = "By Jo Example, staff", np.random.default_rng(1)
+    own = ["".join(map(chr, row)) for row in rng.integers(97, 123, (20_000, 80))]
+    table = pa.table({"doc_id": pa.array(range(len(own)), pa.int64()), "text": [t[:40] + phrase + t[40:] for t in own]})
+    packed = pa.py_buffer(pack(table))
+    block = suffix_dedup.Block(packed, "doc_id", "text", suffix_dedup.Settings())
+    anchors, twice, different = block.anchors()
+    hottest = int(np.argmax(different))
+    segments = np.bincount(np.searchsorted(anchors, block.anchor))
+    assert twice[hottest] and different[hottest] == segments[hottest] > 300  # every text has a segment of its own
+    hot = np.flatnonzero(different > 100).astype(np.uint32)
+    block.restrict(np.packbits(np.isin(np.arange(len(anchors)), hot)).tobytes(), hot.tobytes())
+    assert (block.windows == 1).all()
+    shards = 50
+    sizes = np.bincount(suffix_dedup.shard_of(block.anchor, shards).astype(int), minlength=shards)
+    assert sizes.max() < 2 * sizes.sum() / shards
+    windows = [bytes(block.data[a : a + 50]) for a in block.start.tolist()]
+    assert len(set(windows)) == len(set(zip(windows, block.anchor.tolist(), strict=True)))
