@@ -55,7 +55,7 @@ class Settings:
     block_bytes: int = 4 << 20
     shard_bytes: int = 3 << 20
     #: Different segments, added up over blocks, that one anchor may bring to its shard before it is split by windows.
-    hot_segments: int = 8192
+    hot_segments: int = 1 << 17
     #: Tuples of the sort kept in memory before disk is used.
     memory_items: int = MEMORY_ITEMS
 
