@@ -1,9 +1,10 @@
 """Quality rules: a hashed n-gram log-likelihood ratio of trusted texts to the raw corpus.
 
-Each word's last characters, an n-gram that shows endings, punctuation and markup, fall into a bucket by hash.
-Two multinomials over the buckets are counted: of the trusted documents and of all. A document's score is the
-mean over its words of log p(bucket | trusted) / p(bucket | raw), so length does not matter, and it is kept if
-the score reaches a fixed threshold and no base rule fails. There is no drawing of lots. DataFrame functions only.
+Every word, every pair of neighbouring words, and every word's last characters, which show endings, punctuation and
+markup, fall into buckets by hash, each kind of n-gram into buckets of its own. Two multinomials over all buckets are
+counted: of the trusted documents and of all. A document's score is the mean over its n-grams of
+log p(bucket | trusted) / p(bucket | raw), so length does not matter, and it is kept if the score reaches a fixed
+threshold and no base rule fails. There is no drawing of lots. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ BLANKS, SYMBOLS = " \t\n\v\f\r", "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Settings:
-    #: Characters of a word's ending, and buckets they are hashed to (a power of two).
+    #: Longest n-gram of words that counts beside the endings (1: words, 2: pairs as well, 0: endings alone).
+    words: int = 0
+    #: Characters of a word's ending, and buckets that each kind of n-gram is hashed to (a power of two).
     ending: int = 3
     buckets: int = 1 << 16
     #: Pseudo-count of each bucket in the raw multinomial; the trusted one gets its share of it.
@@ -30,6 +33,14 @@ class Settings:
     least_words: int = 50
     most_repeated: int = 50
 
+    @property
+    def all_buckets(self) -> int:
+        return (1 + self.words) * self.buckets
+
+
+#: The settings of `judge` and `keep_good`: endings, words and pairs of words.
+N_GRAMS = Settings(words=2)
+
 
 def once(value: Column, use) -> Column:
     """`use(value)` with `value` evaluated once, however often it is used."""
@@ -38,7 +49,8 @@ def once(value: Column, use) -> Column:
 
 def words_of(text) -> Column:
     """Array of words; empty for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
 
 
 def bucket_of(word: Column, settings: Settings) -> Column:
@@ -46,13 +58,34 @@ def bucket_of(word: Column, settings: Settings) -> Column:
     return F.xxhash64(F.substr(word, start)).bitwiseAND(F.lit(settings.buckets - 1)).cast("int")
 
 
+def starts_of(words: Column, settings: Settings) -> Column:
+    """Array with a struct for each word: the word and those after it that its longest n-gram holds, else null."""
+    after = [F.slice(words, 1 + k, F.size(words)).alias(f"w{k}") for k in range(1, settings.words)]
+    return F.arrays_zip(words.alias("w0"), *after)
+
+
+def grams_at(start: str, settings: Settings) -> list[Column]:
+    """Buckets of the n-grams that begin with a word: its ending, the word, the pair and so on; null at the end."""
+    words = [F.col(f"{start}.w{k}") for k in range(max(1, settings.words))]
+    found = [bucket_of(words[0], settings)]
+    for n in range(1, settings.words + 1):
+        hashed = F.xxhash64(*words[:n]).bitwiseAND(F.lit(settings.buckets - 1)).cast("int") + n * settings.buckets
+        found.append(F.when(words[n - 1].isNotNull(), hashed))
+    return found
+
+
+def n_grams(n_words: Column, settings: Settings) -> Column:
+    """Number of n-grams in a text of so many words."""
+    return sum((F.greatest(n_words - k, F.lit(0)) for k in range(settings.words)), n_words)
+
+
 def _repeated_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more. Windows are compared by 64-bit hashes: these are
-    sorted with their places, equal neighbours give the places, and sorted places the words they cover."""
-    window = lambda i: F.struct(
-        F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("at")
-    )
-    windows = F.array_sort(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
+    """Words inside 3-word windows that occur twice or more. Windows are compared by 64-bit hashes. Where some are
+    equal, hashes are sorted with their places, equal neighbours give the places, and sorted places the words they
+    cover."""
+    hash_at = lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
+    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - 3), hash_at)
+    placed = lambda hs: F.sort_array(F.transform(hs, lambda h, i: F.struct(h.alias("h"), i.alias("at"))))
     again = lambda all_: F.transform(
         F.filter(
             all_,
@@ -65,47 +98,48 @@ def _repeated_words(words: Column) -> Column:
         F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda s, p: F.struct((s.n + F.least(F.lit(3), p - s["last"])).alias("n"), p.alias("last")),
     )["n"]
-    found = once(windows, lambda all_: once(F.array_sort(again(all_)), covered))
+    count = lambda hs: once(placed(hs), lambda all_: once(F.sort_array(again(all_)), covered))
+    found = once(hashes, lambda hs: F.when(F.size(F.array_distinct(hs)) < F.size(hs), count(hs)).otherwise(0))
     return F.when(F.size(words) >= 3, found).otherwise(0).cast("long")
 
 
 def base_counts(text: Column, words: Column) -> dict[str, Column]:
     """The counts that base rules and reports use."""
     text = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
+    lines = F.filter(F.split(text, "\n"), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
     return {
         "n_words": F.size(words).cast("long"),
-        "word_chars": F.length(F.translate(text, BLANKS, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        "word_chars": F.length(F.array_join(words, "")).cast("long"),
+        "n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         "n_dup_lines": once(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))).cast("long"),
         "n_repeat_words": _repeated_words(words),
     }
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, settings: Settings) -> DataFrame:
-    """One row: the log ratio of every bucket, as an array. All words of all documents are counted, and all of the
-    trusted ones; each task adds up its buckets first, so no more than `buckets` rows leave it.
+    """One row: the log ratio of every bucket, as an array. All n-grams of all documents are counted, and all of the
+    trusted ones; each task adds up its buckets first, so no more than `all_buckets` rows leave it.
 
-    Trusted ids grow with the corpus, so both sides are shuffled at every size. A document sends the buckets of its
-    words instead of its text, in two bytes a word where they fit.
+    Trusted ids grow with the corpus, so both sides are shuffled at every size. A document sends its text, which takes
+    less room than the buckets of its n-grams.
     """
-    kind, middle = "short" if settings.buckets <= 1 << 16 else "int", settings.buckets // 2
-    short = lambda w: (bucket_of(w, settings) - F.lit(middle)).cast(kind)
     ids = trusted.select(F.col(id_col).alias("trusted_id")).where("trusted_id is not null").distinct()
-    sent = docs.select(F.col(id_col).alias("sent_id"), F.transform(words_of(F.col(text_col)), short).alias("buckets"))
+    sent = docs.select(F.col(id_col).alias("sent_id"), F.col(text_col).alias("sent_text"))
     marked = sent.join(ids.hint("merge"), F.col("sent_id") == F.col("trusted_id"), "left").select(
-        F.col("trusted_id").isNotNull().cast("long").alias("of_trusted"), F.explode("buckets").alias("short")
+        F.col("trusted_id").isNotNull().cast("long").alias("of_trusted"), words_of(F.col("sent_text")).alias("words")
     )
-    counts = marked.groupBy((F.col("short").cast("int") + middle).alias("bucket")).agg(
+    starts = marked.select("of_trusted", F.explode(starts_of(F.col("words"), settings)).alias("start"))
+    each = starts.select("of_trusted", F.explode(F.array(*grams_at("start", settings))).alias("bucket"))
+    counts = each.where("bucket is not null").groupBy("bucket").agg(
         F.count(F.lit(1)).alias("raw"), F.sum("of_trusted").alias("trusted")
     )
-    # all at most `buckets` counts in one row beside their totals, so texts are read once
+    # all at most `all_buckets` counts in one row beside their totals, so texts are read once
     together = counts.agg(
         F.sum("raw").alias("raw_all"),
         F.sum("trusted").alias("trusted_all"),
         F.collect_list(F.struct("bucket", "raw", "trusted")).alias("counts"),
     )
-    a, size = settings.smoothing, settings.buckets
+    a, size = settings.smoothing, settings.all_buckets
     share = F.col("trusted_all") / F.col("raw_all")
     ratio = F.log(
         (F.col("trusted") + a * share) / (F.col("trusted_all") + a * size * share)
@@ -131,10 +165,10 @@ def judge(
 
     Null, empty and wordless texts have no words, score 0, and fail the base rules. Without trusted documents
     every score is 0. Repeated rows are judged and counted each; null ids stay null and are never trusted; other
-    columns are not read. An empty table gives no rows. A document's words are added up in the task that reads
-    it, so one row a document is shuffled. `with_digest` adds the SHA-256 of the text.
+    columns are not read. An empty table gives no rows. A document's n-grams are added up in the task that reads
+    it, so one row a document is shuffled; the task's map is keyed by the row alone, as it is looked up for each word. `with_digest` adds the SHA-256 of the text.
     """
-    settings = settings or Settings()
+    settings = settings or N_GRAMS
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     listed = trusted.select(F.col(id_col).alias("doc_id"))
     ratios = ratio_table(own, listed, "doc_id", "text", settings).select("ratios").scalar()
@@ -143,18 +177,22 @@ def judge(
     if with_digest:
         counts["digest"] = F.sha2("text", 256)
     counted = split.select("doc_id", "row", "words", *[c.alias(n) for n, c in counts.items()])
-    named = ["row", "doc_id", *counts]
-    each = counted.select(*named, F.explode_outer("words").alias("word"))
+    known = ["doc_id", *counts]
+    each = counted.select("row", *known, F.explode_outer(starts_of(F.col("words"), settings)).alias("start"))
     # a text without words has one row without a word
-    ratio = F.when(F.col("word").isNotNull(), F.coalesce(F.get(ratios, bucket_of(F.col("word"), settings)), F.lit(0.0)))
-    summed = each.groupBy(*named).agg(F.sum(ratio).alias("total"))
+    rated = [F.coalesce(F.get(ratios, bucket), F.lit(0.0)) for bucket in grams_at("start", settings)]
+    ratio = F.when(F.col("start").isNotNull(), sum(rated[1:], rated[0]))
+    # texts among the columns are keys, as a map's values have to be of fixed width
+    wide = [c for c, kind in each.dtypes if c in known and kind in ("string", "binary")]
+    fixed = [F.first(c).alias(c) for c in known if c not in wide]
+    summed = each.groupBy("row", *wide).agg(F.sum(ratio).alias("total"), *fixed)
     failed = (F.col("n_words") < settings.least_words) | (
         100 * F.col("n_repeat_words") > settings.most_repeated * F.col("n_words")
     )
     scored = summed.select(
         F.col("doc_id").alias(id_col),
         *counts,
-        (F.coalesce("total", F.lit(0.0)) / F.greatest("n_words", F.lit(1))).alias("score"),
+        (F.coalesce("total", F.lit(0.0)) / F.greatest(n_grams(F.col("n_words"), settings), F.lit(1))).alias("score"),
         failed.alias("base_failed"),
     )
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= settings.threshold))

@@ -109,3 +109,63 @@ def test_every_trusted_document_counts(spark):
     docs = spark.range(n).selectExpr("id as doc_id", "concat('w', hex(id), ' x', hex(id * 7)) as text")
     table = quality_llr.ratio_table(docs, docs, "doc_id", "text", quality_llr.Settings())
     assert max(map(abs, table.first().ratios)) < 1e-9
+
+
+def n_gram_scores_by_hand(spark, texts, trusted, settings):
+    """(id, score, kept): words, pairs of words and endings counted one by one. Only the hash is Spark's."""
+
+    def grams(text):
+        words = WORD.findall(text or "")
+        found = [(0, w[-settings.ending :]) for w in words]
+        for n in range(1, settings.words + 1):
+            found += [(n, *words[i : i + n]) for i in range(len(words) - n + 1)]
+        return found
+
+    bucket = {}
+    for n in range(settings.words + 1):
+        some = sorted({g for _, t in texts for g in grams(t) if g[0] == n})
+        width = max(1, n)
+        frame = spark.createDataFrame([g[1:] for g in some], ", ".join(f"w{k} string" for k in range(width)))
+        hashes = frame.select(*frame.columns, F.xxhash64(*frame.columns).alias("hash")).collect()
+        bucket |= {(n, *r[:width]): (n, r.hash & (settings.buckets - 1)) for r in hashes}
+    raw, good = Counter(), Counter()
+    for i, t in texts:
+        raw.update(bucket[g] for g in grams(t))
+        if i in trusted:
+            good.update(bucket[g] for g in grams(t))
+    n_raw, n_good = sum(raw.values()), sum(good.values())
+    share, a, size = n_good / n_raw, settings.smoothing, (1 + settings.words) * settings.buckets
+
+    def ratio(b):
+        return math.log((good[b] + a * share) / (n_good + a * size * share)) - math.log((raw[b] + a) / (n_raw + a * size))
+
+    out = []
+    for i, t in texts:
+        found = [ratio(bucket[g]) for g in grams(t)]
+        score = sum(found) / max(1, len(found))
+        out.append((i, score, not brute(t)[-1] and score >= settings.threshold))
+    return sorted(out, key=lambda r: (repr(r[0]), r[1]))
+
+
+@pytest.mark.parametrize("settings", [None, quality_llr.Settings(words=1, buckets=64, threshold=-0.3), quality_llr.Settings(words=3, ending=2)])
+def test_words_and_pairs_count_beside_endings(spark, settings):
+    """`None` is what the queries use: words, pairs of words and endings."""
+    texts = [(i, frames.prose(i, 60 + i)) for i in range(20)] + [(50 + i, " ".join(w.upper() + "!" for w in frames.prose(i, 80).split())) for i in range(5)]
+    texts += [(90, None), (91, " "), (92, "one"), (93, "two words"), (None, frames.prose(3, 70)), (7, frames.prose(99, 70))]
+    trusted = {*range(12), 50}
+    listed = spark.createDataFrame([(i,) for i in trusted], "doc_id long")
+    got = quality_llr.judge(frames.docs(spark, texts), listed, settings).select("doc_id", "score", "kept").collect()
+    got = sorted((tuple(r) for r in got), key=lambda r: (repr(r[0]), r[1]))
+    expected = n_gram_scores_by_hand(spark, texts, trusted, settings or quality_llr.Settings(words=2))
+    assert [(i, k) for i, _, k in got] == [(i, k) for i, _, k in expected]
+    assert [s for _, s, _ in got] == pytest.approx([s for _, s, _ in expected])
+
+
+def test_texts_with_the_same_endings_score_by_their_words(spark):
+    """Words and their order tell texts apart whose endings are equal, one by one."""
+    words = [f"{stem}ing" for stem in "walk talk read sing mend bend send lend".split()] * 10
+    other = [f"{stem}ing" for stem in "hiss kiss miss toss boss fuss mess pass".split()] * 10
+    texts = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(sorted(words)))]
+    trusted = frames.docs(spark, texts).where("doc_id = 1")
+    score = {r.doc_id: r.score for r in quality_llr.judge(frames.docs(spark, texts), trusted).collect()}
+    assert score[1] > score[3] > score[2]
