@@ -60,10 +60,11 @@ def stage_leads(
     raw rows behind each staging row in.
     """
     leads, also = identify(raw), [copies] if copies else []
+    rest = [c for c in leads.columns if c not in ("staging_id", *RAW_TO_STAGING.values())]
     if dedup_nulls:
-        return type_columns(keep_last(leads, ["staging_id"], order, copies), run_ts, also)
+        return type_columns(keep_last(leads, ["staging_id"], order, copies, rest), run_ts, also)
     is_nameless = F.col("staging_id").isNull()
-    named = keep_last(leads.where(~is_nameless), ["staging_id"], order, copies)
+    named = keep_last(leads.where(~is_nameless), ["staging_id"], order, copies, rest)
     nameless = leads.where(is_nameless)
     if copies:
         nameless = nameless.withColumn(copies, F.lit(1).cast("long"))

@@ -245,17 +245,21 @@ def _measure(
     return _Plan(touched, sizes, frozenset(anew))
 
 
+#: Rows of dimensions that Spark broadcasts for sure, so that joined rows stay in the tasks of their buckets.
+_SMALL_DIMS = 50_000
+
+
 def _write_split(
-    store: Store, name: str, fresh: DataFrame, plan: _Plan, complete: bool, out: Outcome
+    store: Store, name: str, fresh: DataFrame, plan: _Plan, complete: bool, out: Outcome, placed: bool = False
 ) -> None:
     """Write the changed rows of a split table, beside what is there or, in buckets that are due, instead of it.
 
-    Rows are shuffled on the lead id, once, so that each task writes one bucket. Unchanged rows of buckets that are
-    written anew are carried over as they are; per lead, the changed row comes last.
+    Rows are shuffled on the lead id, once, so that each task writes one bucket; `placed` rows lie so already.
+    Unchanged rows of buckets that are written anew are carried over as they are; per lead, the changed row comes last.
     """
     rows_ = sum(plan.sizes.values())
     if complete or not plan.anew:
-        store.write_buckets(name, store.by_lead(fresh, rows_), out.run_id)
+        store.write_buckets(name, fresh if placed else store.by_lead(fresh, rows_), out.run_id)
         return
     both = store.read(name, plan.anew).withColumn("_new", F.lit(0)).unionByName(fresh.withColumn("_new", F.lit(1)))
     placed = store.by_lead(both, rows_)
@@ -269,30 +273,34 @@ def _write_leads(
 
     Missing star keys are counted on the way and stop the run. Of the known leads only the narrow index is read, for
     the shares that the old versions of changed leads have in the sums.
+
+    Where no bucket is written anew, the rows that staging has got lie in their buckets, and star and index rows are
+    made of them without a shuffle of their own; the sums then come from the index rows as written.
     """
-    facts = fct_leads(changed)
-    index = maintained.index_rows(facts)
+    built, _ = together(
+        store.spark,
+        partial(_write_dims, store, changed, run_ts, out),
+        partial(_write_split, store, "stg_leads", changed, plan, complete, out),
+    )
+    lies = complete or not plan.anew
+    facts = fct_leads(store.written("stg_leads", out.run_id) if lies else changed)
 
     def keyed() -> None:
-        built, missing = _write_dims(store, changed, run_ts, out), Observation()
+        missing, small = Observation(), sum(d.count() for d in (built.agent, built.status, built.date)) <= _SMALL_DIMS
         rows_ = star.star_fact(facts, built).observe(missing, *star.missing_key_counts())
-        _write_split(store, "fct_leads_star", rows_, plan, complete, out)
+        _write_split(store, "fct_leads_star", rows_, plan, complete, out, lies and small)
         star.require_keys(missing.get)
 
     def summed() -> DataFrame:
-        parts = [maintained.sums_of(index)]
+        index = maintained.index_rows(facts)
+        _write_split(store, "lead_index", index, plan, complete, out, lies)
+        parts = [maintained.sums_of(store.written("lead_index", out.run_id) if lies else index)]
         if not complete:
             old = store.read("lead_index", plan.touched).join(changed.select("staging_id"), "staging_id", "left_semi")
             parts += [maintained.sums_of(old, -1), store.read("lead_sums")]
         return store.write("lead_sums", maintained.merged(*parts), out.run_id)
 
-    return together(
-        store.spark,
-        keyed,
-        partial(_write_split, store, "stg_leads", changed, plan, complete, out),
-        partial(_write_split, store, "lead_index", index, plan, complete, out),
-        summed,
-    )[-1]
+    return together(store.spark, keyed, summed)[-1]
 
 
 def _write_dims(

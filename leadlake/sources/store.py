@@ -178,6 +178,12 @@ class Store:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(self._path(name, run_id))
 
+    def written(self, name: str, run_id: str) -> DataFrame:
+        """What a run has written of a split table. A task reads files of one bucket or a few, so rows made of these
+        can be written by bucket as they lie."""
+        schema = TABLES[name]
+        return self._scan(schema, self._path(name, run_id)).select(*schema.names)
+
     def discard(self, name: str, run_id: str) -> None:
         """Delete what a run has written of a table that is never published."""
         remove(self.spark, self._path(name, run_id))

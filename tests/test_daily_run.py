@@ -260,3 +260,26 @@ def test_json_stream(spark, store, tmp_path):
     assert names(store) == {"n0", "n1", "n2"}
 
 
+
+
+def test_a_load_shuffles_its_leads_once_for_all_split_tables(spark, store, monkeypatch):
+    """Star and index rows are made of the rows that staging has got, which lie in their buckets; a load that writes
+    buckets anew still gives the same."""
+    calls, by_lead = [], Store.by_lead
+
+    def counted(self, df, *args):
+        calls.append(df.columns)
+        return by_lead(self, df, *args)
+
+    monkeypatch.setattr(Store, "by_lead", counted)
+    run_load(store, raw(spark, *[lead(n) for n in range(40)]), "r1", NOW, S)
+    assert len(calls) == 1 and "linkedin_url" in calls[0]
+    files = spark.read.parquet(f"{store.root}/fct_leads_star/load_id=r1").select("_metadata.file_path", "bucket").distinct()
+    assert files.count() == files.select("bucket").distinct().count() == 4
+    run_load(store, raw(spark, *[lead(n, 2, Name=f"m{n}") for n in range(40)]), "r2", NOW + timedelta(days=1), S)
+    for name in ("stg_leads", "fct_leads_star", "lead_index"):
+        rows_ = store.read(name)
+        assert rows_.count() == rows_.select("staging_id").distinct().count() == 40
+    assert names(store) == {f"m{n}" for n in range(40)}
+    total = store.read("lead_sums").where("kind = 'all'").first()
+    assert (total.total_rows, total.rows_with_url) == (40, 40)

@@ -238,3 +238,13 @@ def test_a_load_keeps_the_malformed_records_of_its_reader(spark, tmp_path):
         assert kept == (["a,b"] if name == "csv" else ['{"Name": "cut'])
     with pytest.raises(ValueError, match="malformed"):
         run_load(store, frames["csv"].where("true"), "r2", now, Settings())
+
+
+def test_staging_carries_the_order_of_the_source_once(spark):
+    """The order columns, such as the file's name, are compared but not carried as values beside that."""
+    raw_ = spark.range(3).selectExpr("id AS src_ordinal", "'file' AS src_file", *[f"'x' AS `{h}`" for h in RAW_TO_STAGING])
+    staged = staging.stage_leads(raw_, datetime(2026, 8, 1, tzinfo=timezone.utc), ["src_file", "src_ordinal"], copies="n")
+    assert staged.first().n == 3 and not {"src_file", "src_ordinal"} & set(staged.columns)
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    carried = plan[plan.index("max_by(") :].split("struct(src_file")[0]
+    assert "src_file" not in carried
