@@ -188,7 +188,7 @@ def csv_mixed_headers(spark, sf):
 @query
 def stream_mixed_headers(spark, sf):
     """The same exports, loaded as they land."""
-    path = _mixed_exports(spark, _sound_raw(spark, sf).where(F.col("src_ordinal") % 50 > 1))
+    path = _mixed_exports(spark, write_work(_sound_raw(spark, sf).where(F.col("src_ordinal") % 50 > 1)))
     store = _store(spark)
     stream_leads(spark, path, store, run_ts=RUN_TS, settings=Settings(use_watermark=False, as_of=AS_OF_TS)).awaitTermination()
     store.refresh()

@@ -140,7 +140,8 @@ def _parts(spark: SparkSession, paths: list[str], found: Layout) -> DataFrame:
         now, row, held, held_row, part, header = None, 0, None, 0, WHOLE, False
         for batch in batches:
             values = batch.column("value")
-            quoted = pc.match_substring(values, '"').to_pylist()
+            quoted = pc.match_substring(values, '"').to_numpy(zero_copy_only=False)
+            empty = pc.is_in(values, pa.array(["", "\r"], values.type)).to_numpy(zero_copy_only=False)
             rows, parts, records, at = [], [], [], []
 
             def put(kind, first, text, source):
@@ -149,7 +150,7 @@ def _parts(spark: SparkSession, paths: list[str], found: Layout) -> DataFrame:
                 records.append(text)
                 at.append(source)
 
-            texts = values.to_pylist()
+            texts = None
             for file, block, low, high in _runs(batch):
                 if (file, block) != now:
                     if held is not None:
@@ -157,6 +158,21 @@ def _parts(spark: SparkSession, paths: list[str], found: Layout) -> DataFrame:
                     now, row, header = (file, block), 0, block == 0
                     held, held_row, part = ([], 0, LATER) if now in shared.value else (None, 0, WHOLE)
                 now_row = batch.slice(low, 1)
+                if held is None and not quoted[low:high].any():
+                    # lines without quotes are records as they are
+                    some = np.flatnonzero(~empty[low:high])
+                    if header and len(some):
+                        header, some = False, some[1:]
+                    if rows:
+                        yield _columns(batch.take(pa.array(at)), rows, parts, records)
+                        rows, parts, records, at = [], [], [], []
+                    if len(some):
+                        lines = batch.take(pa.array(low + some))
+                        yield _columns(lines, row + 1 + some, np.full(len(some), WHOLE), lines.column("value"))
+                    row += high - low
+                    continue
+                if texts is None:
+                    texts = values.to_pylist()
                 for i in range(low, high):
                     text = texts[i]
                     row += 1
@@ -187,9 +203,10 @@ def _parts(spark: SparkSession, paths: list[str], found: Layout) -> DataFrame:
     return _lines(spark, paths, are_uris=True).mapInArrow(read, kinds)
 
 
-def _columns(source: pa.RecordBatch, rows: list, parts: list, records: list) -> pa.RecordBatch:
+def _columns(source: pa.RecordBatch, rows, parts, records) -> pa.RecordBatch:
     columns = [source.column(c) for c in ("src_file", "src_time", "src_block")]
-    columns += [pa.array(rows, pa.int64()), pa.array(parts, pa.int32()), pa.array(records, pa.string())]
+    columns += [pa.array(rows, pa.int64()), pa.array(parts, pa.int32())]
+    columns.append(records.cast(pa.string()) if isinstance(records, pa.Array) else pa.array(records, pa.string()))
     return pa.RecordBatch.from_arrays(columns, ["src_file", "src_time", "src_block", "src_row", "part", "record"])
 
 
