@@ -11,6 +11,10 @@ from leadlake.functions.text import strip
 _TIMES = ("[ H:mm[:ss[.SSSSSS]]]", " h:mm[:ss] a")
 
 
+#: The spelling that most exports use throughout; it needs no stripping.
+_ISO = r"^\d{4}-\d{2}-\d{2}(?: \d{2}:\d{2}:\d{2})?$"
+
+
 def _first(col: Column, *dates: str) -> Column:
     """First of the date patterns, each with and without time, that reads `col`."""
     return F.coalesce(
@@ -25,8 +29,9 @@ def parse_mixed_ts(col: Column | str) -> Column:
     meets only the formats of its own shape, as every failed format costs an exception in the parser. What none
     of them reads is taken apart into date, time and offset, whatever the order and the marks between.
     """
-    text = strip(col)
-    return F.coalesce(_by_format(text), _taken_apart(text))
+    text, plain = strip(col), F.col(col) if isinstance(col, str) else col
+    iso = F.when(plain.rlike(_ISO), F.try_to_timestamp(plain))
+    return F.coalesce(iso, _by_format(text), _taken_apart(text))
 
 
 def _by_format(text: Column) -> Column:

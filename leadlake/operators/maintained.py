@@ -105,8 +105,8 @@ def sums_of(index: DataFrame, sign: int = 1) -> DataFrame:
         "connection_days": F.coalesce(days, F.lit(0)),
         "connection_day_rows": days.isNotNull().cast("int"),
     }
-    exploded = index.select(F.explode(F.filter(_keys(), F.isnotnull)).alias("key"), "flags", "days_to_connection")
-    added = exploded.groupBy("key").agg(*[(sign * F.sum(n)).alias(c) for c, n in numbers.items()])
+    exploded = index.select(F.explode(_keys()).alias("key"), "flags", "days_to_connection")
+    added = exploded.where("key IS NOT NULL").groupBy("key").agg(*[(sign * F.sum(n)).alias(c) for c, n in numbers.items()])
     return added.select("key.*", *SUM_COUNTS).select(*LEAD_SUMS.names)
 
 
