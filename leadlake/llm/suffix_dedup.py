@@ -7,6 +7,9 @@ and segments of one range of anchors form a shard. A shard's different segments
 external induced sorting; neighbours that share `length` bytes are equal windows, and the smallest id among them
 goes back to the blocks of documents that sent the segments.
 
+A segment that is the only different one of its anchor in all blocks has no window in common with another: its
+smallest id holds for all of its windows, and only the others are put in order.
+
 An anchor with more than `hot_segments` different segments (a byline between texts of every document's own) would
 fill one shard. Its segments are cut to single windows, and a hash of the window takes the anchor's place: equal
 windows still meet, different ones spread over all shards.
@@ -290,8 +293,34 @@ class Block:
 # ---------------------------------------------------------------- one shard
 
 
+def first_anchors(texts: list[bytes], length: int) -> np.ndarray:
+    """The anchor of the first window of each text, before `mixed`."""
+    begins = np.cumsum([0, *map(len, texts)])[:-1]
+    data, width = np.frombuffer(b"".join(texts), np.uint8), length - SEED + 1
+    found = np.empty(len(texts), np.uint64)
+    for at in range(0, len(data), HASHED):
+        here = slice(*np.searchsorted(begins, [at, at + HASHED]))
+        if here.stop > here.start:
+            lowest = window_minima(seed_hashes(data[at : at + HASHED + length - 1]), width)
+            found[here] = lowest[begins[here] - at]
+    return found
+
+
 def first_holders(texts: list[bytes], ids: np.ndarray, settings: Settings) -> np.ndarray:
-    """For each window of the texts, one after the other: the smallest id of a text that holds it."""
+    """For each window of the texts, one after the other: the smallest id of a text that holds it. The texts are
+    different segments, so all windows of one have one anchor, and those of other anchors hold none of them."""
+    _, number, times = np.unique(first_anchors(texts, settings.length), return_inverse=True, return_counts=True)
+    several = times[number] > 1
+    windows = np.array([len(t) for t in texts], np.int64) - settings.length + 1
+    holder = np.repeat(ids, windows)
+    if several.any():
+        some = [texts[i] for i in np.flatnonzero(several).tolist()]
+        holder[np.repeat(several, windows)] = holders_in_order(some, ids[several], settings)
+    return holder
+
+
+def holders_in_order(texts: list[bytes], ids: np.ndarray, settings: Settings) -> np.ndarray:
+    """The same of texts that may share windows, by suffix order."""
     length = settings.length
     sizes = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(sizes + 1)

@@ -79,6 +79,32 @@ def removed(spark, texts, **settings):
         return frames.rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def test_only_segments_that_share_an_anchor_are_put_in_order(monkeypatch):
+    """A segment alone at its anchor keeps its own id; others get the smallest id of an equal window, found by order."""
+    length = suffix_dedup.Settings.length
+    rng, texts = np.random.default_rng(2), {}
+    for i in range(400):
+        own = bytes(rng.integers(97, 123, 200).astype(np.uint8))
+        for owner, text in ((2 * i + 7, own), *([(i, own[:90] + own[:110][::-1])] if i % 5 == 0 else [])):
+            data = np.frombuffer(text, np.uint8)
+            start, windows, _ = suffix_dedup.segments_of(data, np.array([0, len(data)]), length)
+            for a, b in zip(start.tolist(), (start + windows + length - 1).tolist(), strict=True):
+                texts[text[a:b]] = min(owner, texts.get(text[a:b], owner))
+    texts["ab".encode() * 60] = 3
+    ids, texts = np.array(list(texts.values()), np.int64), list(texts)
+    least = {}
+    for t, i in zip(texts, ids.tolist(), strict=True):
+        for k in range(len(t) - length + 1):
+            least[t[k : k + length]] = min(i, least.get(t[k : k + length], i))
+    expected = [least[t[k : k + length]] for t in texts for k in range(len(t) - length + 1)]
+    sorted_texts, by_order = [], suffix_dedup.holders_in_order
+    monkeypatch.setattr(suffix_dedup, "holders_in_order", lambda t, *rest: sorted_texts.extend(t) or by_order(t, *rest))
+    monkeypatch.setattr(suffix_dedup, "HASHED", 1 << 10)
+    assert suffix_dedup.first_holders(texts, ids, suffix_dedup.Settings()).tolist() == expected
+    assert expected != np.repeat(ids, [len(t) - length + 1 for t in texts]).tolist()
+    assert 0 < len(sorted_texts) < len(texts) / 4
+
+
 @pytest.mark.parametrize("settings", [{}, {"block_bytes": 300, "shard_bytes": 500, "memory_items": 64}])
 def test_edge_rows_equal_brute_force(spark, settings):
     assert removed(spark, frames.edge_texts(), **settings) == brute(frames.edge_texts())
