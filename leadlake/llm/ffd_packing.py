@@ -30,6 +30,9 @@ SLICE = 1 << 20
 
 #: Words of ASCII and Latin-1 letters only.
 LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+#: Words of such letters, digits and ASCII marks, but apostrophes and what may begin a special token; and their runs.
+MIXED = re.compile(r"(?:[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]|<(?!\|))+").fullmatch
+RUNS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+").findall
 PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "deal", "ids"]
 
 
@@ -58,10 +61,17 @@ class Ids(dict):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model, self.names = self.tokenizer.model, byte_names()
+        self.tokenize, self.names = self.tokenizer.model.tokenize, byte_names()
         #: Whether words of Latin letters may go to the model straight away: tried on some.
-        self.direct = False
+        self.direct = self.cuts = False
         self.direct = all(self.letters(w) == self.whole(w) for w in ("The", "ZEBRAS", "élan", "Straße", "qxzjÿÀþ"))
+        #: Whether it cuts between letters, digits and runs of marks, and between digits: tried on some. No added token
+        #: may lie in such a word.
+        tried = ("end.", "End.%%%", "É!!", '"(so)', "a1b22c", "1,000.5", "x--y_z", "ne...", "<b>it</b>", "a@b.co/~c", "[`{^}|]+=")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.cuts = not any(MIXED(t.content) for t in added) and all(
+            b"".join(map(self.whole, RUNS(w))) == self.whole(w) for w in tried
+        )
 
     def whole(self, word: str) -> bytes:
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
@@ -72,7 +82,7 @@ class Ids(dict):
         if low != word and self.direct:
             return self[low]
         mapped = low if low.isascii() else "".join([self.names[b] for b in low.encode("utf-8")])
-        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        return array("I", [t.id for t in self.tokenize(mapped)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
@@ -80,8 +90,10 @@ class Ids(dict):
             # between an ASCII letter and a full stop or comma every word pattern of this kind cuts
             if word[-1] in ".," and len(word) > 1 and word[-2].isascii() and word[-2].isalpha():
                 ids = self[word[:-1]] + self[word[-1]]
-            elif self.direct and LATIN(word):
+            elif self.direct and (word.isascii() and word.isalpha() or LATIN(word)):
                 ids = self.letters(word)
+            elif self.cuts and MIXED(word) and len(runs := RUNS(word)) > 1:
+                ids = b"".join(map(self.__getitem__, runs))
             else:
                 ids = self.whole(word)
         if len(word) <= REMEMBERED_CHARS:

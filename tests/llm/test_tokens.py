@@ -66,6 +66,30 @@ def ids_of(texts):
     return [np.array([*library.encode(t or "", add_special_tokens=False).ids, 2], "<u4") for _, t in texts]
 
 
+def test_words_with_marks_and_digits_are_cut_without_the_library(monkeypatch):
+    """The runs of such a word are looked up one by one; apostrophes and special tokens still go to the library."""
+    library = Tokenizer.from_file(WORDS)
+    with open(WORDS, encoding="utf-8") as file:
+        ids = ffd_packing.Ids(file.read())
+    asked, whole = [], ids.whole
+    ids.whole = lambda word: asked.append(word) or whole(word)
+    rng = random.Random(3)
+    parts = [*"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~<0123456789", "ab", "The", "É", "straße", "re", "ZZ"]
+    mixed = ["".join(rng.choice(parts) for _ in range(rng.randint(2, 12))) for _ in range(3000)]
+    others = ["don't", "'s", "x'LL!", "a<|endoftext|>b", "<|startoftext|>", "<|endoftext", "e\u0301.", "東京!!", "½.", "a\u0338="]
+    for word in mixed + others:
+        assert b"".join(ids.of(word)) == np.array(library.encode(word, add_special_tokens=False).ids, "<u4").tobytes(), word
+    # single digits and runs of marks have no parts, and `<|` may begin a special token
+    assert {w for w in asked if len(ffd_packing.RUNS(w)) > 1 and "<|" not in w} <= set(others) | {"x'LL!", "e\u0301"}
+
+
+def test_words_are_not_cut_where_a_token_of_their_letters_was_added():
+    library = Tokenizer.from_file(WORDS)
+    library.add_special_tokens(["[MASK]"])
+    ids = ffd_packing.Ids(library.to_str())
+    assert b"".join(ids.of("so [MASK], x[MASK]!")) == np.array(library.encode("so [MASK], x[MASK]!").ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("settings", [{}, {"sequence": 64, "group_pieces": 40}])
 def test_packing(spark, settings, monkeypatch):
     settings = ffd_packing.Settings(**settings)
