@@ -1,10 +1,12 @@
 import importlib.util
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from leadlake.llm import quality_llr
 from leadlake.llm.common import scratch
 from tests.llm import frames
 from tests.llm.test_index import words
@@ -67,6 +69,22 @@ def test_stages_one_by_one(spark, folder, tmp_path):
     assert sum(r.length for r in after if r.doc_id == 7) == next(r.doc_tokens for r in after if r.doc_id == 7)
 
 
+def test_quality_rules_tell_texts_of_the_same_endings_apart(spark, tmp_path):
+    """All words have one ending, so only words and pairs of words show which texts are unlike the trusted ones."""
+    rng = random.Random(4)
+    stems = {"good": [f"a{chr(97 + k)}" for k in range(20)], "bad": [f"o{chr(97 + k)}" for k in range(20)]}
+    text = lambda kind: " ".join(rng.choice(stems[kind]) + "ing" for _ in range(60))
+    rows = [(i, text("good" if i < 12 else "bad"), "en", "src", 0) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i < 8), 0) for i in range(24)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs, str(tmp_path)).collect()}
+    assert kept == set(range(12))
+    # endings alone tell nothing
+    alone = quality_llr.keep_good(docs, labels.where("quality = 1"), quality_llr.Settings())
+    assert alone.count() == 24
+
+
 def test_run_gives_what_the_stages_give(spark, folder):
     rows = corpus_pipeline.run(spark, folder)
     ids = {r.doc_id for r in rows.select("doc_id").collect()}
