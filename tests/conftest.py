@@ -20,6 +20,8 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            # plans name whole paths, however long the folder of a test's files is
+            "spark.sql.maxMetadataStringLength": "2000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
