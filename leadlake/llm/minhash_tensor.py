@@ -9,6 +9,10 @@ Texts with equal sets are one node from the start. A bucket never emits all its
 smallest of them, and what is linked becomes one component. Then only members outside the component of their
 bucket's smallest one meet the rest: each pair in the first table that holds both, and only if sketches of up to
 1,024 further minhashes do not rule the link out, so no link that decides a component is missed.
+
+Joins name the merge join where Spark would size a side by compressed files, or by what a Python step reads (a text
+makes a row for each of 66 tables): such a side can be many times its estimate, and too large for the driver to
+broadcast.
 """
 
 from __future__ import annotations
@@ -143,8 +147,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFra
 
     The pivot b may be in very many pairs: it is joined last, as a key that AQE can split.
     """
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
+    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a").join(
+        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b"
     )
 
     def compare(batches):
@@ -186,9 +190,9 @@ def _close(a: str, b: str, hashed: int, settings: Settings) -> str:
 def _pivot_pairs(members: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """(a, b): each member of a bucket with the smallest one."""
     pivots = members.groupBy("key").agg(F.min("node").alias("b"))
-    pairs = members.join(pivots, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+    pairs = members.join(pivots.hint("merge"), "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     sketched = nodes.select("node", "sketch")
-    x, y = sketched.alias("x"), sketched.alias("y")
+    x, y = sketched.alias("x").hint("merge"), sketched.alias("y").hint("merge")
     near = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
     return near.where(_close("x.sketch", "y.sketch", SKETCHED, settings)).select("a", "b")
 
@@ -196,7 +200,7 @@ def _pivot_pairs(members: DataFrame, nodes: DataFrame, settings: Settings) -> Da
 def _open_members(members: DataFrame) -> DataFrame:
     """Members (key, node, component) of buckets that hold several components, with the smallest one as `low`."""
     several = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return members.join(several.where("low < high").select("key", "low"), "key")
+    return members.join(several.where("low < high").select("key", "low").hint("merge"), "key")
 
 
 def _rest_pairs(opened: DataFrame, nodes: DataFrame, fine: DataFrame, settings: Settings) -> DataFrame:
@@ -205,7 +209,7 @@ def _rest_pairs(opened: DataFrame, nodes: DataFrame, fine: DataFrame, settings:
     a lies outside the component of its bucket's smallest component, b in any other than a's. A pair is formed in
     the first table that holds both, which their collection hashes tell.
     """
-    opened = opened.join(nodes.select("node", "hashes", "sketch"), "node").join(fine, "node")
+    opened = opened.join(nodes.select("node", "hashes", "sketch").hint("merge"), "node").join(fine.hint("merge"), "node")
     n = settings.collections
     pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
     earlier = [sum(1 << c for c in range(j) if c != i) for i, j in pairs]
@@ -242,11 +246,11 @@ def near_duplicates(
 
     rows = bucket_rows(nodes)
     shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = keep(rows.join(shared.select("key"), "key"), "members")
+    members = keep(rows.join(shared.select("key").hint("merge"), "key"), "members")
 
     # one text for each node of an open bucket; rows of a repeated id that hold another set fall away
-    wanted = members.select("node").distinct().join(nodes.select("node", "digest"), "node")
-    found = docs.join(wanted, docs["doc_id"] == wanted["node"]).select("node", "digest", "text")
+    wanted = members.select("node").distinct().join(nodes.select("node", "digest").hint("merge"), "node")
+    found = docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["node"]).select("node", "digest", "text")
 
     def same_set(batches):
         for batch in batches:
@@ -260,18 +264,18 @@ def near_duplicates(
     first = keep(confirmed(keep(_pivot_pairs(members, nodes, settings), "first-pairs"), texts, settings), "first-links")
     labels = components(first)
     known = labels.select("node", "component")
-    labelled = members.join(known, "node", "left").select(
+    labelled = members.join(known.hint("merge"), "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")
     )
     opened = keep(_open_members(labelled), "open-members")
-    fine = keep(fine_sketches(texts.join(opened.select("node").distinct(), "node"), settings), "fine-sketches")
+    fine = keep(fine_sketches(texts.join(opened.select("node").distinct().hint("merge"), "node"), settings), "fine-sketches")
     rest = keep(_rest_pairs(opened, nodes, fine, settings), "rest-pairs")
     more = keep(confirmed(rest, texts, settings), "rest-links")
     labels = components(first.unionByName(more))
 
     by_digest = classes.select("digest", "node")
-    result = signed.select("doc_id", "n_shingles", "digest").join(by_digest, "digest", "left")
-    result = result.join(cut_lineage(labels), "node", "left")
+    result = signed.select("doc_id", "n_shingles", "digest").join(by_digest.hint("merge"), "digest", "left")
+    result = result.join(cut_lineage(labels).hint("merge"), "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id"))
     return result.select(
         F.col("doc_id").alias(id_col),

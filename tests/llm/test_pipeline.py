@@ -1,13 +1,14 @@
 import importlib.util
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from leadlake.llm import quality_llr
-from leadlake.llm.common import scratch
+from leadlake.llm import components, quality_llr
+from leadlake.llm.common import Scratch, scratch
 from tests.llm import frames
 from tests.llm.test_index import words
 from tests.llm.test_minhash import brute as near_brute
@@ -129,6 +130,24 @@ def test_near_duplicates_keep_every_text_of_a_repeated_id(spark, folder):
     assert got == sorted(expected, key=repr)
 
 
+def test_joins_of_what_grows_with_the_corpus_broadcast_nothing(spark, folder, monkeypatch):
+    """These tables are small, so Spark would broadcast any side whose size it guesses from files or Python steps."""
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    plans, write, last = {}, Scratch.write, corpus_pipeline.lasting
+    monkeypatch.setattr(Scratch, "write", lambda self, df, name: plans.update({name: plan_of(df)}) or write(self, df, name))
+    monkeypatch.setattr(corpus_pipeline, "lasting", lambda df, name: plans.update({name: plan_of(df)}) or last(df, name))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    left = corpus_pipeline.near_duplicates(spark, docs, folder)
+    assert {"texts", "members", "first-pairs", "first-links", "open-members", "fine-sketches", "near-copies"} <= set(plans)
+    del plans["rest-pairs"]  # its sides are joins, which Spark sizes by the product of both
+    assert not {n: p for n, p in plans.items() if "Broadcast" in p}
+    assert "Broadcast" not in plan_of(left)
+    good = plan_of(corpus_pipeline.quality_rules(spark, docs, folder))
+    assert re.search(r"SortMergeJoin .*LeftSemi", good) and not re.search(r"BroadcastHashJoin .*LeftSemi", good)
+    links = spark.createDataFrame([(2, 1), (3, 1)], "u long, v long")
+    assert "Broadcast" not in plan_of(components._large_star(links)) + plan_of(components._small_star(links))
+
+
 def test_scratch_is_removed(spark, tmp_path):
     with scratch(spark) as keep:
         keep(spark.range(3).withColumn("x", F.lit(1)), "rows")
