@@ -99,6 +99,20 @@ def scratch(spark: SparkSession):
             remove(spark, path)
 
 
+@contextmanager
+def measured(spark: SparkSession):
+    """Steps that run in the block broadcast a side of a join only by the size its shuffle had, not by an estimate."""
+    planned, seen = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before = {name: spark.conf.get(name, None) for name in (planned, seen)}
+    spark.conf.set(seen, before[seen] or spark.conf.get(planned))
+    spark.conf.set(planned, "-1")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def tidy(work):
     """`work`, an iterator function of a Python task, that hands memory back when it has ended.
 

@@ -144,8 +144,13 @@ def test_joins_of_what_grows_with_the_corpus_broadcast_nothing(spark, folder, mo
     assert "Broadcast" not in plan_of(left)
     good = plan_of(corpus_pipeline.quality_rules(spark, docs, folder))
     assert re.search(r"SortMergeJoin .*LeftSemi", good) and not re.search(r"BroadcastHashJoin .*LeftSemi", good)
-    links = spark.createDataFrame([(2, 1), (3, 1)], "u long, v long")
-    assert "Broadcast" not in plan_of(components._large_star(links)) + plan_of(components._small_star(links))
+    steps, cut = [], components.cut_lineage
+    monkeypatch.setattr(components, "cut_lineage", lambda df: steps.append(plan_of(df)) or cut(df))
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(n, None) for n in names]
+    assert components.components(spark.createDataFrame([(2, 1), (3, 1)], "a long, b long")).count() == 3
+    assert any("Join" in p for p in steps) and not any("Broadcast" in p for p in steps)
+    assert [spark.conf.get(n, None) for n in names] == before
 
 
 def test_scratch_is_removed(spark, tmp_path):
